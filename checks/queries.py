@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,14 +43,16 @@ class Ctx:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
-        for t in TABLES:
-            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
 
     def view(self, name: str) -> DataFrame:
-        return self.spark.sql(with_views([name], f"select * from {name}", "string"))
+        sql = with_views([name], f"select * from {name}", "string")
+        for t in TABLES:
+            if re.search(rf"(?:from|join) {t}\b", sql):
+                self.table(t).createOrReplaceTempView(t)
+        return self.spark.sql(sql)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.table(name)
+        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def firms(self) -> DataFrame:
         none = F.array().cast("array<string>")

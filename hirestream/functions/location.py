@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirestream import config as C
-from hirestream.functions.text import RIGHT, WS, blank, trim_ws, whole_word
+from hirestream.functions.text import RIGHT, WS, blank, quoted, trim_ws, whole_word
 
 _REMOTE = ["remote", "hybrid"]
 _NAMES = "|".join(C.STATES.values())
 
 
 def _lookup(pairs: dict[str, str], key: Column) -> Column:
-    flat = [F.lit(x) for kv in pairs.items() for x in kv]
-    return F.try_element_at(F.create_map(*flat), key)
+    flat = ", ".join(quoted(x) for kv in pairs.items() for x in kv)
+    return F.try_element_at(F.expr(f"map({flat})"), key)
 
 
 def clean_part(p: Column) -> Column:

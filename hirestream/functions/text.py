@@ -8,7 +8,6 @@ Java's own ``\\b`` and ``\\s`` differ on accented letters and on NBSP.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,13 +48,27 @@ def whole_word(words: list[str]) -> str:
     return rf"(?i){LEFT}(?:{'|'.join(words)}){RIGHT}"
 
 
-def any_contains(c: Column, words: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [c.contains(w) for w in words])
+def quoted(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def count_contains(c: Column, words: list[str]) -> Column:
-    """How many different ``words`` occur in ``c``."""
-    return reduce(lambda a, b: a + b, [c.contains(w).cast("int") for w in words])
+# The word lists are long, so their conditions are written as SQL text over a named
+# column: one expression to parse instead of hundreds of Column objects.
+
+
+def any_contains(column: str, words: list[str]) -> str:
+    return "(" + " or ".join(f"contains({column}, {quoted(w)})" for w in words) + ")"
+
+
+def count_contains(column: str, words: list[str]) -> str:
+    """How many different ``words`` occur in the column."""
+    return "(" + " + ".join(f"cast(contains({column}, {quoted(w)}) as int)" for w in words) + ")"
+
+
+def first_case(cases: list[tuple[str, str]], default: str = "null") -> str:
+    """``case when`` over (condition, value) pairs of SQL text."""
+    return "case " + " ".join(f"when {c} then {v}" for c, v in cases) + f" else {default} end"
 
 
 # --- keys --------------------------------------------------------------------
@@ -167,19 +180,18 @@ def experience_level(title: Column) -> Column:
     return chain.otherwise(F.lit(""))
 
 
-def tools_array(description: Column, lowered: Column, tools: list[str]) -> Column:
+def tools_array(description: str, lowered: str, tools: list[str]) -> Column:
     """Tools found as whole words, in list order.
 
-    ``lowered`` is the lower-cased description: a byte search on it decides
+    ``lowered`` names the lower-cased description: a byte search on it decides
     nearly every tool before the regular expression has to run.
     """
-    hits = [
-        F.when(
-            lowered.contains(t.lower()) & description.rlike(whole_word([re.escape(t)])), F.lit(t)
-        )
+    hits = ", ".join(
+        f"if(contains({lowered}, {quoted(t.lower())}) and "
+        f"rlike({description}, {quoted(whole_word([re.escape(t)]))}), {quoted(t)}, null)"
         for t in tools
-    ]
-    return F.array_compact(F.array(*hits))
+    )
+    return F.expr(f"array_compact(array({hits}))")
 
 
 def tool_count(tools_text: Column) -> Column:
@@ -209,18 +221,17 @@ def with_industry(
     the value, else the trimmed value itself.  ``matched`` names an optional
     column that stays NULL when no alias applied.
     """
-    exact: dict[str, str] = {}
-    for canonical, names in aliases.items():
-        for alias in [*names, canonical]:
-            exact[alias.lower().strip()] = canonical
+    pairs = ordered_aliases(aliases)
+    exact = dict(pairs)
     trimmed, key, hit = F.col("__trimmed"), F.col("__key"), F.col("__hit")
-    chain = F.when(key == "", None)
-    for canonical in dict.fromkeys(exact.values()):
-        chain = chain.when(key.isin([a for a, c in exact.items() if c == canonical]), canonical)
-    for alias, canonical in ordered_aliases(aliases):
-        chain = chain.when(key.contains(alias) | F.contains(F.lit(alias), key), canonical)
+    known = F.expr(f"map({', '.join(quoted(x) for kv in exact.items() for x in kv)})")
+    # a constant array: the alias list as data keeps the generated code small
+    rows = ", ".join(f"named_struct('alias', {quoted(a)}, 'name', {quoted(c)})" for a, c in pairs)
+    table = F.expr(f"array({rows})")
+    near = F.filter(table, lambda p: key.contains(p["alias"]) | F.contains(p["alias"], key))
+    lookup = F.coalesce(F.try_element_at(known, key), F.get(near, F.lit(0))["name"])
     df = df.withColumn("__trimmed", trim_ws(F.coalesce(F.col(source), F.lit(""))))
-    df = df.withColumn("__key", F.lower(trimmed)).withColumn("__hit", chain)
+    df = df.withColumn("__key", F.lower(trimmed)).withColumn("__hit", F.when(key != "", lookup))
     df = df.withColumn(out, F.coalesce(hit, trimmed))
     if matched:
         df = df.withColumn(matched, hit)
@@ -253,29 +264,25 @@ def employee_band(count: Column) -> Column:
     return chain.otherwise(C.EMPLOYEE_BAND_TOP)
 
 
-def occupation_code(t: Column, role: Column) -> Column:
-    """Occupation of a lower-cased title."""
-    chain = F.when(t.contains("architect") & ~t.contains("data architect"), C.OCCUPATION_ARCHITECT)
-    chain = chain.when(any_contains(t, ["civil", "structural", "engineer"]), C.OCCUPATION_ENGINEER)
-    for name, code in C.OCCUPATION_BY_ROLE.items():
-        chain = chain.when(role == name, code)
-    return chain.otherwise(C.OCCUPATION_DEFAULT)
+def occupation_code(title: str, role: str) -> Column:
+    """Occupation of a lower-cased title (column names)."""
+    cases = [
+        (f"contains({title}, 'architect') and not contains({title}, 'data architect')", quoted(C.OCCUPATION_ARCHITECT)),
+        (any_contains(title, ["civil", "structural", "engineer"]), quoted(C.OCCUPATION_ENGINEER)),
+    ]
+    cases += [(f"{role} = {quoted(r)}", quoted(code)) for r, code in C.OCCUPATION_BY_ROLE.items()]
+    return F.expr(first_case(cases, quoted(C.OCCUPATION_DEFAULT)))
 
 
-def metro_area(t: Column) -> Column:
+def metro_area(location: str) -> Column:
     """Metro of a lower-cased location, first pattern hit; else NULL."""
-    chain = F
-    for metro, words in C.METRO_PATTERNS:
-        chain = chain.when(any_contains(t, words), metro)
-    return chain
+    return F.expr(first_case([(any_contains(location, words), quoted(m)) for m, words in C.METRO_PATTERNS]))
 
 
-def firm_type(t: Column) -> Column:
+def firm_type(name: str) -> Column:
     """Firm type from a lower-cased name."""
-    chain = F
-    for kind, words in C.FIRM_TYPES:
-        chain = chain.when(any_contains(t, words), kind)
-    return chain.otherwise(C.FIRM_TYPE_DEFAULT)
+    cases = [(any_contains(name, words), quoted(kind)) for kind, words in C.FIRM_TYPES]
+    return F.expr(first_case(cases, quoted(C.FIRM_TYPE_DEFAULT)))
 
 
 def headquarters(city: Column, state: Column, country: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hirestream.functions.text import blank, fingerprint, truthy
@@ -40,14 +41,17 @@ def fingerprint_dedup(df: DataFrame) -> DataFrame:
     per_source = keyed.groupBy("fp", "source").agg(
         F.count(F.lit(1)).alias("n"), F.max(rank).alias("best"), F.min("seq").alias("first")
     )
-    per_fp = per_source.groupBy("fp").agg(
-        F.max("n").alias("max_n"), F.max("best").alias("top"), F.min("first").alias("first_fp")
-    )
+    # a window over the group rows: at most one row per source and fingerprint
+    same = W.partitionBy("fp")
     verdict = (
-        per_source.join(per_fp, "fp")
-        .where(
-            F.when(F.col("max_n") > 1, F.col("n") > 1).otherwise(F.col("best") == F.col("top"))
+        per_source.withColumns(
+            {
+                "max_n": F.max("n").over(same),
+                "top": F.max("best").over(same),
+                "first_fp": F.min("first").over(same),
+            }
         )
+        .where(F.when(F.col("max_n") > 1, F.col("n") > 1).otherwise(F.col("best") == F.col("top")))
         .select("fp", "source", "first_fp")
     )
     return (

@@ -15,7 +15,7 @@ from hirestream.operators.lookups import missing_amount
 def add_tools(df: DataFrame, tools: list[str] = C.TOOLS) -> DataFrame:
     """Add ``tools_mentioned``, comma-joined in list order."""
     lowered = df.withColumn("__d", F.lower(F.coalesce("description", F.lit(""))))
-    found = F.array_join(tools_array(F.col("description"), F.col("__d"), tools), ", ")
+    found = F.array_join(tools_array("description", "__d", tools), ", ")
     return lowered.withColumn("tools_mentioned", found).drop("__d")
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirestream import config as C
-from hirestream.functions.text import any_contains, blank, count_contains, whole_word
+from hirestream.functions.text import any_contains, blank, count_contains, first_case, quoted, whole_word
 
 
 def role_filter(
@@ -22,23 +20,20 @@ def role_filter(
     keywords make the row ``operations``.
     """
     lowered = df.withColumns({"__t": F.lower("title"), "__d": F.lower("description")})
-    chain = F
-    for category, words in titles.items():
-        chain = chain.when(any_contains(F.col("__t"), words), category)
-    chain = chain.when(count_contains(F.col("__d"), descriptions) >= 2, "operations")
-    return lowered.withColumn("role_category", chain).where("role_category is not null").drop("__t", "__d")
+    cases = [(any_contains("__t", words), quoted(category)) for category, words in titles.items()]
+    cases.append((f"{count_contains('__d', descriptions)} >= 2", "'operations'"))
+    role = F.expr(first_case(cases))
+    return lowered.withColumn("role_category", role).where("role_category is not null").drop("__t", "__d")
 
 
-def has_signals(lowered: Column, signals: dict[str, list[str]] = C.INDUSTRY_SIGNALS) -> Column:
-    """Two different signals of one industry in the lower-cased text."""
-    return reduce(
-        lambda a, b: a | b, [count_contains(lowered, words) >= 2 for words in signals.values()]
-    )
+def has_signals(lowered: str, signals: dict[str, list[str]] = C.INDUSTRY_SIGNALS) -> Column:
+    """Two different signals of one industry in the lower-cased text column."""
+    return F.expr(" or ".join(f"{count_contains(lowered, words)} >= 2" for words in signals.values()))
 
 
 def industry_signal_filter(df: DataFrame, signals: dict[str, list[str]] = C.INDUSTRY_SIGNALS) -> DataFrame:
     lowered = df.withColumn("__d", F.lower(F.coalesce("description", F.lit(""))))
-    return lowered.where(has_signals(F.col("__d"), signals)).drop("__d")
+    return lowered.where(has_signals("__d", signals)).drop("__d")
 
 
 def publish_status(df: DataFrame) -> DataFrame:

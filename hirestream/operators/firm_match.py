@@ -87,8 +87,21 @@ def firm_index(firms: DataFrame) -> DataFrame:
     ).select(F.col("seg.seg_key").alias("seg_key"), "name", "firm_ord")
 
 
-def _probes(names: DataFrame) -> DataFrame:
-    """Every segment key a similar firm name could be found under."""
+def _exact_key(name: Column) -> Column:
+    return F.xxhash64(F.lit(-1), name)
+
+
+def exact_index(firms: DataFrame) -> DataFrame:
+    """Whole-name keys of names and aliases, in the layout of ``firm_index``."""
+    keys = firms.select(
+        "firm_ord", F.explode(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("k")
+    )
+    names = keys.groupBy(norm_firm(F.col("k")).alias("name")).agg(F.min("firm_ord").alias("firm_ord"))
+    return names.select(_exact_key(F.col("name")).alias("seg_key"), "name", "firm_ord")
+
+
+def _probe_keys() -> Column:
+    """Every segment key a firm name similar to ``norm`` could be found under."""
     la = F.length("norm")
 
     def for_length(lf: Column) -> Column:
@@ -115,40 +128,43 @@ def _probes(names: DataFrame) -> DataFrame:
     shortest = F.ceil(la * (_DEN - _NUM) / _DEN).cast("int")
     longest = F.floor(la * _DEN / (_DEN - _NUM)).cast("int")
     keys = F.flatten(F.array_compact(F.transform(F.sequence(shortest, longest), for_length)))
-    return names.where(la >= 6).select(
-        "norm", F.explode(F.array_distinct(F.array_compact(keys))).alias("seg_key")
+    return F.when(la >= 6, F.array_distinct(F.array_compact(keys)))
+
+
+def company_matches(companies: DataFrame, firms: DataFrame) -> DataFrame:
+    """``(company, firm_ord)`` for every distinct company; NULL when no firm matches.
+
+    One pass: each company is exploded into its probe keys (whole name first),
+    joined with the firm index, and reduced to the smallest matching ``firm_ord``
+    with map-side combine.
+    """
+    named = companies.withColumn("norm", norm_firm(F.col("company")))
+    keys = F.concat(
+        F.array(_exact_key(F.col("norm"))), F.coalesce(_probe_keys(), F.array().cast("array<bigint>"))
+    )
+    probes = named.select("company", "norm", F.explode(keys).alias("seg_key"))
+    index = exact_index(firms).withColumn("exact", F.lit(True)).unionByName(
+        firm_index(firms).withColumn("exact", F.lit(False))
+    )
+    hit = F.when(F.col("exact"), F.col("norm") == F.col("name")).otherwise(similar(F.col("norm"), F.col("name")))
+    return (
+        probes.join(index, "seg_key", "left")
+        .groupBy("company")
+        .agg(F.min(F.when(hit, F.col("firm_ord"))).alias("firm_ord"))
     )
 
 
 def firm_match_exact(companies: DataFrame, firms: DataFrame) -> DataFrame:
     """``(company, firm_ord)`` by equal normalised name or alias."""
-    keys = firms.select("firm_ord", F.col("name").alias("k")).unionAll(
-        firms.select("firm_ord", F.explode("aliases").alias("k"))
-    )
-    keys = keys.groupBy(norm_firm(F.col("k")).alias("norm")).agg(F.min("firm_ord").alias("firm_ord"))
-    return companies.withColumn("norm", norm_firm(F.col("company"))).join(keys, "norm").select(
+    names = exact_index(firms).select(F.col("name").alias("norm"), "firm_ord")
+    return companies.withColumn("norm", norm_firm(F.col("company"))).join(names, "norm").select(
         "company", "firm_ord"
     )
 
 
 def firm_match_fuzzy(companies: DataFrame, firms: DataFrame) -> DataFrame:
     """``(company, firm_ord)``: the earliest firm by name, alias or similar name."""
-    named = companies.withColumn("norm", norm_firm(F.col("company")))
-    norms = named.select("norm").distinct()
-    near = (
-        _probes(norms)
-        .join(firm_index(firms), "seg_key")
-        .where(similar(F.col("norm"), F.col("name")))
-        .select("norm", "firm_ord")
-    )
-    keys = firms.select("firm_ord", F.col("name").alias("k")).unionAll(
-        firms.select("firm_ord", F.explode("aliases").alias("k"))
-    )
-    exact = norms.join(
-        keys.groupBy(norm_firm(F.col("k")).alias("norm")).agg(F.min("firm_ord").alias("firm_ord")), "norm"
-    ).select("norm", "firm_ord")
-    best = near.unionAll(exact).groupBy("norm").agg(F.min("firm_ord").alias("firm_ord"))
-    return named.join(best, "norm").select("company", "firm_ord")
+    return company_matches(companies.select("company").distinct(), firms).where("firm_ord is not null")
 
 
 def allow_list_semi(df: DataFrame, site_firms: DataFrame) -> DataFrame:
@@ -177,9 +193,7 @@ def firm_attributes(firms: DataFrame) -> DataFrame:
 
 def company_firms(companies: DataFrame, firms: DataFrame, site_firms: DataFrame | None) -> DataFrame:
     """Firm attributes and allow-list mark per distinct company."""
-    out = companies.join(firm_match_fuzzy(companies, firms), "company", "left").join(
-        firm_attributes(firms), "firm_ord", "left"
-    )
+    out = company_matches(companies, firms).join(firm_attributes(firms), "firm_ord", "left")
     if site_firms is None:
         return out.withColumn("allow_listed", F.lit(False))
     keys = (
@@ -218,6 +232,6 @@ def apply_gate(df: DataFrame, signals: dict[str, list[str]] = C.INDUSTRY_SIGNALS
     gate = (
         F.when(F.col("firm_ord").isNotNull(), "firm")
         .when(F.col("allow_listed"), "allow_list")
-        .when(has_signals(F.col("__d"), signals), "signals")
+        .when(has_signals("__d", signals), "signals")
     )
     return lowered.withColumn("gate", gate).where("gate is not null").drop("__d", "allow_listed")

@@ -33,7 +33,7 @@ def build_firms(firm_csv: DataFrame, ranking: list[tuple[int, str]] = C.RANKING)
         F.col("ord").alias("firm_ord"),
         "name",
         none.alias("aliases"),
-        firm_type(F.col("__n")).alias("firm_type"),
+        firm_type("__n").alias("firm_type"),
         F.coalesce(F.nullif("__industry", F.lit("")), F.lit(C.DEFAULT_INDUSTRY)).alias("industry"),
         F.col("company_rank").alias("firm_rank"),
         none.alias("specializations"),

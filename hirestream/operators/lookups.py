@@ -14,10 +14,12 @@ from hirestream import config as C
 from hirestream.functions.keys import first_by_key, last_by_key
 from hirestream.functions.text import (
     content_key,
+    first_case,
     metro_area,
     norm_company,
     norm_key,
     occupation_code,
+    quoted,
     truthy,
 )
 from hirestream.functions.urls import hostname, is_url
@@ -29,8 +31,8 @@ from hirestream.operators.filters import ttl_valid
 
 def _norm_py(spark, names: list[str], suffixes: list[str] | None) -> list[str]:
     """Normalise a short list of constants with the same expression as the data."""
-    row = spark.range(1).select(*[norm_company(F.lit(n), suffixes).alias(f"n{i}") for i, n in enumerate(names)])
-    return list(row.first())
+    rows = spark.createDataFrame([(n,) for n in names], "n string")
+    return [r[0] for r in rows.coalesce(1).select(norm_company(F.col("n"), suffixes)).collect()]
 
 
 def company_rank(
@@ -44,13 +46,13 @@ def company_rank(
     literal comparisons evaluated on distinct companies.
     """
     normed = _norm_py(companies.sparkSession, [name for _, name in ranking], suffixes)
-    key = F.col("__norm")
-    chain = F
-    for (rank, _), entry in zip(ranking, normed):
-        chain = chain.when(key.contains(entry) | F.contains(F.lit(entry), key), F.lit(rank))
+    cases = [
+        (f"contains(__norm, {quoted(entry)}) or contains({quoted(entry)}, __norm)", str(rank))
+        for (rank, _), entry in zip(ranking, normed)
+    ]
     return (
         companies.withColumn("__norm", norm_company(F.col("company"), suffixes))
-        .withColumn("company_rank", chain if ranking else F.lit(None).cast("int"))
+        .withColumn("company_rank", F.expr(first_case(cases)) if ranking else F.lit(None).cast("int"))
         .drop("__norm")
     )
 
@@ -96,8 +98,8 @@ def salary_estimate(df: DataFrame, wages: DataFrame | None = None) -> DataFrame:
     lowered = df.withColumns({"__t": F.lower("title"), "__l": F.lower(F.coalesce("location", F.lit("")))})
     coded = lowered.withColumns(
         {
-            "soc": occupation_code(F.col("__t"), F.col("role_category")),
-            "metro": metro_area(F.col("__l")),
+            "soc": occupation_code("__t", "role_category"),
+            "metro": metro_area("__l"),
             "__need": need,
         }
     )

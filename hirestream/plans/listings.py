@@ -23,6 +23,7 @@ from hirestream.operators.lookups import (
     salary_estimate,
 )
 from hirestream.operators.slugs import slug_uniquify, with_slug_base
+from hirestream.session import stage
 
 
 @dataclass
@@ -76,8 +77,11 @@ def enrich_listings(gated: DataFrame, dims: Dimensions, run_ts: Column) -> DataF
 
 
 def filtered_listings(deduped: DataFrame, dims: Dimensions, run_ts: Column) -> DataFrame:
-    """Role filter, then the firm gate; rows carry their company profile."""
-    roles = role_filter(deduped)
+    """Role filter, then the firm gate; rows carry their company profile.
+
+    The listings with a role are staged: the profile and the gate both read them.
+    """
+    roles = stage(role_filter(deduped), "roles")
     profile = company_profile(roles.select("company").distinct(), dims, run_ts)
     return apply_gate(roles.join(profile, "company", "left"))
 
@@ -103,12 +107,13 @@ def daily_run(
     """A whole run: duplicates out, filter, enrich, slugs, publish decisions, statistics.
 
     ``dims.published`` is the full snapshot (``publish.ITEM_COLUMNS`` plus ``id``
-    and ``item_ord``).
+    and ``item_ord``).  Results that several later steps read are staged as tables.
     """
-    deduped = url_dedup(fingerprint_dedup(raw))
+    deduped = stage(url_dedup(fingerprint_dedup(raw)), "deduped")
     filtered = filtered_listings(deduped, dims, run_ts)
     enriched = enrich_listings(filtered, dims, run_ts)
-    enriched = slug_uniquify(with_slug_base(enriched), dims.published)
+    enriched = with_slug_base(stage(enriched, "enriched"))
+    enriched = stage(slug_uniquify(enriched, dims.published), "slugged")
     publishable = publish_filter(enriched)
     items = P.map_published_item(publishable, run_ts)
     snapshot = dims.published.select(
@@ -122,6 +127,7 @@ def daily_run(
         ),
         snapshot,
     ).select("ord", "seq", "item_id", "action")
+    decided = stage(decided, "decided")
     changes = items.join(decided.select("ord", "item_id"), "ord")
     before = dims.published.select("id", *P.ITEM_COLUMNS)
     after = P.apply_upserts(before, changes)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "hirestream", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,3 +56,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a table one job hands to the next."""
     return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result that several later steps read, and read it back.
+
+    The table survives the loss of executors, keeps later plans short, and its
+    columns can still be pruned.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
