@@ -521,8 +521,8 @@ add("top_companies", "listings", "select company, count(*) n from listings group
 LAST = lambda d, at: f"coalesce(sum(created) filter (run_ts >= timestamp '{at}' - interval {d} day), 0) created_{d}d"
 add("rolling_created", "history", f"select count(*) total_runs, {LAST(30, '2024-02-10')}, {LAST(60, '2024-02-10')}, {LAST(90, '2024-02-10')} from history")
 WEEK = "(run_ts::date - dayofweek(run_ts)::int)"
-add("weekly_created", "history", f"select {WEEK} week, sum(created) created, strftime({WEEK}, '%m-%d') as label from history group by 1, 3")
-add("weekly_created_recent", "history", f"select {WEEK} week, sum(created) created, strftime({WEEK}, '%m-%d') as label from history where run_ts >= timestamp '2024-04-05' - interval 90 day group by 1, 3")
+add("weekly_created", "history", f"select {WEEK} as week, sum(created) created, strftime({WEEK}, '%m-%d') as label from history group by 1, 3")
+add("weekly_created_recent", "history", f"select {WEEK} as week, sum(created) created, strftime({WEEK}, '%m-%d') as label from history where run_ts >= timestamp '2024-04-05' - interval 90 day group by 1, 3")
 add("states_covered", "history_facts", "select distinct name state from history_facts where kind = 'state'")
 add("top_companies_over_runs", "history_facts", "select name company, sum(n) n from history_facts where kind = 'top_company' group by 1 order by n desc, min((run_ts, rank)) limit 10")
 add("latest_runs", "history", "select run_ts, created, errors from history order by run_ts desc limit 10")
@@ -578,7 +578,7 @@ add("scan_board_cache", "board_cache", "select firm_key, provider, board_token,
 add("scan_raw_payloads", "", f"select source, page_id ord, url, length(html) n from (select *, [{PROV}][(page_id % 15 + 1)::int] source from pages) where source in ('lever', 'zoho')")
 add("snapshot_round_trip", "published", "select * from published")
 KW = ", ".join(f"({q(k)}, {q(w)})" for k, ws in C.ROLE_TITLE_KEYWORDS.items() for w in ws)
-add("config_lists", "listings", f"select category, keyword, count(*) n from listings join (values {KW}) v(category, keyword) on contains(lower(title), keyword) group by 1, 2")
+add("config_lists", "listings", f"select v.category, v.keyword, count(*) n from listings join (values {KW}) v(category, keyword) on contains(lower(title), v.keyword) group by 1, 2")
 
 # --- feeds -----------------------------------------------------------------------------------------
 
@@ -664,7 +664,7 @@ def detail(name: str, source: str, title: str, url: str, blank_title_kept: bool)
     feed(name, source, {
         "title": f"case when {has_p} then title else {title} end", "company": "company",
         "location": f"case when {has_p} then case when ord % 2 = 0 then 'Gent, OVL' else 'Gent' end else '' end",
-        "description": f"case when {has_p} then {html(HTML(), 'B')} else 'Some text' end",
+        "description": f"case when {has_p} then {html(decode(HTML()), 'B')} else 'Some text' end",
         "source_url": f"case when {has_p} and ord % 3 = 0 then {url} else concat('https://example.com/j/', ord) end",
         "date_posted": f"case when {has_p} and ord % 5 <> 0 then date_posted else {RUNISO} end",
         "contract_type": f"case when {has_p} then 'permanent' end", "contract_time": f"case when {has_p} then 'full_time' end"},

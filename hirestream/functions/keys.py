@@ -14,6 +14,18 @@ from pyspark.sql import functions as F
 from hirestream.session import ensure_checkpoint_dir
 
 
+def computed(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated exactly once per row.
+
+    Filters on a plain derived column are pushed below it with the whole
+    expression copied in, which repeats costly expressions and lets long chains of
+    them grow without bound.  A generator of one row stops that.
+    """
+    row = F.struct(*[c.alias(n) for n, c in cols.items()])
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in cols]
+    return df.select(*kept, F.inline(F.array(row)))
+
+
 def first_by_key(df: DataFrame, keys: Sequence[str], order: str | Column) -> DataFrame:
     """The first row of every key group in ``order``; for narrow tables."""
     names = df.columns

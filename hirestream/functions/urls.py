@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirestream import config as C
+from hirestream.functions.keys import computed
 from hirestream.functions.text import trim_ws, truthy
 
 _URL = r"^(?i)(https?)://(?:[^/?#@]*@)?([^/?#\s:]+)(:[0-9]*)?([^?#]*)(\?[^#]*)?(#.*)?\z"
@@ -83,7 +84,7 @@ def with_canonical_url(
         F.when(F.col("__path") == "", "/").otherwise(F.col("__path")),
         F.when(F.col("__search") != "", F.concat(F.lit("?"), F.col("__search"))).otherwise(""),
     )
-    df = df.withColumn(out, F.when(is_url(t), full).otherwise(F.regexp_replace(t, r"/+\z", "")))
+    df = computed(df, {out: F.when(is_url(t), full).otherwise(F.regexp_replace(t, r"/+\z", ""))})
     return df.drop("__t", "__path", "__search")
 
 
@@ -107,25 +108,20 @@ def with_unwrapped_url(df: DataFrame, source: str, out: str) -> DataFrame:
 
     The result is NULL when a wrapped link holds something that is not a URL.
     """
-    df = df.withColumn(out, trim_ws(F.col(source)))
-    u, inner, wrapped = F.col(out), F.col("__inner"), F.col("__wrapped")
-    for _ in range(3):
+    def unwrap(u: Column, _: Column) -> Column:
         safelink = hostname(u).contains("safelinks.protection.outlook.com")
-        nested = F.coalesce(F.nullif(param(u, "url"), F.lit("")), u)
-        df = df.withColumn("__inner", F.when(safelink, nested).otherwise(u))
-        df = df.withColumn(
-            "__wrapped",
-            F.when(
-                hostname(inner).contains("urldefense.com"),
-                F.regexp_extract(path(inner), "__(.+?)__", 1),
-            ),
+        inner = F.when(safelink, F.coalesce(F.nullif(param(u, "url"), F.lit("")), u)).otherwise(u)
+        wrapped = F.when(
+            hostname(inner).contains("urldefense.com"), F.regexp_extract(path(inner), "__(.+?)__", 1)
         )
         # a plus sign is literal in a path
         decoded = F.try_url_decode(F.replace(wrapped, F.lit("+"), F.lit("%2B")))
         decoded = F.regexp_replace(decoded, r"(?i)^(https?):/(?=[^/])", "$1://")
         step = F.when(truthy(wrapped), decoded).otherwise(inner)
-        df = df.withColumn(out, F.when(~is_url(u), u).otherwise(F.when(is_url(inner), step)))
-    return df.drop("__inner", "__wrapped")
+        return F.when(~is_url(u), u).otherwise(F.when(is_url(inner), step))
+
+    rounds = F.array(F.lit(1), F.lit(2), F.lit(3))
+    return computed(df, {out: F.aggregate(rounds, trim_ws(F.col(source)), unwrap)})
 
 
 def resolve(link: Column, base: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirestream import config as C
+from hirestream.functions.keys import computed
 from hirestream.functions.text import any_contains, blank, count_contains, first_case, quoted, whole_word
 
 
@@ -23,7 +24,7 @@ def role_filter(
     cases = [(any_contains("__t", words), quoted(category)) for category, words in titles.items()]
     cases.append((f"{count_contains('__d', descriptions)} >= 2", "'operations'"))
     role = F.expr(first_case(cases))
-    return lowered.withColumn("role_category", role).where("role_category is not null").drop("__t", "__d")
+    return computed(lowered, {"role_category": role}).where("role_category is not null").drop("__t", "__d")
 
 
 def has_signals(lowered: str, signals: dict[str, list[str]] = C.INDUSTRY_SIGNALS) -> Column:

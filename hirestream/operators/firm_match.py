@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirestream import config as C
+from hirestream.functions.keys import computed
 from hirestream.functions.text import norm_firm, norm_key
 
 SPARE = 2
@@ -234,4 +235,4 @@ def apply_gate(df: DataFrame, signals: dict[str, list[str]] = C.INDUSTRY_SIGNALS
         .when(F.col("allow_listed"), "allow_list")
         .when(has_signals("__d", signals), "signals")
     )
-    return lowered.withColumn("gate", gate).where("gate is not null").drop("__d", "allow_listed")
+    return computed(lowered, {"gate": gate}).where("gate is not null").drop("__d", "allow_listed")

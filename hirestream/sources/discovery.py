@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirestream.functions.keys import dedupe_by_key, first_by_key
+from hirestream.functions.keys import computed, dedupe_by_key, first_by_key
 from hirestream.functions.text import norm_key, trim_ws
 from hirestream.functions.urls import (
     canonical_seed_url,
@@ -41,16 +41,18 @@ def classify_detections(detections: DataFrame) -> DataFrame:
     """Add ``provider``, ``token`` and ``source_url`` to unwrapped detections; NULL provider = unknown."""
     d = with_unwrapped_url(detections, "url", "u").where(is_url(F.col("u")))
     u, ats, h, parts = F.col("u"), F.col("ats_name"), F.col("h"), F.col("parts")
-    d = d.withColumns(
+    d = computed(
+        d,
         {
             "ats_name": F.lower(trim_ws(F.regexp_replace("ats", r"\s*\([^)]+\)\s*\z", ""))),
             "h": hostname(u),
             "parts": F.filter(F.split(path(u), "/"), lambda p: p != ""),
             "site": F.concat(F.lit("https://"), host(u)),
             "p": path(u),
-        }
+            "own": _normal_url(u),
+        },
     )
-    own = _normal_url(u)
+    own = F.col("own")
     low = F.transform(parts, F.lower)
     a0, a1, a2, a3 = (_at(low, i) for i in range(4))
     third = _at(parts, 3)
@@ -115,12 +117,13 @@ def classify_detections(detections: DataFrame) -> DataFrame:
             chain = chain.when(rule[1], F.lit(rule[0]) if i == 0 else rule[i])
         return chain
 
-    return d.withColumns(
+    return computed(
+        d,
         {
             "provider": pick(0),
             "token": F.coalesce(pick(2), F.lit("")),
             "source_url": F.coalesce(pick(3), F.lit("")),
-        }
+        },
     )
 
 
