@@ -21,6 +21,7 @@ from hirestream.sources import discovery, feeds_html, feeds_json, feeds_xml, pag
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
+LARGE = ("customer", "documents", "events", "pages")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RANKING = [(1, "Acme Design"), (2, "Blue Harbor"), (3, "The Studio 1 Company, Inc."), (4, "Foods"), *C.RANKING]
 
@@ -52,7 +53,8 @@ class Ctx:
         return self.spark.sql(sql)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return tables.spread_small_scan(df, df.columns[0]) if name in LARGE else df
 
     def firms(self) -> DataFrame:
         none = F.array().cast("array<string>")

@@ -45,11 +45,15 @@ def _segment_bounds(length: Column, n: Column, i: Column) -> tuple[Column, Colum
 
 
 def similar(a: Column, b: Column) -> Column:
-    """1 - distance / longer length >= 0.85, evaluated in doubles."""
+    """1 - distance / longer length >= 0.85, evaluated in doubles.
+
+    The distance is computed in a band of the edit limit; beyond it, it is -1.
+    """
     longer = F.greatest(F.length(a), F.length(b))
-    limit = edit_limit(longer) + 1
-    d = F.levenshtein(a, b)
-    return (longer == 0) | ((F.abs(F.length(a) - F.length(b)) < limit) & (1 - d / longer >= C.SIMILARITY))
+    limit = edit_limit(longer)
+    d = F.call_function("levenshtein", a, b, limit)
+    close = F.abs(F.length(a) - F.length(b)) <= limit
+    return (longer == 0) | (close & (d >= 0) & (1 - d / longer >= C.SIMILARITY))
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -139,7 +143,9 @@ def company_matches(companies: DataFrame, firms: DataFrame) -> DataFrame:
     joined with the firm index, and reduced to the smallest matching ``firm_ord``
     with map-side combine.
     """
-    named = companies.withColumn("norm", norm_firm(F.col("company")))
+    # the work per name is large compared to its size in bytes: spread it in full
+    n = int(companies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = companies.repartition(n, "company").withColumn("norm", norm_firm(F.col("company")))
     keys = F.concat(
         F.array(_exact_key(F.col("norm"))), F.coalesce(_probe_keys(), F.array().cast("array<bigint>"))
     )

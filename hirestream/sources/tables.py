@@ -159,6 +159,16 @@ def scan_published_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
+    """Distribute a table of few files over all cores.
+
+    A table in one row group is scanned by one task, and everything up to the
+    first shuffle stays there.  Tables with enough files are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def sink_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
