@@ -833,12 +833,12 @@ def snapshot_round_trip(c: Ctx) -> DataFrame:
 
 @query
 def config_lists(c: Ctx) -> DataFrame:
-    """How often each title keyword occurs, by joining listings with the keyword table."""
-    from hirestream.sources.config_files import config_table
-
-    kw = config_table(c.spark, C.ROLE_TITLE_KEYWORDS, "category", "keyword")
-    titles = c.view("listings").groupBy(F.lower("title").alias("t")).agg(F.count(F.lit(1)).alias("n"))
-    return titles.join(F.broadcast(kw), F.contains(F.col("t"), F.col("keyword"))).groupBy("category", "keyword").agg(F.sum("n").alias("n"))
+    """How many listings carry each title keyword."""
+    rows = ", ".join(
+        f"named_struct('category', {X.quoted(k)}, 'keyword', {X.quoted(w)})" for k, ws in C.ROLE_TITLE_KEYWORDS.items() for w in ws
+    )
+    found = F.filter(F.expr(f"array({rows})"), lambda k: F.contains(F.lower("title"), k["keyword"]))
+    return c.view("listings").select(F.inline(found)).groupBy("category", "keyword").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- feeds -------------------------------------------------------------------------------
@@ -1147,10 +1147,10 @@ def extract_links(c: Ctx) -> DataFrame:
 def search_page_frontier(c: Ctx) -> DataFrame:
     """Search pages of every fifth board, linked as a binary tree by number, with links back."""
     p = c.table("pages")
-    last = p.agg(F.max("page_id").alias("last"))
+    last = p.agg(F.max("page_id")).scalar()
     page = lambda n: F.concat(F.lit("https://b.icims.com/jobs/search?pr="), n)
     edges = p.select("page_id", F.explode(F.array(F.col("page_id") * 2, F.col("page_id") * 2 + 1, F.floor(F.col("page_id") / 3))).alias("to"))
-    edges = edges.crossJoin(F.broadcast(last)).where("to <= last and to > 0")  # one row
+    edges = edges.withColumn("last", last).where("to <= last and to > 0")
     links = edges.select(page(F.col("page_id")).alias("page"), page(F.col("to")).alias("link"))
     seeds = p.where("page_id between 1 and 9 or page_id % 100 = 7").select(F.col("page_id").alias("board"), page(F.col("page_id")).alias("page"))
     return page_ops.search_page_frontier(seeds, links).groupBy("board").agg(F.count(F.lit(1)).alias("pages"), F.max("level").alias("depth"))

@@ -85,10 +85,9 @@ def run_summary(
         F.coalesce(F.sum(F.when(F.col("text_gate") == "generate", F.col("calls_needed"))), F.lit(0)).alias("ai_calls_made"),
         F.coalesce(F.sum(F.when(F.col("text_gate") == "generate", F.col("calls_skipped"))), F.lit(0)).alias("ai_calls_skipped"),
     )
-    row = funnel.crossJoin(F.broadcast(stats))  # one row each
+    row = funnel.withColumn("stats", stats.select(F.struct(*stats.columns)).scalar())
     return row.where("after_filter > 0").select(
-        run_ts.alias("run_ts"), duration_ms.alias("duration_ms"), *FUNNEL,
-        "unique_companies", "unique_states", "ai_calls_made", "ai_calls_skipped",
+        run_ts.alias("run_ts"), duration_ms.alias("duration_ms"), *FUNNEL, "stats.*"
     )
 
 
@@ -181,8 +180,8 @@ def dashboard_kpis(history: DataFrame, run_log: DataFrame, run_ts: Column) -> Da
         last.alias("last"), F.coalesce(F.sum(F.when(recent, F.col("created"))), F.lit(0)).alias("created_30d")
     )
     job = run_log.agg(F.max_by("conclusion", "started_at").alias("conclusion"), F.count(F.lit(1)).alias("runs"))
+    both = kpis.withColumn("job", job.select(F.struct(*job.columns)).scalar()).select("*", "job.*")
     errors = F.coalesce("last.errors", F.lit(0))
-    both = kpis.crossJoin(F.broadcast(job))  # one row each
     failed, none = F.col("conclusion") == "failure", F.col("runs") == 0
     return both.select(
         F.coalesce("last.after_quality_filter", F.lit(0)).alias("active_listings"),

@@ -104,7 +104,7 @@ def score_distribution(items: DataFrame, ceiling: int = C.TABLE_CEILING) -> Data
     bands = items.groupBy((F.floor(F.col("quality_score") / 10) * 10).alias("score_band")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    total = items.agg(F.count(F.lit(1)).alias("total_items"))
-    return bands.crossJoin(F.broadcast(total)).withColumn(  # one row
+    total = items.agg(F.count(F.lit(1))).scalar()
+    return bands.withColumn("total_items", total).withColumn(
         "ceiling_share", F.round(F.col("total_items") / ceiling, 4)
     )

@@ -106,14 +106,14 @@ def match_published(batch: DataFrame, published: DataFrame, merge_in_batch: bool
     open_rows = thin.where("url_id is null")
     if merge_in_batch:
         starts = open_rows.where("n0 = 0").groupBy("fp").agg(F.min("place").alias("fp_first"))
-        # one row: the first row without URL that creates an item
+        # a single value: the first row without URL that creates an item
         owner = (
             open_rows.where("source_url = ''")
             .join(starts, "fp", "left")
             .where((F.col("n0") >= 2) | (F.col("place") == F.col("fp_first")))
             .agg(F.min("place").alias("owner"))
         )
-        open_rows = open_rows.crossJoin(F.broadcast(owner)).withColumn(
+        open_rows = open_rows.withColumn("owner", owner.scalar()).withColumn(
             "follows_owner", F.coalesce((F.col("source_url") == "") & (F.col("place") > F.col("owner")), F.lit(False))
         )
         creators = (

@@ -109,7 +109,8 @@ def daily_run(
     ``dims.published`` is the full snapshot (``publish.ITEM_COLUMNS`` plus ``id``
     and ``item_ord``).  Results that several later steps read are staged as tables.
     """
-    deduped = stage(url_dedup(fingerprint_dedup(raw)), "deduped")
+    raw = stage(raw, "raw")
+    deduped = stage(url_dedup(stage(fingerprint_dedup(raw), "distinct")), "deduped")
     filtered = filtered_listings(deduped, dims, run_ts)
     enriched = enrich_listings(filtered, dims, run_ts)
     enriched = with_slug_base(stage(enriched, "enriched"))
@@ -146,9 +147,9 @@ def daily_run(
             "after_quality_filter": publishable,
         }
     ).drop("created", "updated", "expired", "deleted", "skipped")
-    # one row each
-    funnel = steps.crossJoin(F.broadcast(counts)).withColumn(
-        "skipped", F.col("after_filter") - F.col("after_quality_filter")
+    counts = counts.select(F.struct(*counts.columns)).scalar()
+    funnel = steps.withColumn("counts", counts).select(
+        "*", "counts.*", (F.col("after_filter") - F.col("after_quality_filter")).alias("skipped")
     )
     ms = F.lit(0).cast("bigint") if duration_ms is None else duration_ms
     return RunResult(

@@ -11,12 +11,16 @@ from hirestream.operators.filters import provider_subset
 
 
 def scan_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Quoted CSV with embedded line breaks and doubled quotes; missing cells become ``""``."""
+    """Quoted CSV with embedded line breaks and doubled quotes; missing cells become ``""``.
+
+    Windows line ends are read like plain ones, also inside quotes and when mixed.
+    """
     df = spark.read.csv(
-        path, header=True, multiLine=True, quote='"', escape='"', emptyValue="",
+        path, header=True, multiLine=True, quote='"', escape='"', emptyValue="", lineSep="\n",
         ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True,
     )
-    return df.fillna("")
+    plain = [F.regexp_replace(F.coalesce(f"`{c}`", F.lit("")), "\r\n?", "\n").alias(c.strip()) for c in df.columns]
+    return df.select(*plain)
 
 
 def scan_firm_csv(spark: SparkSession, path: str) -> DataFrame:
