@@ -16,7 +16,7 @@ from hirestream.operators import caches, dedup, enrichment, filters, firm_match,
 from hirestream.operators import quality as quality_ops
 from hirestream.operators import slugs
 from hirestream.plans import listings as plan
-from hirestream.session import scratch_path
+from hirestream.session import scratch_path, stage
 from hirestream.sources import discovery, feeds_html, feeds_json, feeds_xml, pages as page_ops, tables
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -87,7 +87,7 @@ class Ctx:
 
     def gated(self) -> DataFrame:
         """De-duplicated listings that passed both filters, with company profile."""
-        d = dedup.url_dedup(dedup.fingerprint_dedup(self.view("listings")))
+        d = dedup.url_dedup(stage(dedup.fingerprint_dedup(self.view("listings")), "distinct"))
         return plan.filtered_listings(d, self.dims(), run_ts())
 
     def dims(self) -> plan.Dimensions:
@@ -465,13 +465,13 @@ def slug_uniquify_contested(c: Ctx) -> DataFrame:
 
 @query
 def match_published(c: Ctx) -> DataFrame:
-    batch = dedup.url_dedup(dedup.fingerprint_dedup(c.view("listings")))
+    batch = stage(dedup.url_dedup(dedup.fingerprint_dedup(c.view("listings"))), "batch")
     return publish.match_published(batch, c.published()).select("ord", "action", "item_id")
 
 
 @query
 def match_published_no_merge(c: Ctx) -> DataFrame:
-    batch = dedup.url_dedup(dedup.fingerprint_dedup(c.view("listings")))
+    batch = stage(dedup.url_dedup(dedup.fingerprint_dedup(c.view("listings"))), "batch")
     return publish.match_published(batch, c.published(), merge_in_batch=False).select("ord", "action", "item_id")
 
 

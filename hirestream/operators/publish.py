@@ -10,6 +10,7 @@ from hirestream.functions.keys import numbered
 from hirestream.functions.text import fingerprint, parse_date
 from hirestream.functions.urls import ensure_protocol
 from hirestream.operators.dedup import with_seq
+from hirestream.session import stage
 
 
 def set_expiration(posted: Column, run_ts: Column) -> Column:
@@ -83,7 +84,7 @@ def match_published(batch: DataFrame, published: DataFrame, merge_in_batch: bool
     later rows of the same fingerprint update it.  Rows without URL also follow
     the first created item without URL.  Other URLs must be unique in the batch.
 
-    Every step is an aggregate or an equi-join; the item of a created row is
+    Every step is an aggregate or an equi-join on a staged narrow table; the item of a created row is
     ``new:<ord>`` of its creator.
     """
     keyed = with_seq(batch).withColumn("fp", fingerprint(F.col("company"), F.col("title"), F.col("location")))
@@ -102,7 +103,8 @@ def match_published(batch: DataFrame, published: DataFrame, merge_in_batch: bool
         "ord", place.alias("place"), "fp", F.coalesce("source_url", F.lit("")).alias("source_url")
     )
     thin = thin.join(by_url, "source_url", "left").join(by_fp, "fp", "left")
-    thin = thin.withColumn("n0", F.coalesce("n0", F.lit(0)))
+    # a few narrow columns that every step below reads
+    thin = stage(thin.withColumn("n0", F.coalesce("n0", F.lit(0))), "match")
     open_rows = thin.where("url_id is null")
     if merge_in_batch:
         starts = open_rows.where("n0 = 0").groupBy("fp").agg(F.min("place").alias("fp_first"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from hirestream.functions.keys import numbered
 from hirestream.functions.text import slug_base
+from hirestream.session import stage
 
 _NUMBERED = r"^(.+)-([2-9]|[1-9][0-9]+)\z"
 
@@ -78,6 +79,7 @@ def slug_uniquify(
         mark = taken.select(F.col("slug").alias("slug_base"), F.lit(1).alias("__taken"))
         ranked = ranked.join(mark, "slug_base", "left")
 
+    ranked = stage(ranked, "slug-numbers")
     looped = _loop(ranked.where(F.col("__n") <= F.col("limit")), taken, orders)
     # behind the last contested number the loop only counts on
     shift = looped.join(
