@@ -685,6 +685,9 @@ select source, count(*) n, min(r * 288230376151711744 + ord * 1048576 + 1) first
 
 add("jsonld_postings", "listings", "select ord page_id, title, 'BE' country from listings where ord % 5 < 3")
 add("extract_meta", "", "select page_id, concat('Page ''', page_id, '''') og, 'a & b' keywords from pages")
+# the first element with "ad" in its class is a div on every page, so no back-reference is needed
+AD = q(r"""(?is)<div[^>]*class=["'][^"']*ad[^"']*["'][^>]*>(.*?)</div>""")
+add("extract_text_by_class", "", f"select page_id, {tidy(untag(decode(f'regexp_extract(html, {AD}, 1)'), BLOCKS['B']))} as text from pages")
 LINKRX = q(r"""(?i)href=["'](/[^"']+)["']""")
 add("extract_links", "", f"""with l as (select page_id, lower(regexp_extract(url, '(?i)^(https?://[^/?#]+)', 1)) o, unnest(regexp_extract_all(html, {LINKRX}, 1)) r from pages)
 select distinct page_id, concat(o, {decode('r')}) link from l""")

@@ -97,7 +97,7 @@ class Ctx:
         )
 
     def enriched(self) -> DataFrame:
-        return plan.enrich_listings(self.gated(), self.dims(), run_ts())
+        return stage(plan.enrich_listings(self.gated(), self.dims(), run_ts()), "enriched")
 
     def site_firms(self) -> DataFrame:
         """Allow list: every third company that is not a firm."""

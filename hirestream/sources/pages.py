@@ -117,6 +117,11 @@ LINK_PATTERNS = {
 }
 
 
+def link_pattern(feed: str, slug: str = "") -> str:
+    """The link pattern of a feed, with the board name filled in where it has one."""
+    return LINK_PATTERNS[feed].replace("{slug}", re.escape(slug))
+
+
 def extract_links(pages: DataFrame, pattern: str, key: str = "page_id") -> DataFrame:
     """``(key, link)``: distinct absolute links matching ``pattern`` (one capture group).
 

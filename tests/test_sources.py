@@ -108,6 +108,13 @@ def test_broken_json_gives_no_rows(spark):
     assert [(r.title, r.description, r.location) for r in rows] == [("T", "", "")]
 
 
+def test_feed_links(spark):
+    html = """<a href="/acme/job/o1">x</a><a href='/other/job/o2'>y</a><a href="/acme/job/o1">z</a><a href='https://c.icims.com/jobs/7/t/job?a=1&amp;b=2'>w</a>"""
+    df = spark.createDataFrame([(1, "https://jobs.jobvite.com/acme/jobs", html)], "page_id long, url string, html string")
+    assert [r.link for r in pages.extract_links(df, pages.link_pattern("jobvite", "acme")).collect()] == ["https://jobs.jobvite.com/acme/job/o1"]
+    assert [r.link for r in pages.extract_links(df, pages.link_pattern("icims_detail_absolute")).collect()] == ["https://c.icims.com/jobs/7/t/job?a=1&b=2"]
+
+
 def test_embedded_json(spark):
     html = 'x {"a":1} window.pageData = {"s":"} \\" {","n":[{"é":1}]}; more {'
     df = spark.createDataFrame([(1, html), (2, "none {}"), (3, "window.pageData = {broken")], "page_id long, html string")
