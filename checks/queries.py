@@ -21,6 +21,7 @@ from hirestream.sources import discovery, feeds_html, feeds_json, feeds_xml, pag
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
+LANDED: dict[tuple[str, str], DataFrame] = {}
 LARGE = ("customer", "documents", "events", "pages")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RANKING = [(1, "Acme Design"), (2, "Blue Harbor"), (3, "The Studio 1 Company, Inc."), (4, "Foods"), *C.RANKING]
@@ -46,12 +47,26 @@ class Ctx:
         self.spark, self.dir = spark, sf_dir
 
     def view(self, name: str) -> DataFrame:
-        sql = with_views([name], f"select * from {name}", "string")
+        if name == "listings":
+            return self.landed_listings()
+        sql = with_views([name], f"select * from {name}", "string", given=("listings",))
+        if "from listings" in sql:
+            self.landed_listings().createOrReplaceTempView("listings")
+        return self._sql(sql)
+
+    def _sql(self, sql: str) -> DataFrame:
         for t in TABLES:
             if re.search(rf"(?:from|join) {t}\b", sql):
                 self.table(t).createOrReplaceTempView(t)
         return self.spark.sql(sql)
 
+    def landed_listings(self) -> DataFrame:
+        """The listings as a table: derived and written once per session and input folder."""
+        key = (self.spark.sparkContext.applicationId, self.dir)
+        if key not in LANDED:
+            LANDED[key] = stage(self._sql(with_views(["listings"], "select * from listings", "string")), "listings")
+        return LANDED[key]
+
     def table(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
         return tables.spread_small_scan(df, df.columns[0]) if name in LARGE else df

@@ -246,12 +246,15 @@ from customer
 """)
 
 
-def with_views(names: list[str], body: str, string: str) -> str:
-    """``body`` with the named tables (and what they need) as common table expressions."""
+def with_views(names: list[str], body: str, string: str, given: tuple[str, ...] = ()) -> str:
+    """``body`` with the named tables (and what they need) as common table expressions.
+
+    Tables in ``given`` exist already.
+    """
     order: list[str] = []
 
     def add(name: str) -> None:
-        if name in order:
+        if name in order or name in given:
             return
         for dep in VIEWS[name][0]:
             add(dep)
