@@ -105,9 +105,12 @@ def exact_index(firms: DataFrame) -> DataFrame:
     return names.select(_exact_key(F.col("name")).alias("seg_key"), "name", "firm_ord")
 
 
-def _probe_keys() -> Column:
-    """Every segment key a firm name similar to ``norm`` could be found under."""
-    la = F.length("norm")
+# name lengths whose places are worked out once, in a table of this many rows
+_TABLED = 64
+
+
+def _places(la: Column) -> Column:
+    """Where segments of a similar firm name can lie in a name of length ``la``."""
 
     def for_length(lf: Column) -> Column:
         n = _segment_count(lf)
@@ -123,7 +126,9 @@ def _probe_keys() -> Column:
                 F.sequence(low, high),
                 lambda shift: F.when(
                     (start + shift >= 0) & (start + shift + size <= la),
-                    F.xxhash64(lf, i, F.substring(F.col("norm"), start + shift + 1, size)),
+                    F.struct(
+                        lf.alias("lf"), i.alias("i"), (start + shift + 1).alias("pos"), size.alias("size")
+                    ),
                 ),
             )
 
@@ -132,33 +137,48 @@ def _probe_keys() -> Column:
 
     shortest = F.ceil(la * (_DEN - _NUM) / _DEN).cast("int")
     longest = F.floor(la * _DEN / (_DEN - _NUM)).cast("int")
-    keys = F.flatten(F.array_compact(F.transform(F.sequence(shortest, longest), for_length)))
-    return F.when(la >= 6, F.array_distinct(F.array_compact(keys)))
+    found = F.flatten(F.array_compact(F.transform(F.sequence(shortest, longest), for_length)))
+    return F.when(la >= 6, F.array_compact(found))
+
+
+def with_probe_keys(named: DataFrame) -> DataFrame:
+    """Add ``keys``: every index key a firm name equal or similar to ``norm`` could be found under."""
+    sized = named.withColumn("la", F.length("norm"))
+    lengths = named.sparkSession.range(_TABLED + 1).select(F.col("id").cast("int").alias("la"))
+    tabled = lengths.withColumn("places", _places(F.col("la")))  # a constant table
+    placed = sized.join(F.broadcast(tabled), "la", "left").withColumn(
+        "places", F.when(F.col("la") > _TABLED, _places(F.col("la"))).otherwise(F.col("places"))
+    )
+    keys = F.transform(
+        "places", lambda p: F.xxhash64(p["lf"], p["i"], F.substring(F.col("norm"), p["pos"], p["size"]))
+    )
+    whole = F.array(_exact_key(F.col("norm")))
+    keys = F.concat(whole, F.coalesce(F.array_distinct(keys), F.array().cast("array<bigint>")))
+    return placed.withColumn("keys", keys).drop("la", "places")
 
 
 def company_matches(companies: DataFrame, firms: DataFrame) -> DataFrame:
     """``(company, firm_ord)`` for every distinct company; NULL when no firm matches.
 
-    One pass: each company is exploded into its probe keys (whole name first),
-    joined with the firm index, and reduced to the smallest matching ``firm_ord``
-    with map-side combine.
+    One pass: each company is exploded into its probe keys (whole name first) and
+    joined with the firm index.  Candidate pairs are then made distinct, which
+    also spreads the comparisons of a crowded segment over all tasks, and each
+    pair is compared once.
     """
     # the work per name is large compared to its size in bytes: spread it in full
     n = int(companies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     named = companies.repartition(n, "company").withColumn("norm", norm_firm(F.col("company")))
-    keys = F.concat(
-        F.array(_exact_key(F.col("norm"))), F.coalesce(_probe_keys(), F.array().cast("array<bigint>"))
-    )
-    probes = named.select("company", "norm", F.explode(keys).alias("seg_key"))
+    probes = with_probe_keys(named).select("company", "norm", F.explode("keys").alias("seg_key"))
     index = exact_index(firms).withColumn("exact", F.lit(True)).unionByName(
         firm_index(firms).withColumn("exact", F.lit(False))
     )
-    hit = F.when(F.col("exact"), F.col("norm") == F.col("name")).otherwise(similar(F.col("norm"), F.col("name")))
-    return (
+    pairs = (
         probes.join(index, "seg_key", "left")
-        .groupBy("company")
-        .agg(F.min(F.when(hit, F.col("firm_ord"))).alias("firm_ord"))
+        .groupBy("company", "norm", "name", "exact")
+        .agg(F.min("firm_ord").alias("firm_ord"))
     )
+    hit = F.when(F.col("exact"), F.col("norm") == F.col("name")).otherwise(similar(F.col("norm"), F.col("name")))
+    return pairs.groupBy("company").agg(F.min(F.when(hit, F.col("firm_ord"))).alias("firm_ord"))
 
 
 def firm_match_exact(companies: DataFrame, firms: DataFrame) -> DataFrame:
