@@ -166,7 +166,7 @@ def _pack_groups(pieces: DataFrame, capacity: int) -> DataFrame:
     schema = "grp long, doc_id long, row_key long, piece int, start long, length long, ids_crc32 long, " \
              "sequence_id long, offset long, gap long"
 
-    def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         # longest first; the other columns only make the order the same in every run
         pdf = pdf.sort_values(["length", "row_key", "doc_id", "piece"], ascending=[False, True, True, True],
                               kind="stable", ignore_index=True)

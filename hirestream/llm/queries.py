@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirestream.llm.common import documents
+from hirestream.llm.jaccard_join import jaccard_classes
 from hirestream.llm.mixing import mix_sources
 from hirestream.llm.packing import pack_documents
 from hirestream.llm.quality_rules import quality_rules
+from hirestream.llm.suffix_dedup import remove_repeats
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +42,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), TOKENIZER)
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(documents(spark, sf_dir), k=3, percent=90)
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(documents(spark, sf_dir), length=50)
+    return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("bigint").alias("n_removed"),
+                       F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
