@@ -269,7 +269,8 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, block: int =
     narrow = stage(kept.where("kind <> 's' or a <> m").select("kind", "a", "b", "n", "c", "m"), "ties")
     edges = narrow.where("kind <> 'd'").select("a", F.col("m").alias("b"))
     nodes = narrow.where("kind = 'd'").select(F.col("a").alias("doc"), "n", F.col("b").alias("c1"), F.col("c").alias("c2"))
-    classes = nodes.groupBy("c1", "c2", "n").agg(F.min("doc").alias("rep"))
+    # written out, so that the join shuffles plain tables and a large class can be split
+    classes = stage(nodes.groupBy("c1", "c2", "n").agg(F.min("doc").alias("rep")), "representatives")
     labelled = stage(
         nodes.join(classes, ["c1", "c2", "n"]).select("doc", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc")).alias("rep")),
         "classes")

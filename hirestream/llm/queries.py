@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hirestream.llm.common import documents
 from hirestream.llm.jaccard_join import jaccard_classes
+from hirestream.llm.line_dedup import dedup_lines
 from hirestream.llm.mixing import mix_sources
 from hirestream.llm.packing import pack_documents
 from hirestream.llm.quality_rules import quality_rules
@@ -54,3 +55,39 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(documents(spark, sf_dir), length=50)
     return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("bigint").alias("n_removed"),
                        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("doc_id", "lines.n_lines", "lines.n_removed", F.array_join("lines.removed", ",").alias("removed"),
+                      F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+#: Lines with their words; the windows that start at them; the first place of each window.
+ORACLE["op10_line_dedup"] = r"""
+with split as (select doc_id, coalesce(text, '') as t, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+rows as (select doc_id, t, ls, unnest(range(len(ls))) as i from split),
+lines as (
+  select doc_id, i, ls[i + 1] as l, len(regexp_extract_all(ls[i + 1], '[^\x20\x09-\x0D]+')) as w
+  from rows where regexp_matches(ls[i + 1], '[^\x20\x09-\x0D]')),
+ahead as (
+  select *, lead(l) over o as l1, lead(w) over o as w1, lead(i) over o as i1,
+    lead(l, 2) over o as l2, lead(i, 2) over o as i2
+  from lines window o as (partition by doc_id order by i)),
+wins as (
+  select doc_id, i as line, case when w >= 50 then i when w + w1 >= 50 then i1 else i2 end as last,
+    case when w >= 50 then l when w + w1 >= 50 then l || chr(10) || l1 else l || chr(10) || l1 || chr(10) || l2 end as k
+  from ahead),
+later as (
+  select doc_id, line, last from (
+    select *, row_number() over (partition by k order by doc_id, line) as n from wins where k is not null) where n > 1),
+gone as (
+  select distinct a.doc_id, a.i from lines a join later b on a.doc_id = b.doc_id and a.i between b.line and b.last),
+per as (select doc_id, count(*) as n, string_agg(i::varchar, ',' order by i) as removed, list(i) as g from gone group by doc_id),
+n as (select doc_id, count(*) as n_lines from lines group by doc_id)
+select s.doc_id, coalesce(n.n_lines, 0) as n_lines, coalesce(p.n, 0) as n_removed, coalesce(p.removed, '') as removed,
+  sha256(case when p.n is null then s.t else coalesce(array_to_string(
+    [x for x, i in s.ls if not list_contains(p.g, i - 1)], chr(10)), '') end) as kept_sha256
+from split s left join per p using (doc_id) left join n using (doc_id)
+"""
