@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirestream.llm.common import documents
+from hirestream.llm.common import documents, fold
 from hirestream.llm.jaccard_join import jaccard_classes
 from hirestream.llm.line_dedup import dedup_lines
 from hirestream.llm.mixing import mix_sources
 from hirestream.llm.packing import pack_documents
+from hirestream.llm.quality_classifier import classify_quality
 from hirestream.llm.quality_rules import quality_rules
 from hirestream.llm.suffix_dedup import remove_repeats
 
@@ -33,6 +34,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 4) == 2
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = classify_quality(documents(spark, sf_dir).select("doc_id", "text"), labels, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(documents(spark, sf_dir).select("doc_id", "text"))
