@@ -16,6 +16,7 @@ from hirestream.llm.packing import pack_documents
 from hirestream.llm.quality_classifier import classify_quality
 from hirestream.llm.quality_rules import quality_rules
 from hirestream.llm.suffix_dedup import remove_repeats
+from hirestream.llm.topk import top_k
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +101,21 @@ select s.doc_id, coalesce(n.n_lines, 0) as n_lines, coalesce(p.n, 0) as n_remove
     [x for x, i in s.ls if not list_contains(p.g, i - 1)], chr(10)), '') end) as kept_sha256
 from split s left join per p using (doc_id) left join n using (doc_id)
 """
+
+
+@query
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+ORACLE["op7_top_k"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
+  from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 10
+"""
