@@ -13,6 +13,7 @@ from hirestream.llm.jaccard_join import jaccard_classes
 from hirestream.llm.line_dedup import dedup_lines
 from hirestream.llm.mixing import mix_sources
 from hirestream.llm.packing import pack_documents
+from hirestream.llm.ppm import score_texts
 from hirestream.llm.quality_classifier import classify_quality
 from hirestream.llm.quality_rules import quality_rules
 from hirestream.llm.suffix_dedup import remove_repeats
@@ -55,6 +56,13 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), TOKENIZER)
 
 
+@query
+def op5_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 1
+    scored = score_texts(documents(spark, sf_dir).select("doc_id", "text"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(documents(spark, sf_dir), k=3, percent=90)

@@ -26,6 +26,9 @@ from hirestream.llm.common import mix64, run_starts, stage
 
 ANCHOR = 16
 SHALLOW = 32
+#: Runs that a task merges at a time, and windows that it sorts at a time.
+PART_RUNS = 500_000
+PART_WINDOWS = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
@@ -144,23 +147,24 @@ def _find_runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = Runs(length)
         for batch in batches:
-            parts = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parts, held = [], 0
+            for i in range(batch.num_rows):
+                doc, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 x = np.frombuffer(text.encode("utf-8"), np.uint8)
-                if len(x) < length:
-                    continue
-                h, content, start, n, off = runs.of(x)
-                r = np.empty(len(h), _RUN)
-                r["h"], r["content"], r["start"], r["n"], r["off"], r["doc"] = h, content, start, n, off, doc
-                parts.append(r)
-            if not parts:
-                continue
-            rows, _, smallest = _sorted_runs(np.concatenate(parts))
-            later = rows["doc"] > smallest
-            gone = rows[later]
-            if len(gone):
-                yield _spans(gone["doc"], gone["start"], gone["n"])
-            yield _blobs([(b, _columns_blob(x)) for b, x in _by_bucket(rows[~later], buckets)])
+                if len(x) >= length:
+                    h, content, start, n, off = runs.of(x)
+                    r = np.empty(len(h), _RUN)
+                    r["h"], r["content"], r["start"], r["n"], r["off"], r["doc"] = h, content, start, n, off, doc
+                    parts.append(r)
+                    held += len(r)
+                if held > PART_RUNS or held and i == batch.num_rows - 1:
+                    rows, _, smallest = _sorted_runs(np.concatenate(parts))
+                    parts, held = [], 0
+                    later = rows["doc"] > smallest
+                    gone = rows[later]
+                    if len(gone):
+                        yield _spans(gone["doc"], gone["start"], gone["n"])
+                    yield _blobs([(b, _columns_blob(x)) for b, x in _by_bucket(rows[~later], buckets)])
 
     return docs.mapInArrow(run, _ROWS)
 
@@ -358,8 +362,8 @@ def _settle_windows(contexts: DataFrame, length: int) -> DataFrame:
         _, anchor, _ = _counts(rows["h"])
         order = np.argsort(anchor, kind="stable")
         out = [np.empty((3, 0), np.int64)]
-        # whole anchors at a time, about a million windows each
-        done = np.cumsum(n[order]) // 1_000_000
+        # whole anchors at a time
+        done = np.cumsum(n[order]) // PART_WINDOWS
         ends_anchor = np.r_[run_starts(anchor[order])[1:], len(order)]
         last = np.flatnonzero(np.diff(np.r_[done[ends_anchor - 1], done[-1] + 1]))
         cuts = ends_anchor[last]
@@ -370,7 +374,7 @@ def _settle_windows(contexts: DataFrame, length: int) -> DataFrame:
             at = (ends - n - length + 1)[run_of] + window
             # equal windows have their anchor at the same place
             group = anchor[run_of] * 64 + rows["off"].astype(np.int64)[run_of] - window
-            _, cls = deep_shallow(data[at[:, None] + np.arange(length)], group)
+            _, cls = deep_shallow(np.lib.stride_tricks.sliding_window_view(data, length)[at], group)
             doc = rows["doc"][run_of]
             by = np.lexsort((doc, cls))
             first = run_starts(cls[by])
