@@ -125,10 +125,11 @@ def _sorted_runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, first, np.repeat(rows["doc"][first], np.diff(np.r_[first, len(rows)]))
 
 
-def _spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
     k = len(doc)
+    spread = (mix64(doc.astype(np.uint64) ^ start.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.array(doc), pa.array(start.astype(np.int32)),
+        [pa.array(spread), pa.nulls(k, pa.binary()), pa.array(doc), pa.array(start.astype(np.int32)),
          pa.array(n.astype(np.int32)), pa.nulls(k, pa.int32())], ["bucket", "blob", "doc", "start", "n", "off"])
 
 
@@ -163,24 +164,33 @@ def _find_runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                     later = rows["doc"] > smallest
                     gone = rows[later]
                     if len(gone):
-                        yield _spans(gone["doc"], gone["start"], gone["n"])
+                        yield _spans(gone["doc"], gone["start"], gone["n"], buckets)
                     yield _blobs([(b, _columns_blob(x)) for b, x in _by_bucket(rows[~later], buckets)])
 
     return docs.mapInArrow(run, _ROWS)
 
 
 def _settle_runs(blobs: DataFrame) -> DataFrame:
-    """Per bucket: spans of runs that an earlier document has in full (off -1), and runs that must show their text."""
+    """Per bucket: spans of runs that an earlier document has in full (off -1), and runs that must show their text.
+
+    Spans that the first pass has settled pass through.
+    """
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        rows, first, smallest = _sorted_runs(np.concatenate([_from_blob(b, _RUN) for b in table.column("blob").to_pylist()]))
+        settled = table.filter(table.column("blob").is_null()).select(["doc", "start", "n"])
+        settled = settled.append_column("off", pa.array(np.full(len(settled), -1, np.int32)))
+        blobs = [_from_blob(b, _RUN) for b in table.column("blob").drop_null().to_pylist()]
+        if not blobs:
+            return settled
+        rows, first, smallest = _sorted_runs(np.concatenate(blobs))
         later = rows["doc"] > smallest
         by_anchor = run_starts(rows["h"])
         kinds = np.diff(np.searchsorted(first, np.r_[by_anchor, len(rows)]))
         asked = np.repeat(kinds > 1, np.diff(np.r_[by_anchor, len(rows)])) & ~later
         keep = later | asked
         r = rows[keep]
-        return pa.table({"doc": r["doc"], "start": r["start"].astype(np.int32), "n": r["n"].astype(np.int32),
-                         "off": np.where(later[keep], -1, r["off"].astype(np.int32)).astype(np.int32)})
+        found = pa.table({"doc": r["doc"], "start": r["start"].astype(np.int32), "n": r["n"].astype(np.int32),
+                          "off": np.where(later[keep], -1, r["off"].astype(np.int32)).astype(np.int32)})
+        return pa.concat_tables([settled.cast(found.schema), found])
 
     return blobs.groupBy("bucket").applyInArrow(run, "doc long, start int, n int, off int")
 
@@ -330,7 +340,11 @@ def deep_shallow(strings: np.ndarray, group: np.ndarray, shallow: int = SHALLOW)
         first = run_starts(rank[deep])
         rest = np.ascontiguousarray(strings[deep, shallow:])
         tail, step = rest.tobytes(), rest.shape[1]
-        for a, b in zip(first.tolist(), np.r_[first[1:], len(deep)].tolist()):
+        sizes = np.diff(np.r_[first, len(deep)])
+        # groups whose rows are all equal are in order as they are
+        mixed = np.logical_or.reduceat((rest != rest[np.repeat(first, sizes)]).any(1), first) if len(first) else first
+        cls[deep] = rank[deep]
+        for a, b in zip(first[mixed].tolist(), (first + sizes)[mixed].tolist()):
             trie = BlindTrie(tail[a * step : (a + 1) * step], a)
             for i in range(a + 1, b):
                 trie.add(tail[i * step : (i + 1) * step], i)
@@ -404,15 +418,11 @@ def repeated_spans(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = _texts(docs, id_col, text_col).where("doc is not null")
-    found = _find_runs(texts, length, buckets)
-    # blobs meet by bucket; the spans that a batch has settled go along under keys of their own
-    runs = stage(found, "runs")
-    settled = stage(_settle_runs(runs.where("bucket is not null").select("bucket", "blob")), "settled")
+    settled = stage(_settle_runs(_find_runs(texts, length, buckets)), "settled")
     asked = settled.where("off >= 0").groupBy("doc").agg(F.collect_list(F.struct("start", "n", "off")).alias("runs"))
     shown = _show_contexts(packed_texts(texts).join(asked, "doc"), length, buckets)
     windows = _settle_windows(shown, length)
-    return runs.where("bucket is null").select("doc", "start", "n").unionByName(
-        settled.where("off < 0").select("doc", "start", "n")).unionByName(windows)
+    return settled.where("off < 0").select("doc", "start", "n").unionByName(windows)
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
