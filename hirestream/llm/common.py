@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirestream.session import ensure_checkpoint_dir, stage
 
-__all__ = ["GAP", "WORD", "WordIds", "columns", "components", "documents", "fold", "let", "mix64", "run_starts",
-           "stage", "words_of"]
+__all__ = ["GAP", "WORD", "WordIds", "by_bucket", "columns", "components", "documents", "first_minimum", "fold", "let",
+           "mix64", "packed", "packed_texts", "run_starts", "stage", "unpacked", "words_of"]
 
 #: White space between words, and a word (fixed by the contracts of the queries).
 GAP = r"[\x20\x09-\x0D]+"
@@ -66,6 +68,60 @@ def run_starts(*sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def first_minimum(h: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest value (the first of equal ones) in each window of ``width`` values, up to 64.
+
+    Minima ahead and behind in blocks as long as the window; the low six bits
+    carry the place inside the block.
+    """
+    n = len(h) - width + 1
+    blocks = -(-len(h) // width)
+    keyed = np.full(blocks * width, ~np.uint64(0))
+    keyed[: len(h)] = h
+    keyed = (keyed.reshape(-1, width) & ~np.uint64(63)) | np.arange(width, dtype=np.uint64)
+    ahead = np.minimum.accumulate(keyed, 1).ravel()[width - 1 : width - 1 + n]
+    behind = np.minimum.accumulate(keyed[:, ::-1], 1)[:, ::-1].ravel()[:n]
+    begin = np.arange(n) // width * width
+    low = np.uint64(63)
+    return np.where((behind | low) <= (ahead | low), begin + (behind & low).astype(np.int64),
+                    (np.arange(n) + width - 1) // width * width + (ahead & low).astype(np.int64))
+
+
+def packed(rows: np.ndarray) -> bytes:
+    """A structured array, column after column, compressed."""
+    return zstandard.ZstdCompressor(1).compress(b"".join(np.ascontiguousarray(rows[f]).tobytes() for f in rows.dtype.names))
+
+
+def unpacked(blob: bytes, dtype: np.dtype) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    rows, at = np.empty(len(raw) // dtype.itemsize, dtype), 0
+    for f in dtype.names:
+        size = dtype[f].itemsize * len(rows)
+        rows[f] = np.frombuffer(raw[at : at + size], dtype[f])
+        at += size
+    return rows
+
+
+def by_bucket(rows: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Shares of a structured array by the high bits of its hashes ``h``."""
+    bucket = ((rows["h"] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")
+    first = run_starts(bucket[order])
+    for a, b in zip(first, np.r_[first[1:], len(order)]):
+        yield int(bucket[order[a]]), rows[order[a:b]]
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """``(doc, z)``: texts as compressed UTF-8, for the shuffles that need them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = zstandard.ZstdCompressor(3)
+        for batch in batches:
+            z = [c.compress(t.encode("utf-8")) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z, pa.binary())], ["doc", "z"])
+
+    return docs.mapInArrow(run, "doc long, z binary")
+
+
 class WordIds(dict):
     """64-bit hashes of words (bytes), remembered up to a bound."""
 

@@ -13,6 +13,7 @@ from hirestream.llm.jaccard_join import jaccard_classes
 from hirestream.llm.line_dedup import dedup_lines
 from hirestream.llm.mixing import mix_sources
 from hirestream.llm.packing import pack_documents
+from hirestream.llm.passage_chains import shared_passages
 from hirestream.llm.ppm import score_texts
 from hirestream.llm.quality_classifier import classify_quality
 from hirestream.llm.quality_rules import quality_rules
@@ -56,6 +57,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), TOKENIZER)
 
 
+@query
+def op4_passage_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_passages(documents(spark, sf_dir))
+
+
 @query
 def op5_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 5) == 1

@@ -22,7 +22,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirestream.llm.common import mix64, run_starts, stage
+from hirestream.llm.common import (
+    by_bucket, first_minimum, mix64, packed, packed_texts, run_starts, stage, unpacked,
+)
 
 ANCHOR = 16
 SHALLOW = 32
@@ -63,7 +65,7 @@ class Runs:
     def of(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
         """``(hash, content, start, n, off)`` of each run: anchor hash, hash of its bytes, first window, windows, anchor place."""
         h = self.anchor_hashes(x)
-        at = _first_minimum(h, self.width)
+        at = first_minimum(h, self.width)
         first = run_starts(at)
         n = np.diff(np.r_[first, len(at)])
         self._grow(len(x) + 1)
@@ -73,51 +75,9 @@ class Runs:
             at[first] - first).astype(np.uint8)
 
 
-def _first_minimum(h: np.ndarray, width: int) -> np.ndarray:
-    """Place of the smallest value (the first of equal ones) in each window of ``width`` values, up to 64.
-
-    Minima ahead and behind in blocks as long as the window; the low six bits
-    carry the place inside the block.
-    """
-    n = len(h) - width + 1
-    blocks = -(-len(h) // width)
-    keyed = np.full(blocks * width, ~np.uint64(0))
-    keyed[: len(h)] = h
-    keyed = (keyed.reshape(-1, width) & ~np.uint64(63)) | np.arange(width, dtype=np.uint64)
-    ahead = np.minimum.accumulate(keyed, 1).ravel()[width - 1 : width - 1 + n]
-    behind = np.minimum.accumulate(keyed[:, ::-1], 1)[:, ::-1].ravel()[:n]
-    begin = np.arange(n) // width * width
-    low = np.uint64(63)
-    return np.where((behind | low) <= (ahead | low), begin + (behind & low).astype(np.int64),
-                    (np.arange(n) + width - 1) // width * width + (ahead & low).astype(np.int64))
-
-
 _RUN = np.dtype([("h", "<u8"), ("doc", "<i8"), ("content", "<u4"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
 
 
-def _columns_blob(rows: np.ndarray) -> bytes:
-    """A structured array, column after column, compressed."""
-    return zstandard.ZstdCompressor(1).compress(b"".join(np.ascontiguousarray(rows[f]).tobytes() for f in rows.dtype.names))
-
-
-def _from_blob(blob: bytes, dtype: np.dtype) -> np.ndarray:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    rows, at = np.empty(len(raw) // dtype.itemsize, dtype), 0
-    for f in dtype.names:
-        size = dtype[f].itemsize * len(rows)
-        rows[f] = np.frombuffer(raw[at : at + size], dtype[f])
-        at += size
-    return rows
-
-
-def _by_bucket(rows: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    bucket = ((rows["h"] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    order = np.argsort(bucket, kind="stable")
-    first = run_starts(bucket[order])
-    for a, b in zip(first, np.r_[first[1:], len(order)]):
-        yield int(bucket[order[a]]), rows[order[a:b]]
-
-
 def _sorted_runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs in the order of anchor, bytes, document; where each class of equal runs begins; each run's smallest document."""
     rows = rows[np.lexsort((rows["start"], rows["doc"], rows["content"], rows["n"], rows["h"]))]
@@ -165,7 +125,7 @@ def _find_runs(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                     gone = rows[later]
                     if len(gone):
                         yield _spans(gone["doc"], gone["start"], gone["n"], buckets)
-                    yield _blobs([(b, _columns_blob(x)) for b, x in _by_bucket(rows[~later], buckets)])
+                    yield _blobs([(b, packed(x)) for b, x in by_bucket(rows[~later], buckets)])
 
     return docs.mapInArrow(run, _ROWS)
 
@@ -178,7 +138,7 @@ def _settle_runs(blobs: DataFrame) -> DataFrame:
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         settled = table.filter(table.column("blob").is_null()).select(["doc", "start", "n"])
         settled = settled.append_column("off", pa.array(np.full(len(settled), -1, np.int32)))
-        blobs = [_from_blob(b, _RUN) for b in table.column("blob").drop_null().to_pylist()]
+        blobs = [unpacked(b, _RUN) for b in table.column("blob").drop_null().to_pylist()]
         if not blobs:
             return settled
         rows, first, smallest = _sorted_runs(np.concatenate(blobs))
@@ -195,17 +155,6 @@ def _settle_runs(blobs: DataFrame) -> DataFrame:
     return blobs.groupBy("bucket").applyInArrow(run, "doc long, start int, n int, off int")
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """``(doc, z)``: texts as compressed UTF-8, for the shuffles that need them."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = zstandard.ZstdCompressor(3)
-        for batch in batches:
-            z = [c.compress(t.encode("utf-8")) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(z, pa.binary())], ["doc", "z"])
-
-    return docs.mapInArrow(run, "doc long, z binary")
-
-
 def _show_contexts(asking: DataFrame, length: int, buckets: int) -> DataFrame:
     """``(bucket, blob, bytes)``: runs with the bytes of their windows, for rows ``(doc, z, runs)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,10 +181,10 @@ def _show_contexts(asking: DataFrame, length: int, buckets: int) -> DataFrame:
             ends = np.cumsum(sizes)
             data, rows["content"] = np.concatenate(texts), np.arange(len(rows))
             blobs, shown, names = [], [], []
-            for b, part in _by_bucket(rows, buckets):
+            for b, part in by_bucket(rows, buckets):
                 i = part["content"]
                 shown.append(zip_.compress(_gather(data, (ends - sizes)[i], sizes[i]).tobytes()))
-                blobs.append(_columns_blob(part))
+                blobs.append(packed(part))
                 names.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary()),
                                               pa.array(shown, pa.binary())], ["bucket", "blob", "bytes"])
@@ -369,7 +318,7 @@ def _settle_windows(contexts: DataFrame, length: int) -> DataFrame:
     """Spans of windows that a smaller document has as well."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         unzip = zstandard.ZstdDecompressor()
-        rows = np.concatenate([_from_blob(b, _RUN) for b in table.column("blob").to_pylist()])
+        rows = np.concatenate([unpacked(b, _RUN) for b in table.column("blob").to_pylist()])
         data = np.frombuffer(b"".join(unzip.decompress(b) for b in table.column("bytes").to_pylist()), np.uint8)
         n = rows["n"].astype(np.int64)
         ends = np.cumsum(n + length - 1)
