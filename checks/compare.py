@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -37,7 +38,7 @@ def main() -> int:
     sf = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.01"
     spark = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="checks-"), "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()

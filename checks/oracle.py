@@ -177,9 +177,8 @@ cr as (select company, arg_min(r, i) company_rank from (select distinct company,
 add("allow_list_semi", "listings", f"with {ALLOW} select ord, company from listings where {norm_key('company')} in (select k from al where k <> '')")
 add("rank_lookup", "listings", f"with {RANKS} select ord, l.company, company_rank as rank from listings l left join cr on cr.company = l.company")
 WAGE_ROWS = ", ".join(
-    f"({q(soc)}, {q(m)}, {lo * 1000.0}, {hi * 1000.0})"
-    for soc, (_, nat, metros) in C.WAGES.items()
-    for m, (lo, hi) in zip(["", *[m for m, _ in C.METRO_PATTERNS]], [nat, *metros])
+    f"({q(soc)}, {q('' if m == 'National' else m)}, {float(lo)}, {float(hi)})"
+    for soc, (_, by_metro) in C.WAGES.items() for m, (lo, hi) in by_metro.items()
 )
 SOC = case(
     [("contains(lower(title), 'architect') and not contains(lower(title), 'data architect')", q(C.OCCUPATION_ARCHITECT)),
@@ -467,7 +466,8 @@ add("job_posting_jsonld", "listings", "select concat('it', ord) id, title, descr
 
 FTYPE = case([(has("lower(name)", w), q(k)) for k, w in C.FIRM_TYPES], q(C.FIRM_TYPE_DEFAULT))
 BN = lambda x: norm_company(x, C.SUFFIXES_BUILD)
-add("build_firms", "firm_csv", f"""with f as (select * from (select *, row_number() over (partition by {BN('name')} order by ord) rn from firm_csv) where rn = 1),
+add("build_firms", "firm_csv", f"""with src as (select * replace (concat(name, ([' Architects', ' Civil Engineering', ' Foods', ''])[ord % 4 + 1]) as name) from firm_csv),
+f as (select * from (select *, row_number() over (partition by {BN('name')} order by ord) rn from src) where rn = 1),
 rk as (select i, r, {BN('n')} n from (values {RANK_ROWS}) v(i, r, n)),
 rr as (select ord, arg_min(r, i) r from (select ord, {BN('name')} c from f) x join rk on contains(c, n) or contains(n, c) group by 1)
 select f.ord firm_ord, name, {FTYPE} firm_type, coalesce(nullif(coalesce({industry('industry')}, {trim('industry')}), ''), '{C.DEFAULT_INDUSTRY}') industry, rr.r firm_rank,
@@ -558,10 +558,10 @@ ITEMS = f"""
 ri as (select *, {role()} role_category, {LEVEL} experience_level from listings where {role()} is not null), {location('ri', 'location')},
 items as (select ord, title job_title, company company_name, location, lo_state job_state, lo_remote is_remote, role_category, experience_level, date_posted, salary_max,
  case ord % 3 when 0 then 'Revit, Power BI' when 1 then 'Revit' else '' end tools_mentioned, ord % 101 quality_score from lo)"""
-add("hub_filter", "listings", f"with {ITEMS} select ord, job_title, company_name from items where role_category = 'project-management' and is_remote and (contains(lower(job_title), 'studio') or contains(lower(company_name), 'studio') or contains(lower(location), 'studio'))")
+add("hub_filter", "listings", f"with {ITEMS} select ord, job_title, company_name from items where role_category = 'project-management' and is_remote and (contains(lower(job_title), 'manager') or contains(lower(company_name), 'manager') or contains(lower(location), 'manager'))")
 add("hub_filter_count", "listings", f"with {ITEMS} select count(*) n from items where job_state = 'Texas' and experience_level = 'Senior'")
 add("category_page", "listings", f"with {ITEMS} select ord, job_title from items where role_category = 'operations'")
-add("hub_sort_page", "listings", f"with {ITEMS} select ord, salary_max from items order by salary_max desc nulls last, ord limit 100 offset 100")
+add("hub_sort_page", "listings", f"with {ITEMS} select ord, salary_max from items order by salary_max desc nulls last, ord limit 400 offset 10")
 add("paged_newest", "listings", f"with {ITEMS} select ord, date_posted from items order by date_posted desc nulls last, ord limit 100")
 add("related_listings", "listings", f"""with {ITEMS}, b as (select ord, role_category, row_number() over (partition by role_category order by date_posted desc, ord) rn from items),
 p as (select i.ord, b.ord related_ord, row_number() over (partition by i.ord order by b.rn) as position from items i join b on b.role_category = i.role_category and b.ord <> i.ord and b.rn <= 5)
@@ -573,7 +573,7 @@ add("score_distribution", "listings", f"with {ITEMS} select (quality_score // 10
 
 # --- sources ---------------------------------------------------------------------------------------
 
-add("scan_firm_csv", "firm_csv", """select concat('The "Best",', chr(10), name) as name, industry, website, linkedin, country, state, city from firm_csv""")
+add("scan_firm_csv", "firm_csv", """select row_number() over (order by ord) - 1 as ord, concat('The "Best",', chr(10), name) as name, industry, website, linkedin, country, state, city from firm_csv""")
 add("scan_board_cache", "board_cache", "select firm_key, provider, board_token, detected_at from board_cache")
 add("scan_raw_payloads", "", f"select source, page_id ord, url, length(html) n from (select *, [{PROV}][(page_id % 15 + 1)::int] source from pages) where source in ('lever', 'zoho')")
 add("snapshot_round_trip", "published", "select * from published")
@@ -694,10 +694,10 @@ select distinct page_id, concat(o, {decode('r')}) link from l""")
 add("search_page_frontier", "", """with recursive mx as (select max(page_id) m from pages),
 e as (select page_id p, unnest([page_id * 2, page_id * 2 + 1, page_id // 3]) t from pages), ed as (select p, t from e, mx where t <= m and t > 0),
 bf(board, page, lvl) as (select page_id, page_id, 0 from pages where page_id between 1 and 9 or page_id % 100 = 7
- union select board, t, lvl + 1 from bf join ed on ed.p = bf.page where lvl < 30),
+ union select board, t, lvl + 1 from bf join ed on ed.p = bf.page where lvl <= (select count(*) from pages)),
 fr as (select board, page, min(lvl) lvl from bf group by 1, 2) select board, count(*) pages, max(lvl) depth from fr group by 1""")
-add("normalize_search_url", "source_seed", """select ord, case when ord % 30 = 7 then null end::varchar as search from source_seed where provider = 'icims' and false
-union all select ord, case when ord % 30 = 7 then concat('https://c7.icims.com/jobs/search?ss=1&pr=', ord % 2, case when ord % 3 = 0 then '&hashed=9' when ord % 3 = 1 then '&in_iframe=2' else '' end,
+add("normalize_search_url", "source_seed", """select ord, case when ord % 30 = 8 then null end::varchar as search from source_seed where provider = 'icims' and false
+union all select ord, case when ord % 30 = 8 then concat('https://c8.icims.com/jobs/search?ss=1&pr=', ord % 2, case when ord % 3 = 0 then '&hashed=9' when ord % 3 = 1 then '&in_iframe=2' else '' end,
  case when ord % 3 = 1 then '' else '&in_iframe=1' end) end from source_seed where provider = 'icims'""")
 add("feed_path", "", """select page_id, case when page_id % 3 = 0 then '/recruit/downloadrssfeed?digest=a&b=1' when page_id % 3 = 1 then '/recruit/downloadrssfeed?x' else '' end feed_path from pages""")
 

@@ -22,7 +22,6 @@ from hirestream.sources import discovery, feeds_html, feeds_json, feeds_xml, pag
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 LANDED: dict[tuple[str, str], DataFrame] = {}
-LARGE = ("customer", "documents", "events", "pages")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RANKING = [(1, "Acme Design"), (2, "Blue Harbor"), (3, "The Studio 1 Company, Inc."), (4, "Foods"), *C.RANKING]
 
@@ -64,12 +63,13 @@ class Ctx:
         """The listings as a table: derived and written once per session and input folder."""
         key = (self.spark.sparkContext.applicationId, self.dir)
         if key not in LANDED:
-            LANDED[key] = stage(self._sql(with_views(["listings"], "select * from listings", "string")), "listings")
+            made = self._sql(with_views(["listings"], "select * from listings", "string"))
+            n = self.spark.sparkContext.defaultParallelism
+            LANDED[key] = stage(made.repartition(n, "ord"), "listings")  # landed in several files
         return LANDED[key]
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
-        return tables.spread_small_scan(df, df.columns[0]) if name in LARGE else df
+        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def firms(self) -> DataFrame:
         none = F.array().cast("array<string>")
@@ -115,7 +115,7 @@ class Ctx:
         return stage(plan.enrich_listings(self.gated(), self.dims(), run_ts()), "enriched")
 
     def site_firms(self) -> DataFrame:
-        """Allow list: every third company that is not a firm."""
+        """Allow list: the companies of every ninth listing."""
         return (
             self.view("listings").where("ord % 9 = 0").select(X.norm_key(F.col("company")).alias("firm_key"))
         )
@@ -572,7 +572,9 @@ def job_posting_jsonld(c: Ctx) -> DataFrame:
 
 @query
 def build_firms(c: Ctx) -> DataFrame:
-    return firms.build_firms(c.view("firm_csv"), RANKING).drop("aliases", "specializations")
+    kinds = F.array(*[F.lit(x) for x in (" Architects", " Civil Engineering", " Foods", "")])
+    rows = c.view("firm_csv").withColumn("name", F.concat("name", F.get(kinds, F.col("ord") % 4)))
+    return firms.build_firms(rows, RANKING).drop("aliases", "specializations")
 
 
 @query
@@ -762,7 +764,7 @@ def _items(c: Ctx) -> DataFrame:
 
 @query
 def hub_filter(c: Ctx) -> DataFrame:
-    return hub.hub_filter(_items(c), role="project-management", text="studio", remote_only=True).select("ord", "job_title", "company_name")
+    return hub.hub_filter(_items(c), role="project-management", text="manager", remote_only=True).select("ord", "job_title", "company_name")
 
 
 @query
@@ -777,7 +779,7 @@ def category_page(c: Ctx) -> DataFrame:
 
 @query
 def hub_sort_page(c: Ctx) -> DataFrame:
-    return hub.paged_list(_items(c), 100, 100, by="salary").select("ord", "salary_max")
+    return hub.paged_list(_items(c), 10, 400, by="salary").select("ord", "salary_max")
 
 
 @query
@@ -810,8 +812,9 @@ def scan_firm_csv(c: Ctx) -> DataFrame:
     names = ["name", "industry", "website", "linkedin", "country", "state", "city"]
     rows = c.view("firm_csv").withColumn("name", F.concat(F.lit('The "Best",\n'), "name"))
     header = ["Account Name", "Industry", "Website", "LinkedIn", "Country", "State", "City"]
-    rows.select(*[F.col(n).alias(h) for n, h in zip(names, header)]).write.csv(path, header=True, quote='"', escape='"')
-    return tables.scan_firm_csv(c.spark, path).drop("ord")
+    ordered = rows.repartitionByRange(3, "ord").sortWithinPartitions("ord")
+    ordered.select(*[F.col(n).alias(h) for n, h in zip(names, header)]).write.csv(path, header=True, quote='"', escape='"')
+    return tables.scan_firm_csv(c.spark, path)
 
 
 @query
@@ -1178,7 +1181,7 @@ def normalize_search_url(c: Ctx) -> DataFrame:
     seeds = c.view("source_seed").where("provider = 'icims'").withColumn(
         "u", F.concat("source_url", F.when(F.col("ord") % 3 == 0, "&x=1&hashed=9").when(F.col("ord") % 3 == 1, "&in_iframe=2#f").otherwise(""))
     )
-    return with_search_url(seeds, "u", "search", F.lit("c7.icims.com")).select("ord", "search")
+    return with_search_url(seeds, "u", "search", F.lit("c8.icims.com")).select("ord", "search")
 
 
 @query

@@ -197,8 +197,8 @@ DETECTIONS: list[tuple[str, str, str | None, str, str]] = [
     ("Workday", "https://t{T}.wd5.myworkdayjobs.com/en-US/Site{T}/job/1", "workday", "",
      "https://t{T}.wd5.myworkdayjobs.com/Site{T}"),
     ("Workday", "https://t{T}.wd5.myworkdayjobs.com/", None, "", ""),
-    ("UltiPro", "https://recruiting2.ultipro.com/CO{T}/jobboard/b-{T}/?q=1", "ultipro", "",
-     "https://recruiting2.ultipro.com/CO{T}/JobBoard/b-{T}/"),
+    ("UltiPro", "https://recruiting2.ultipro.com/CO{T}/Openings/b0-{T}/?q=1", "ultipro", "",
+     "https://recruiting2.ultipro.com/CO{T}/Openings/b0-{T}/"),
     ("UltiPro", "https://other.ultipro.com/CO{T}", None, "", ""),
     ("iCIMS", "https://careers-{T}.icims.com/jobs/intro?hashed=h{T}", "icims", "",
      "https://careers-{T}.icims.com/jobs/search?ss=1&hashed=h{T}"),

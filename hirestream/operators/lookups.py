@@ -11,15 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirestream import config as C
-from hirestream.functions.keys import first_by_key, last_by_key
+from hirestream.functions.keys import computed, first_by_key, last_by_key
 from hirestream.functions.text import (
     content_key,
-    first_case,
     metro_area,
     norm_company,
     norm_key,
     occupation_code,
-    quoted,
     truthy,
 )
 from hirestream.functions.urls import hostname, is_url
@@ -29,12 +27,6 @@ from hirestream.operators.filters import ttl_valid
 # --- rank --------------------------------------------------------------------
 
 
-def _norm_py(spark, names: list[str], suffixes: list[str] | None) -> list[str]:
-    """Normalise a short list of constants with the same expression as the data."""
-    rows = spark.createDataFrame([(n,) for n in names], "n string")
-    return [r[0] for r in rows.coalesce(1).select(norm_company(F.col("n"), suffixes)).collect()]
-
-
 def company_rank(
     companies: DataFrame,
     ranking: list[tuple[int, str]] = C.RANKING,
@@ -43,16 +35,16 @@ def company_rank(
     """Add ``company_rank``: the first ranking entry equal to, inside or around the name.
 
     ``ranking`` is a short configuration list in order; it becomes a chain of
-    literal comparisons evaluated on distinct companies.
+    literal comparisons evaluated on distinct companies; the entries are
+    normalised by the same expression, which the optimiser folds.
     """
-    normed = _norm_py(companies.sparkSession, [name for _, name in ranking], suffixes)
-    cases = [
-        (f"contains(__norm, {quoted(entry)}) or contains({quoted(entry)}, __norm)", str(rank))
-        for (rank, _), entry in zip(ranking, normed)
-    ]
+    norm, found = F.col("__norm"), F
+    for rank, name in ranking:
+        entry = norm_company(F.lit(name), suffixes)
+        found = found.when(F.contains(norm, entry) | F.contains(entry, norm), rank)
     return (
-        companies.withColumn("__norm", norm_company(F.col("company"), suffixes))
-        .withColumn("company_rank", F.expr(first_case(cases)) if ranking else F.lit(None).cast("int"))
+        computed(companies, {"__norm": norm_company(F.col("company"), suffixes)})
+        .withColumn("company_rank", found.cast("int") if ranking else F.lit(None).cast("int"))
         .drop("__norm")
     )
 
@@ -70,11 +62,10 @@ def rank_lookup(df: DataFrame, ranking: list[tuple[int, str]] = C.RANKING) -> Da
 
 def wage_table(spark) -> DataFrame:
     """The default wages as rows; the national figure has an empty metro."""
-    metros = [m for m, _ in C.METRO_PATTERNS]
-    rows = []
-    for soc, (_, national, by_metro) in C.WAGES.items():
-        rows.append((soc, "", national[0] * 1000.0, national[1] * 1000.0))
-        rows += [(soc, m, lo * 1000.0, hi * 1000.0) for m, (lo, hi) in zip(metros, by_metro)]
+    rows = [
+        (soc, "" if metro == "National" else metro, float(lo), float(hi))
+        for soc, (_, by_metro) in C.WAGES.items() for metro, (lo, hi) in by_metro.items()
+    ]
     schema = T.StructType(
         [T.StructField("soc", T.StringType()), T.StructField("metro", T.StringType()),
          T.StructField("p25", T.DoubleType()), T.StructField("p75", T.DoubleType())]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,24 +25,14 @@ def build_session(app: str = "hirestream", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints and intermediate tables.
+    """The folder for checkpoints and intermediate tables: ``spark.checkpoint.dir``.
 
-    Taken from ``spark.checkpoint.dir``.  Only a ``local`` session without that
-    setting gets a temporary folder; on a cluster a machine-local folder would
-    be lost with its executor, so the setting is required there.
+    Where that is not set, a folder below the warehouse, which all executors
+    share as well.
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if conf:
-        return conf.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    path = os.environ.get("HIRESTREAM_LOCAL_SHARED")
-    if not path:
-        path = tempfile.mkdtemp(prefix="hirestream-", dir="/tmp")
-        os.environ["HIRESTREAM_LOCAL_SHARED"] = path
-    return path
+    key = "spark.checkpoint.dir"
+    conf = spark.sparkContext.getConf().get(key, None) or spark.conf.get(key, None)
+    return (conf or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -58,6 +46,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Paths of the tables staged by this driver, in order.
+STAGED: list[str] = []
+
+
+def remove_stages(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables staged after the first ``since`` ones; frames that read them can't be used any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in STAGED[since:]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    del STAGED[since:]
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result that several later steps read, and read it back.
 
@@ -65,5 +66,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     columns can still be pruned.
     """
     path = scratch_path(df.sparkSession, name)
+    STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

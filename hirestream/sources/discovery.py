@@ -69,11 +69,13 @@ def classify_detections(detections: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.lit("other:"), F.lower("p")))
     )
     first = _at(parts, 0)
-    jb = F.coalesce(F.nullif(F.array_position(low, "jobboard").cast("int"), F.lit(0)), F.lit(0))
-    next_jb = F.when(jb > 0, F.get(parts, jb))
+    # a company code, a segment, and the board: groups of hex digits
+    is_board = lambda x, i: (i >= 2) & x.rlike(r"(?i)\A[0-9a-f]+(-[0-9a-f]+)+\z")
+    board_at = F.array_position(F.transform(parts, is_board), True).cast("int")
+    ulti_board = F.when(board_at > 0, F.concat(F.get(parts, board_at - 2), F.lit("/"), F.get(parts, board_at - 1)))
     ulti_host = h.isin("recruiting.ultipro.com", "recruiting2.ultipro.com")
     ulti_url = F.when(
-        ulti_host & next_jb.isNotNull(), F.concat(origin(u), F.lit("/"), first, F.lit("/JobBoard/"), next_jb, F.lit("/"))
+        ulti_host & ulti_board.isNotNull(), F.concat(origin(u), F.lit("/"), first, F.lit("/"), ulti_board, F.lit("/"))
     ).when(ulti_host & (first != ""), F.concat(origin(u), F.lit("/"), first, F.lit("/")))
     hashed = F.nullif(param(u, "hashed"), F.lit(""))
     icims_url = F.concat(

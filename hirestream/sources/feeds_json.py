@@ -29,11 +29,16 @@ _ITEM_BITS, _RANK_SHIFT = 20, 58
 
 
 def item_ord(source: str, payload_ord: Column, position: Column) -> Column:
-    """Unique position: feed, page, item; up to 2**20 items per page and 2**38 pages."""
+    """Unique position: feed, page, item; up to 2**20 items per page and 2**38 pages.
+
+    A position beyond that ends the job, as it would be taken for one of another
+    page or feed.
+    """
     rank = C.PROVIDERS.index(source)
-    return (
-        F.lit(rank << _RANK_SHIFT) + F.shiftleft(payload_ord, _ITEM_BITS) + position.cast("bigint")
-    )
+    place = F.lit(rank << _RANK_SHIFT) + F.shiftleft(payload_ord, _ITEM_BITS) + position.cast("bigint")
+    inside = position.between(0, (1 << _ITEM_BITS) - 1) & payload_ord.between(0, (1 << (_RANK_SHIFT - _ITEM_BITS)) - 1)
+    return F.when(inside | position.isNull() | payload_ord.isNull(), place).otherwise(
+        F.raise_error(F.concat(F.lit("no place for item "), position, F.lit(" of page "), payload_ord)).cast("bigint"))
 
 
 def listing(source: str, rows: DataFrame, **cols: Column) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hirestream.functions.text import decode_entities, html_text, page_text, strip_cdata, trim_ws
 from hirestream.functions.urls import drop_query, hostname, resolve
-from hirestream.session import ensure_checkpoint_dir
+from hirestream.session import ensure_checkpoint_dir, stage
 
 
 def _reject(token: str):
@@ -42,7 +42,7 @@ def _postings(texts: pd.Series) -> pd.Series:
     def one(text: str):
         try:
             found = _find_posting(json.loads(text, parse_constant=_reject))
-        except ValueError:
+        except (ValueError, RecursionError):  # not JSON, or nested too deeply
             return None
         return None if found is None else json.dumps(found, ensure_ascii=False)
 
@@ -142,6 +142,7 @@ def search_page_frontier(seeds: DataFrame, links: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(seeds.sparkSession)
     edges = links.where(hostname(F.col("page")) == hostname(F.col("link"))).select("page", "link").distinct()
+    edges = stage(edges, "page-links")
     level = 0
     frontier = seeds.select("board", "page").distinct().withColumn("level", F.lit(0)).checkpoint()
     visited = frontier
@@ -177,7 +178,7 @@ def _json_at(html: pd.Series, start: pd.Series) -> pd.Series:
     def one(text: str, at: int):
         try:
             return text[at : _DECODER.raw_decode(text, at)[1]]
-        except ValueError:
+        except (ValueError, RecursionError):
             return None
 
     return pd.Series([one(h, int(s)) for h, s in zip(html, start)], dtype=object)

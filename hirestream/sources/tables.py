@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirestream import schemas as S
+from hirestream.functions.keys import numbered
 from hirestream.operators.filters import provider_subset
 
 
-def scan_csv(spark: SparkSession, path: str) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, file: str | None = None, row: str | None = None) -> DataFrame:
     """Quoted CSV with embedded line breaks and doubled quotes; missing cells become ``""``.
 
     Windows line ends are read like plain ones, also inside quotes and when mixed.
@@ -20,20 +21,24 @@ def scan_csv(spark: SparkSession, path: str) -> DataFrame:
         ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True,
     )
     plain = [F.regexp_replace(F.coalesce(f"`{c}`", F.lit("")), "\r\n?", "\n").alias(c.strip()) for c in df.columns]
+    if file and row:
+        plain += [F.col("_metadata.file_path").alias(file), F.monotonically_increasing_id().alias(row)]
     return df.select(*plain)
 
 
 def scan_firm_csv(spark: SparkSession, path: str) -> DataFrame:
     """A firm list under the column names of ``schemas.FIRM_CSV``.
 
-    ``ord`` comes from the file order; lists are single files of moderate size.
+    ``ord`` is the position in the order of the files and their rows.
     """
-    df = scan_csv(spark, path)
+    # one task reads a file from its beginning, so the running number rises within a file
+    df = scan_csv(spark, path, "__file", "__row")
     named = {h: c for h, c in zip(S.FIRM_CSV_HEADER, S.FIRM_CSV.fieldNames()[1:])}
     cols = [
         (F.col(f"`{h}`") if h in df.columns else F.lit("")).alias(c) for h, c in named.items()
     ]
-    return df.select(F.monotonically_increasing_id().alias("ord"), *cols)
+    placed = numbered(df, [], ["__file", "__row"], "ord")
+    return placed.select((F.col("ord") - 1).alias("ord"), *cols)
 
 
 def scan_keyed_json(spark: SparkSession, path: str, value: str | T.DataType, key: str = "key") -> DataFrame:
@@ -163,16 +168,6 @@ def scan_published_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Distribute a table of few files over all cores.
-
-    A table in one row group is scanned by one task, and everything up to the
-    first shuffle stays there.  Tables with enough files are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
 def sink_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:

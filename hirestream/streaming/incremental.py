@@ -31,9 +31,11 @@ def ingest_available(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        feeds = [fn(batch.where(F.col("source") == name)) for name, fn in normalizers.items()]
+        pages = batch.persist()  # every feed reads the batch
+        feeds = [fn(pages.where(F.col("source") == name)) for name, fn in normalizers.items()]
         rows = reduce(lambda a, b: a.unionByName(b), feeds)
         rows.write.mode("overwrite").parquet(f"{listings}/batch_id={batch_id}")
+        pages.unpersist()
 
     pages = spark.readStream.schema(S.RAW_PAYLOAD).parquet(landing)
     query = (
