@@ -88,6 +88,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: floa
     for the whole epochs.  Rows equal in id and size are taken or left together,
     and the NULL id is an id like others.  A column named ``out`` is replaced;
     other extra columns pass through.  An empty table gives an empty table.
+    Documents are taken whole: a source misses its target by at most half of its
+    largest text.
     """
     doc, source, text = (F.col(f"`{c}`") for c in (id_col, source_col, text_col))
     size = word_count(text)
