@@ -9,10 +9,13 @@
    each class of equal sets is sent to its component.
 3. Inside a component the links are found with inverted lists: the short lists of
    a set are merged over a heap, the long ones are probed by binary search
-   (DivideSkip), and sets with the required overlap are retained.  Components
-   above ``block`` sets are dealt out in blocks: first every block is searched
-   together with a few pivots of the component, then every set outside the
-   component's largest group is searched in all blocks.
+   (DivideSkip), and sets with the required overlap are retained.
+4. Components above ``block`` sets are dealt out in blocks.  First every block is
+   searched together with a few pivots of the component, which joins most of it.
+   For the sets outside the component's largest group, counts of elements by hash
+   range tell which others can be near enough (the counts differ by no more than
+   the sets do); components of these pairs are then searched, in blocks again
+   where they are large.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ from hirestream.llm.common import WordIds, columns, components, mix64, run_start
 MU = 0.0085
 BLOCK = 64
 PIVOTS = 4
+SORTED_MERGE = 2000
+#: Hash ranges whose element counts are compared, and sets per block of that comparison.
+RANGES = 64
+COUNT_BLOCK = 1024
 #: Up to this number of parts, a set with an empty part also gets signatures with one element left out.
 SMALL_PARTS = 24
 _K1 = np.uint64(0x9E3779B97F4A7C15)
@@ -182,7 +189,11 @@ class Lists:
             return
         n_long = min(need - 1, int(need / (MU * math.log2(longest) + 1)))
         short = len(lists) - n_long
-        merged = heapq.merge(*(self.owner[x:y].tolist() for x, y in zip(a[:short].tolist(), b[:short].tolist()) if y > x))
+        filled = [self.owner[x:y] for x, y in zip(a[:short].tolist(), b[:short].tolist()) if y > x]
+        if sum(map(len, filled)) > SORTED_MERGE:  # many entries: one sort merges them faster than a heap
+            merged = np.sort(np.concatenate(filled)).tolist()
+        else:
+            merged = heapq.merge(*(x.tolist() for x in filled))
         probes = lists[short:] * self.n
         seen, count = -1, 0
         for c in (*merged, -1):
@@ -252,6 +263,96 @@ def _search_groups(rows: DataFrame, k: int, percent: int) -> DataFrame:
     return rows.groupBy("grp", "blk").applyInPandas(run, "a long, b long")
 
 
+def _spread(df: DataFrame, size: int, mine: str, others: str) -> DataFrame:
+    """The number of blocks of ``size`` sets that a group of ``m`` has, and a set's own block."""
+    blocks = F.ceil(F.col("m") / size)
+    return df.withColumns({mine: F.pmod(F.xxhash64("doc"), blocks), others: F.sequence(F.lit(0).cast("bigint"), blocks - 1)})
+
+
+def _labels(large: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(grp, doc, label)`` after the links, and the sets ``(grp, doc)`` outside the largest label of their group."""
+    joined = components(links).withColumnRenamed("node", "doc")
+    state = stage(large.select("grp", "doc").join(joined, "doc", "left").select(
+        "grp", "doc", F.coalesce("component", "doc").alias("label")), "labels")
+    largest = state.groupBy("grp", "label").count().groupBy("grp").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+    return state, stage(state.join(largest, "grp").where("label <> main").select("grp", "doc"), "outside")
+
+
+def _near_counts(sets: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different labels whose element counts allow a link, for rows ``(grp, blk, qblk, doc, label, asks, n, counts)``."""
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        def arrays(part: pd.DataFrame) -> tuple:
+            counts = np.frombuffer(b"".join(part["counts"]), np.uint8).reshape(-1, RANGES).astype(np.int16)
+            return part["doc"].to_numpy(), part["label"].to_numpy(), part["n"].to_numpy(), counts
+
+        held, asking = arrays(pdf[~pdf["asks"]]), arrays(pdf[pdf["asks"]])
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for doc, label, n, counts in zip(*asking):
+            apart = np.abs(held[3] - counts).sum(1, dtype=np.int64)
+            near = ((100 + percent) * apart <= (100 - percent) * (held[2] + n)) & (held[1] != label)
+            a.append(held[0][near])
+            b.append(np.full(int(near.sum()), doc))
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return sets.groupBy("grp", "blk", "qblk").applyInPandas(run, "a long, b long")
+
+
+def _element_counts(rows: DataFrame, k: int) -> DataFrame:
+    """``(grp, doc, n, counts)`` of ``rows (grp, doc, text)``: set size, and elements by hash range (up to 255)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = WordIds()
+        for batch in batches:
+            sets = [shingles(ids.of(t.encode("utf-8").lower().split()), k) for t in batch.column(2).to_pylist()]
+            counts = [np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8).tobytes()
+                      for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(counts, pa.binary())],
+                ["grp", "doc", "n", "counts"])
+
+    return rows.select("grp", "doc", "text").mapInArrow(run, "grp long, doc long, n long, counts binary")
+
+
+def _link_large(large: DataFrame, k: int, percent: int, block: int) -> list[DataFrame]:
+    """Links of large groups ``(grp, doc, m, text)``; see the fourth step above."""
+    dealt = _spread(large, block, "blk", "blocks")
+    by_hash = F.min(F.struct(F.xxhash64(F.col("doc"), F.lit(1)), F.col("doc")))
+    pivots = large.groupBy("grp", F.pmod(F.xxhash64("doc", F.lit(2)), F.lit(PIVOTS)).alias("p")).agg(
+        by_hash.alias("x")).select("grp", F.col("x.doc").alias("doc"))
+    sent = dealt.join(pivots, ["grp", "doc"]).select("grp", F.explode("blocks").alias("to"), "doc", "text", "blk").where(
+        "to <> blk").select("grp", F.col("to").alias("blk"), "doc", "text")
+    first = dealt.select("grp", "blk", "doc", "text").unionByName(sent).select(
+        "grp", "blk", "doc", F.col("doc").alias("label"), F.lit(True).alias("asks"), "text")
+    links = stage(_search_groups(first, k, percent), "links")
+    state, outside = _labels(large, links)
+    if outside.isEmpty():
+        return [links]
+
+    # which of the others can be near enough to a set outside
+    asked = large.join(outside.select("grp").distinct(), "grp", "left_semi")
+    counted = _element_counts(asked, k).join(state.select("doc", "label"), "doc").join(large.select("doc", "m"), "doc")
+    counted = _spread(stage(counted, "element-counts"), COUNT_BLOCK, "own", "blocks")
+    cols = ["grp", "blk", "qblk", "doc", "label", "n", "counts"]
+    index = counted.withColumn("blk", F.col("own")).withColumn("qblk", F.explode("blocks")).select(*cols, F.lit(False).alias("asks"))
+    asking = counted.join(outside, ["grp", "doc"], "left_semi").withColumn("qblk", F.col("own")).withColumn(
+        "blk", F.explode("blocks")).select(*cols, F.lit(True).alias("asks"))
+    pairs = stage(_near_counts(index.unionByName(asking), k, percent), "near-counts")
+
+    regrouped = components(pairs).withColumnsRenamed({"node": "doc", "component": "grp"})
+    sizes = regrouped.groupBy("grp").agg(F.count(F.lit(1)).alias("m"))
+    again = large.select("doc", "text").join(regrouped.join(sizes, "grp"), "doc").join(state.select("doc", "label"), "doc")
+    again = stage(again, "regrouped")
+    zero = F.lit(0).cast("bigint").alias("blk")
+    few = again.where(F.col("m") <= block).select("grp", zero, "doc", "label", F.lit(True).alias("asks"), "text")
+    many = _spread(again.where(F.col("m") > block), block, "own", "blocks")
+    # every set outside in every block; the sets that ask are dealt out in blocks as well
+    n = F.size("blocks").cast("bigint")
+    held = many.withColumn("q", F.explode("blocks")).select(
+        "grp", (F.col("own") * n + F.col("q")).alias("blk"), "doc", "label", F.lit(False).alias("asks"), "text")
+    ask = many.join(outside.select("doc"), "doc", "left_semi").withColumn("to", F.explode("blocks")).select(
+        "grp", (F.col("to") * n + F.col("own")).alias("blk"), "doc", "label", F.lit(True).alias("asks"), "text")
+    return [links, _search_groups(few.unionByName(held).unionByName(ask), k, percent)]
+
+
 def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, block: int = BLOCK, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row with an id.
@@ -283,36 +384,11 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, block: int =
     members = stage(members.join(counts, "grp").select("doc", "grp", "m"), "members")
     text = docs.select(F.col(f"`{id_col}`").alias("doc"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     candidates = stage(members.join(text, "doc"), "candidates")
-    blocks = F.ceil(F.col("m") / block)
-    mine = F.pmod(F.xxhash64("doc"), blocks)
-
     small = candidates.where(F.col("m") <= block).select(
         "grp", F.lit(0).cast("bigint").alias("blk"), "doc", F.col("doc").alias("label"), F.lit(True).alias("asks"), "text")
-    large = candidates.where(F.col("m") > block).withColumns({"blk": mine, "blocks": blocks})
     found = [_search_groups(small, k, percent)]
     if members.where(F.col("m") > block).limit(1).count():
-        by_hash = F.min(F.struct(F.xxhash64(F.col("doc"), F.lit(1)), F.col("doc")))
-        pivots = members.where(F.col("m") > block).groupBy("grp", F.pmod(F.xxhash64("doc", F.lit(2)), F.lit(PIVOTS)).alias("p")).agg(
-            by_hash.alias("x")).select("grp", F.col("x.doc").alias("doc"))
-        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("to")
-        sent = large.join(pivots, ["grp", "doc"]).select("grp", every, "doc", "text", F.col("blk").alias("own")).where(
-            "to <> own").select("grp", F.col("to").alias("blk"), "doc", "text")
-        first = large.select("grp", "blk", "doc", "text").unionByName(sent).select(
-            "grp", "blk", "doc", F.col("doc").alias("label"), F.lit(True).alias("asks"), "text")
-        links = stage(_search_groups(first, k, percent), "links")
-        joined = components(links)
-        label = F.coalesce("component", "doc").alias("label")
-        state = stage(members.where(F.col("m") > block).join(
-            joined.withColumnRenamed("node", "doc"), "doc", "left").select("grp", "doc", label), "state")
-        largest = state.groupBy("grp", "label").count().groupBy("grp").agg(
-            F.max_by("label", F.struct("count", "label")).alias("main"))
-        outside = state.join(largest, "grp").where("label <> main").select("grp", "doc")
-        held = large.join(state, ["grp", "doc"])
-        asking = held.join(outside, ["grp", "doc"]).select("grp", every, "doc", "label", "text", F.lit(True).alias("asks"))
-        asked = outside.select("grp").distinct()
-        again = held.join(asked, "grp").select("grp", "blk", "doc", "label", "text", F.lit(False).alias("asks")).unionByName(
-            asking.withColumnRenamed("to", "blk"))
-        found += [links, _search_groups(again, k, percent)]
+        found += _link_large(candidates.where(F.col("m") > block), k, percent, block)
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
