@@ -27,9 +27,9 @@ from hirestream.operators.dedup import keep_first
 from hirestream.sources.feeds_json import _text, item_ord, join_truthy, listing
 from hirestream.sources.pages import (
     embedded_json,
-    extract_jsonld_postings,
     meta_content,
     text_by_class,
+    with_posting,
 )
 
 
@@ -58,7 +58,7 @@ def _detail_pages(
     ``blank_url`` also replaces an empty posting URL, not only a missing one.
     """
     pages = pages.withColumn("html", F.col("body"))
-    rows = pages.join(extract_jsonld_postings(pages, "ord"), "ord", "left")
+    rows = with_posting(pages)
     has = F.col("posting").isNotNull()
     rows = rows.withColumns(
         {

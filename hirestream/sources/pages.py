@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hirestream.functions.keys import computed
 from hirestream.functions.text import decode_entities, html_text, page_text, strip_cdata, trim_ws
 from hirestream.functions.urls import drop_query, hostname, resolve
 from hirestream.session import ensure_checkpoint_dir, stage
@@ -38,45 +39,48 @@ def _find_posting(node):
     return None
 
 
-def _postings(texts: pd.Series) -> pd.Series:
-    def one(text: str):
-        try:
-            found = _find_posting(json.loads(text, parse_constant=_reject))
-        except (ValueError, RecursionError):  # not JSON, or nested too deeply
-            return None
-        return None if found is None else json.dumps(found, ensure_ascii=False)
+def _first_posting(scripts: pd.Series) -> pd.Series:
+    def one(texts):
+        for text in () if texts is None else texts:
+            try:
+                found = _find_posting(json.loads(text, parse_constant=_reject))
+            except (ValueError, RecursionError):  # not JSON, or nested too deeply
+                continue
+            if found is not None:
+                return json.dumps(found, ensure_ascii=False)
+        return None
 
-    return texts.map(one).astype(object)
+    return scripts.map(one, na_action=None).astype(object)
 
 
-def extract_jsonld_postings(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """``(key, posting)``: the first job posting in the JSON-LD scripts of each page, as JSON text.
+def with_posting(pages: DataFrame) -> DataFrame:
+    """Add ``posting``: the first job posting in the JSON-LD scripts of each page, as JSON text, or NULL.
 
-    Scripts whose root is the posting are handled in the JVM; only other, nested
-    documents go through an Arrow batch that walks the tree.  Malformed scripts
-    are skipped.
+    A script whose root is the posting is picked in the JVM; only documents before
+    it go through an Arrow batch that walks the tree.  Malformed scripts are
+    skipped.  Each page is read once and never shuffled.
     """
     scripts = F.regexp_extract_all(
         "html",
         F.lit(r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""),
         F.lit(1),
     )
-    blocks = pages.where(F.contains(F.lower("html"), F.lit("application/ld+json"))).select(
-        key, F.posexplode(scripts).alias("i", "raw")
-    )
-    blocks = blocks.withColumn("doc", decode_entities(strip_cdata(trim_ws(F.col("raw"))))).where("doc <> ''")
-    blocks = blocks.withColumn(
-        "root", F.lower(F.expr("try_variant_get(try_parse_json(doc), '$[\"@type\"]', 'string')"))
-    )
-    flat = blocks.where("root = 'jobposting'").select(key, "i", F.col("doc").alias("posting"))
-    walk = F.pandas_udf(_postings, "string")
-    nested = (
-        blocks.where("root is null or root <> 'jobposting'")
-        .select(key, "i", walk("doc").alias("posting"))
-        .where("posting is not null")
-    )
-    hits = flat.unionByName(nested)
-    return hits.groupBy(key).agg(F.min_by("posting", "i").alias("posting"))
+    marked = F.contains(F.lower("html"), F.lit("application/ld+json"))
+    docs = F.filter(F.transform(scripts, lambda raw: decode_entities(strip_cdata(trim_ws(raw)))), lambda d: d != "")
+    found = computed(pages, {"__docs": F.when(marked, docs)})
+    kind = lambda d: F.lower(F.try_variant_get(F.try_parse_json(d), '$["@type"]', "string"))
+    rooted = F.array_position(F.transform("__docs", lambda d: F.coalesce(kind(d) == "jobposting", F.lit(False))), True)
+    found = computed(found, {"__at": F.coalesce(rooted, F.lit(0)).cast("int")})
+    before = F.when(F.col("__at") > 0, F.slice("__docs", 1, F.col("__at") - 1)).otherwise(F.col("__docs"))
+    walk = F.pandas_udf(_first_posting, "string")
+    nested = walk(F.when(F.size(before) > 0, before))
+    root = F.when(F.col("__at") > 0, F.get("__docs", F.col("__at") - 1))
+    return found.withColumn("posting", F.coalesce(nested, root)).drop("__docs", "__at")
+
+
+def extract_jsonld_postings(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """``(key, posting)`` of the pages with a posting."""
+    return with_posting(pages.select(key, "html")).select(key, "posting").where("posting is not null")
 
 
 def meta_content(html: Column, name: str) -> Column:
@@ -181,7 +185,7 @@ def _json_at(html: pd.Series, start: pd.Series) -> pd.Series:
         except (ValueError, RecursionError):
             return None
 
-    return pd.Series([one(h, int(s)) for h, s in zip(html, start)], dtype=object)
+    return pd.Series([None if h is None else one(h, int(s)) for h, s in zip(html, start)], dtype=object)
 
 
 def embedded_json(pages: DataFrame, marker: str, opening: str, out: str) -> DataFrame:
@@ -189,11 +193,10 @@ def embedded_json(pages: DataFrame, marker: str, opening: str, out: str) -> Data
 
     ``marker`` is a case-sensitive or ``(?i)`` pattern.  Regular expressions
     cannot balance brackets, so the value is cut out by a JSON decoder in an Arrow
-    batch, and only for pages that have the marker.
+    batch, which gets only pages that have the marker.
     """
     before = F.regexp_extract("html", rf"(?s)^(.*?{marker}[^\{opening}]*)\{opening}", 1)
-    hit = pages.withColumn("__start", F.when(F.regexp_like("html", F.lit(marker)), F.length(before)))
+    start = F.when(F.regexp_like("html", F.lit(marker)), F.nullif(F.length(before), F.lit(0)))
+    hit = computed(pages, {"__start": start})
     cut = F.pandas_udf(_json_at, "string")
-    found = hit.where("__start > 0").withColumn(out, cut("html", "__start"))
-    rest = hit.where("__start is null or __start = 0").withColumn(out, F.lit(None).cast("string"))
-    return found.unionByName(rest).drop("__start")
+    return hit.withColumn(out, cut(F.when(F.col("__start").isNotNull(), F.col("html")), "__start")).drop("__start")
