@@ -157,28 +157,38 @@ def with_probe_keys(named: DataFrame) -> DataFrame:
     return placed.withColumn("keys", keys).drop("la", "places")
 
 
+# a crowded segment is dealt out over this many shares; firm lists are small next to listings
+_SHARES = 16
+
+
 def company_matches(companies: DataFrame, firms: DataFrame) -> DataFrame:
     """``(company, firm_ord)`` for every distinct company; NULL when no firm matches.
 
-    One pass: each company is exploded into its probe keys (whole name first) and
-    joined with the firm index.  Candidate pairs are then made distinct, which
-    also spreads the comparisons of a crowded segment over all tasks, and each
-    pair is compared once.
+    Each distinct normalised name is exploded into its probe keys (whole name
+    first) and joined with the firm index.  Candidate pairs are two 64-bit ids;
+    they are made distinct, take their names and are compared once.  Names without
+    any candidate come back by the last join.
     """
-    # the work per name is large compared to its size in bytes: spread it in full
-    n = int(companies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    named = companies.repartition(n, "company").withColumn("norm", norm_firm(F.col("company")))
-    probes = with_probe_keys(named).select("company", "norm", F.explode("keys").alias("seg_key"))
-    index = exact_index(firms).withColumn("exact", F.lit(True)).unionByName(
-        firm_index(firms).withColumn("exact", F.lit(False))
-    )
-    pairs = (
-        probes.join(index, "seg_key", "left")
-        .groupBy("company", "norm", "name", "exact")
+    named = computed(companies.select("company"), {"norm": norm_firm(F.col("company"))})
+    names = named.select("norm").distinct()
+    share = F.pmod(F.xxhash64("norm", F.lit(1)), F.lit(_SHARES)).cast("int")
+    probes = with_probe_keys(names).select(
+        F.xxhash64("norm").alias("probe"), share.alias("share"), F.explode("keys").alias("seg_key"))
+    exact = exact_index(firms).select("seg_key", "name", "firm_ord", F.lit(True).alias("exact"))
+    listed = exact.unionByName(firm_index(firms).select("seg_key", "name", "firm_ord", F.lit(False).alias("exact")))
+    index = listed.select("seg_key", F.xxhash64("name", "exact").alias("firm"),
+                         F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).alias("share"))
+    pairs = probes.join(index, ["seg_key", "share"]).select("probe", "firm").distinct()
+    listed = listed.groupBy("name", "exact").agg(F.min("firm_ord").alias("firm_ord")).withColumn("firm", F.xxhash64("name", "exact"))
+    hit = F.when(F.col("exact"), F.col("norm") == F.col("name")).otherwise(similar(F.col("norm"), F.col("name")))
+    found = (
+        pairs.join(listed, "firm")
+        .join(names.withColumn("probe", F.xxhash64("norm")), "probe")
+        .where(hit)
+        .groupBy("norm")
         .agg(F.min("firm_ord").alias("firm_ord"))
     )
-    hit = F.when(F.col("exact"), F.col("norm") == F.col("name")).otherwise(similar(F.col("norm"), F.col("name")))
-    return pairs.groupBy("company").agg(F.min(F.when(hit, F.col("firm_ord"))).alias("firm_ord"))
+    return named.join(found, "norm", "left").select("company", "firm_ord")
 
 
 def firm_match_exact(companies: DataFrame, firms: DataFrame) -> DataFrame:
