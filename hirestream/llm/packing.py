@@ -11,7 +11,7 @@ which may stay partly empty, are packed again with those of other groups.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -41,6 +41,20 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+class _Remembered(dict):
+    """Results of a function of words, up to a number of them."""
+
+    def __init__(self, of: Callable[[bytes], bytes], bound: int):
+        super().__init__()
+        self.of, self.bound = of, bound
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.bound:
+            self.clear()
+        out = self[word] = self.of(word)
+        return out
+
+
 class WordTokens:
     """Token ids of a text, by word, as the tokenizer gives them for the whole text.
 
@@ -56,7 +70,7 @@ class WordTokens:
         self.model = self.tokenizer.model
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.bound = bound
-        self.words: dict[bytes, bytes] = {}
+        self.words = _Remembered(self._word, bound)
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
@@ -74,19 +88,11 @@ class WordTokens:
             out = b"".join([parts.get(p) or self._part(p) for p in PRE_TOKEN.findall(text.lower())])
         else:
             out = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.words) >= self.bound:
-            self.words.clear()
-        self.words[word] = out
         return out
 
     def ids(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
-        get, miss = self.words.get, self._word
-        out = []
-        for w in text.encode("utf-8").split():
-            v = get(w)
-            out.append(miss(w) if v is None else v)
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, text.encode("utf-8").split()))
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = END_ID,
