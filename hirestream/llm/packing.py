@@ -10,6 +10,8 @@ which may stay partly empty, are packed again with those of other groups.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -17,16 +19,15 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirestream.llm.common import stage
 
-#: Pre-tokens of the word-level vocabulary (fixed by its file).
-PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Words for which lower-casing and normalisation are plain: visible ASCII and Latin letters.
-PLAIN = regex.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+#: Pre-tokens of the word-level vocabulary (fixed by its file), for plain words in lower case.
+PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 END_ID = 1
 GROUP_BINS = 2048
 GROUP_PIECES = 40_000
@@ -44,11 +45,11 @@ def _byte_alphabet() -> list[str]:
 class _Remembered(dict):
     """Results of a function of words, up to a number of them."""
 
-    def __init__(self, of: Callable[[bytes], bytes], bound: int):
+    def __init__(self, of: Callable[[bytes | str], bytes], bound: int):
         super().__init__()
         self.of, self.bound = of, bound
 
-    def __missing__(self, word: bytes) -> bytes:
+    def __missing__(self, word: bytes | str) -> bytes:
         if len(self) >= self.bound:
             self.clear()
         out = self[word] = self.of(word)
@@ -69,23 +70,18 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.bound = bound
         self.words = _Remembered(self._word, bound)
-        self.parts: dict[str, bytes] = {}
+        self.parts = _Remembered(self._part, bound)
 
     def _part(self, part: str) -> bytes:
-        if len(self.parts) >= self.bound:
-            self.parts.clear()
-        table = _byte_alphabet()
-        mapped = part if part.isascii() else "".join(table[b] for b in part.encode())
-        out = self.parts[part] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-        return out
+        mapped = part if part.isascii() else "".join(map(_byte_alphabet().__getitem__, part.encode()))
+        ids = [t.id for t in self.model.tokenize(mapped)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
-        if PLAIN.fullmatch(text) and not any(s in text for s in self.specials):
-            parts = self.parts
-            out = b"".join([parts.get(p) or self._part(p) for p in PRE_TOKEN.findall(text.lower())])
+        if PLAIN.fullmatch(text) and not (b"<" in word and any(s in text for s in self.specials)):
+            out = b"".join(map(self.parts.__getitem__, PRE_TOKEN.findall(text.lower())))
         else:
             out = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return out
