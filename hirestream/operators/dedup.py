@@ -22,6 +22,15 @@ def with_seq(df: DataFrame) -> DataFrame:
     return df.withColumn("seq", F.struct(F.col("ord").alias("a"), F.col("ord").alias("b")))
 
 
+def text_length(df: DataFrame) -> Column:
+    """Length of the description; rows without their text carry it as ``text_length``."""
+    return F.col("text_length") if "text_length" in df.columns else F.length(F.coalesce("description", F.lit("")))
+
+
+def text_blank(df: DataFrame) -> Column:
+    return F.col("text_blank") if "text_blank" in df.columns else blank(F.coalesce("description", F.lit("")))
+
+
 def fingerprint_dedup(df: DataFrame) -> DataFrame:
     """One row per company, title and location across sources.
 
@@ -36,7 +45,7 @@ def fingerprint_dedup(df: DataFrame) -> DataFrame:
     """
     keyed = with_seq(df).withColumn("fp", fingerprint(F.col("company"), F.col("title"), F.col("location")))
     rank = F.struct(
-        F.length(F.coalesce("description", F.lit(""))).alias("len"), (-F.col("ord")).alias("neg_ord")
+        text_length(df).alias("len"), (-F.col("ord")).alias("neg_ord")
     )
     per_source = keyed.groupBy("fp", "source").agg(
         F.count(F.lit(1)).alias("n"), F.max(rank).alias("best"), F.min("seq").alias("first")
@@ -63,13 +72,12 @@ def fingerprint_dedup(df: DataFrame) -> DataFrame:
 
 def completeness(df: DataFrame) -> Column:
     """How much a row tells; decides between rows with the same URL."""
-    text = F.coalesce(F.col("description"), F.lit(""))
 
     def worth(cond: Column, points: int) -> Column:
         return F.when(cond, points).otherwise(0)
 
     return (
-        F.when(~blank(text), F.least(F.length(text), F.lit(5000))).otherwise(0)
+        F.when(~text_blank(df), F.least(text_length(df), F.lit(5000))).otherwise(0)
         + worth(~blank(F.col("location")), 25)
         + worth(F.col("salary_min").isNotNull(), 50)
         + worth(F.col("salary_max").isNotNull(), 50)

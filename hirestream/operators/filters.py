@@ -21,12 +21,22 @@ def role_filter(
     keywords make the row ``operations``.
     """
     lowered = df.withColumns({"__t": F.lower("title"), "__d": F.lower("description")})
-    cases = [(any_contains("__t", words), quoted(category)) for category, words in titles.items()]
-    cases.append((f"{count_contains('__d', descriptions)} >= 2", "'operations'"))
-    role = F.expr(first_case(cases))
+    role = role_of("__t", "__d", titles, descriptions)
     return computed(lowered, {"role_category": role}).where("role_category is not null").drop("__t", "__d")
 
 
+def role_of(
+    title: str,
+    description: str,
+    titles: dict[str, list[str]] = C.ROLE_TITLE_KEYWORDS,
+    descriptions: list[str] = C.ROLE_DESCRIPTION_KEYWORDS,
+) -> Column:
+    """The role of a row, from lower-cased columns; NULL if it has none."""
+    cases = [(any_contains(title, words), quoted(category)) for category, words in titles.items()]
+    cases.append((f"{count_contains(description, descriptions)} >= 2", "'operations'"))
+    return F.expr(first_case(cases))
+
+
 def has_signals(lowered: str, signals: dict[str, list[str]] = C.INDUSTRY_SIGNALS) -> Column:
     """Two different signals of one industry in the lower-cased text column."""
     return F.expr(" or ".join(f"{count_contains(lowered, words)} >= 2" for words in signals.values()))

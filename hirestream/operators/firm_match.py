@@ -262,13 +262,17 @@ def firm_gate(
     return apply_gate(df.join(company_firms(companies, firms, site_firms), "company", "left"), signals)
 
 
+def gate_of(signals: Column) -> Column:
+    """Why a row passes the gate: its firm, the allow list, or ``signals`` in its text; NULL if it does not."""
+    return (
+        F.when(F.col("firm_ord").isNotNull(), "firm")
+        .when(F.col("allow_listed"), "allow_list")
+        .when(signals, "signals")
+    )
+
+
 def apply_gate(df: DataFrame, signals: dict[str, list[str]] = C.INDUSTRY_SIGNALS) -> DataFrame:
     from hirestream.operators.filters import has_signals
 
     lowered = df.withColumn("__d", F.lower(F.coalesce("description", F.lit(""))))
-    gate = (
-        F.when(F.col("firm_ord").isNotNull(), "firm")
-        .when(F.col("allow_listed"), "allow_list")
-        .when(has_signals("__d", signals), "signals")
-    )
-    return computed(lowered, {"gate": gate}).where("gate is not null").drop("__d", "allow_listed")
+    return computed(lowered, {"gate": gate_of(has_signals("__d", signals))}).where("gate is not null").drop("__d", "allow_listed")

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirestream import config as C
-from hirestream.functions.text import norm_company
+from hirestream.functions.keys import computed
+from hirestream.functions.text import blank, norm_company
 from hirestream.operators import enrichment as E
 from hirestream.operators import history as H
 from hirestream.operators import publish as P
 from hirestream.operators.dedup import fingerprint_dedup, url_dedup
-from hirestream.operators.filters import publish_filter, role_filter, text_gate
-from hirestream.operators.firm_match import apply_gate, company_firms
+from hirestream.operators.filters import has_signals, publish_filter, role_filter, role_of, text_gate
+from hirestream.operators.firm_match import apply_gate, company_firms, gate_of
 from hirestream.operators.lookups import (
     cache_hit_split,
     company_rank,
@@ -86,9 +87,21 @@ def filtered_listings(deduped: DataFrame, dims: Dimensions, run_ts: Column) -> D
     return apply_gate(roles.join(profile, "company", "left"))
 
 
+def decision_columns(raw: DataFrame) -> DataFrame:
+    """What duplicates, filters and slugs are decided on: one pass over the texts, none of them kept."""
+    lowered = raw.withColumns({"__t": F.lower("title"), "__d": F.lower(F.coalesce("description", F.lit("")))})
+    text = F.coalesce("description", F.lit(""))
+    marked = computed(lowered, {"role_category": role_of("__t", "__d"), "text_length": F.length(text), "text_blank": blank(text)})
+    marked = marked.withColumn("signals", F.when(F.col("role_category").isNotNull(), has_signals("__d")))
+    return marked.select(
+        "ord", "source", "company", "title", "location", "source_url", "salary_min", "salary_max", "contract_type",
+        "contract_time", "text_length", "text_blank", "role_category", "signals",
+    )
+
+
 @dataclass
 class RunResult:
-    """Outputs of a run, all lazy."""
+    """Outputs of a run, all lazy; ``deduped`` has the narrow rows."""
 
     deduped: DataFrame
     enriched: DataFrame
@@ -107,14 +120,24 @@ def daily_run(
     """A whole run: duplicates out, filter, enrich, slugs, publish decisions, statistics.
 
     ``dims.published`` is the full snapshot (``publish.ITEM_COLUMNS`` plus ``id``
-    and ``item_ord``).  Results that several later steps read are staged as tables.
+    and ``item_ord``).  ``raw`` may carry ``row_error``: such rows are counted as
+    errors and go no further.  Duplicates, filters and slugs are decided on narrow
+    rows; the full rows are read again only to be enriched, those that are left.
+    ``session.remove_stages`` deletes what a run has staged.
     """
-    raw = stage(raw, "raw")
-    deduped = stage(url_dedup(stage(fingerprint_dedup(raw), "distinct")), "deduped")
-    filtered = filtered_listings(deduped, dims, run_ts)
-    enriched = enrich_listings(filtered, dims, run_ts)
-    enriched = with_slug_base(stage(enriched, "enriched"))
-    enriched = stage(slug_uniquify(enriched, dims.published), "slugged")
+    failed = raw.where("row_error is not null") if "row_error" in raw.columns else raw.where(F.lit(False))
+    raw = raw.where("row_error is null").drop("row_error") if "row_error" in raw.columns else raw
+    narrow = stage(decision_columns(raw), "decision-input")
+    deduped = stage(url_dedup(stage(fingerprint_dedup(narrow), "distinct")), "deduped")
+    roles = deduped.where("role_category is not null")
+    profile = stage(company_profile(roles.select("company").distinct(), dims, run_ts), "profiles")
+    known = profile.select("company", "firm_ord", "allow_listed")
+    gated = roles.join(known, "company", "left").withColumn("gate", gate_of(F.col("signals"))).where("gate is not null")
+    gated = stage(with_slug_base(gated).select("ord", "seq", "role_category", "gate", "slug_base"), "gated")
+    slugged = slug_uniquify(gated, dims.published)
+    # the only pass over the full rows after the first one
+    filtered = raw.join(slugged, "ord").join(profile.drop("allow_listed"), "company", "left")
+    enriched = stage(enrich_listings(filtered, dims, run_ts), "enriched")
     publishable = publish_filter(enriched)
     items = P.map_published_item(publishable, run_ts)
     snapshot = dims.published.select(
@@ -145,6 +168,7 @@ def daily_run(
             "after_dedup": deduped,
             "after_filter": enriched,
             "after_quality_filter": publishable,
+            "errors": failed,
         }
     ).drop("created", "updated", "expired", "deleted", "skipped")
     counts = counts.select(F.struct(*counts.columns)).scalar()
