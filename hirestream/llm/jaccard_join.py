@@ -282,16 +282,23 @@ def _near_counts(sets: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of different labels whose element counts allow a link, for rows ``(grp, blk, qblk, doc, label, asks, n, counts)``."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         def arrays(part: pd.DataFrame) -> tuple:
+            part = part.sort_values("n")
             counts = np.frombuffer(b"".join(part["counts"]), np.uint8).reshape(-1, RANGES).astype(np.int16)
-            return part["doc"].to_numpy(), part["label"].to_numpy(), part["n"].to_numpy(), counts
+            coarse = counts.reshape(-1, RANGES // 8, 8).sum(2, dtype=np.int16)
+            return part["doc"].to_numpy(), part["label"].to_numpy(), part["n"].to_numpy(), counts, coarse
 
         held, asking = arrays(pdf[~pdf["asks"]]), arrays(pdf[pdf["asks"]])
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for doc, label, n, counts in zip(*asking):
-            apart = np.abs(held[3] - counts).sum(1, dtype=np.int64)
-            near = ((100 + percent) * apart <= (100 - percent) * (held[2] + n)) & (held[1] != label)
-            a.append(held[0][near])
-            b.append(np.full(int(near.sum()), doc))
+        first = np.searchsorted(held[2], -(-percent * asking[2] // 100))
+        last = np.searchsorted(held[2], asking[2] * 100 // percent, "right")
+        for doc, label, n, counts, coarse, x, y in zip(*asking, first.tolist(), last.tolist()):
+            room = (100 - percent) * (held[2][x:y] + n) // (100 + percent)
+            # a few wide ranges first, then all
+            at = x + np.flatnonzero(np.abs(held[4][x:y] - coarse).sum(1) <= room)
+            at = at[np.abs(held[3][at] - counts).sum(1) <= room[at - x]]
+            at = at[held[1][at] != label]
+            a.append(held[0][at])
+            b.append(np.full(len(at), doc))
         return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     return sets.groupBy("grp", "blk", "qblk").applyInPandas(run, "a long, b long")
