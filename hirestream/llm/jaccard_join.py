@@ -2,9 +2,11 @@
 
 1. One pass over the texts cuts the hash space into parts (one more than two
    linked sets can differ in, see ``part_count``), so linked sets agree in at
-   least one whole part.  A part's content is a signature; a signature's rows are
-   reduced to one per Arrow batch before the shuffle, and each document is tied
-   to the smallest one of the signature.  No pairs within a signature are made.
+   least one whole part.  A part's content is a signature.  Where few documents
+   share one, counts of elements by hash range tell which of them can be near
+   enough: the counts of two sets differ by no more than the sets do.  Where many
+   do, each is tied to the smallest one instead, already inside an Arrow batch, so
+   no pairs of a large group are made.
 2. Connected components of these ties bound where links can be.  One text of
    each class of equal sets is sent to its component.
 3. Inside a component the links are found with inverted lists: the short lists of
@@ -12,10 +14,9 @@
    (DivideSkip), and sets with the required overlap are retained.
 4. Components above ``block`` sets are dealt out in blocks.  First every block is
    searched together with a few pivots of the component, which joins most of it.
-   For the sets outside the component's largest group, counts of elements by hash
-   range tell which others can be near enough (the counts differ by no more than
-   the sets do); components of these pairs are then searched, in blocks again
-   where they are large.
+   For the sets outside the component's largest group, the counts tell which
+   others can be near enough; components of these pairs are then searched, in
+   blocks again where they are large.
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ SORTED_MERGE = 2000
 #: Hash ranges whose element counts are compared, and sets per block of that comparison.
 RANGES = 64
 COUNT_BLOCK = 1024
+#: Sets of so many elements get sixteen times as many ranges.
+FINE_FROM = 600
+#: Documents of one signature that are compared by their counts; where more share it, they are tied.
+FEW = 32
 #: Up to this number of parts, a set with an empty part also gets signatures with one element left out.
 SMALL_PARTS = 24
 _K1 = np.uint64(0x9E3779B97F4A7C15)
@@ -103,45 +108,76 @@ def signatures(s: np.ndarray, bands: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def element_counts(s: np.ndarray) -> bytes:
+    """Elements by hash range, up to 255 each; sets of many elements get many narrow ranges as well."""
+    wide = np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8)
+    if len(s) < FINE_FROM:
+        return wide.tobytes()
+    fine = np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=16 * RANGES)
+    return wide.tobytes() + np.minimum(fine, 255).astype(np.uint8).tobytes()
+
+
+def near_enough(a: list[bytes], b: list[bytes], room: np.ndarray) -> np.ndarray:
+    """Whether counts of pairs differ by no more than ``room``; the widest ranges that both have are compared."""
+    out = np.zeros(len(a), bool)
+    fine = np.array([len(x) > RANGES and len(y) > RANGES for x, y in zip(a, b)], bool)
+    for some, part in ((np.flatnonzero(~fine), slice(0, RANGES)), (np.flatnonzero(fine), slice(RANGES, None))):
+        for at in range(0, len(some), 4096):
+            i = some[at : at + 4096]
+            x, y = (np.frombuffer(b"".join(v[j][part] for j in i), np.uint8).reshape(len(i), -1).astype(np.int16) for v in (a, b))
+            out[i] = np.abs(x - y).sum(1, dtype=np.int64) <= room[i]
+    return out
+
+
 def _ties(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Signatures (s: key, document a), ties (e: a, b) and documents (d: id a, size n, set hash b and c); ``key`` spreads the others."""
-    schema = "kind string, key long, a long, b long, n long, c long"
+    """Rows by ``kind``.  s: signature ``key``, document ``a``, its size ``n``, and ``b`` = 1 where many share it in the batch;
+    e: a tie of ``a`` to ``b``; d: document ``a``, size ``n``, set hash ``b`` and ``c``, ``counts``; there ``key`` only spreads rows."""
+    schema = "kind string, key long, a long, b long, n long, c long, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, bands = WordIds(), size_bands(1 << 20, percent)
 
-        def rows(kind, key, a, b=None, n=None, c=None):
+        def rows(kind, key, a, b=None, n=None, c=None, counts=None):
             m = len(a)
             null = pa.nulls(m, pa.int64())
             as64 = lambda x: null if x is None else pa.array(x.astype(np.int64, copy=False))
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(m, kind, object), pa.string()), *map(as64, (key, a, b, n, c))],
-                ["kind", "key", "a", "b", "n", "c"])
+                [pa.array(np.full(m, kind, object), pa.string()), *map(as64, (key, a, b, n, c)),
+                 pa.nulls(m, pa.binary()) if counts is None else pa.array(counts, pa.binary())],
+                ["kind", "key", "a", "b", "n", "c", "counts"])
 
         for batch in batches:
-            sig, owner, doc_rows = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            sig, doc_rows, first_of, tied = [], [], {}, []
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for doc, text in sorted(pairs, key=lambda r: r[0]):
                 s = shingles(ids.of(text.encode("utf-8").lower().split()), k)
                 if len(s) >= bands[-1]:
                     bands = size_bands(2 * len(s), percent)
                 mixed = mix64(s + _K1)
-                doc_rows.append((doc, len(s), int(mixed.sum(dtype=np.uint64)), int(mix64(mixed).sum(dtype=np.uint64))))
-                if len(s):
-                    g = signatures(s, bands, percent)
-                    sig.append(g)
-                    owner.append(np.full(len(g), doc, np.int64))
+                same = int(mixed.sum(dtype=np.uint64)), int(mix64(mixed).sum(dtype=np.uint64)), len(s)
+                doc_rows.append((doc, len(s), *same[:2], element_counts(s)))
+                if not len(s):
+                    continue
+                first = first_of.setdefault(same, doc)
+                if first != doc:  # an equal set: its first document stands for it
+                    tied.append((doc, first))
+                    continue
+                g = signatures(s, bands, percent)
+                sig.append((g, np.full(len(g), doc, np.int64), np.full(len(g), len(s), np.int64)))
             if doc_rows:
-                doc, n, c1, c2 = (np.array(x, t) for x, t in zip(zip(*doc_rows), (np.int64, np.int64, np.uint64, np.uint64)))
-                yield rows("d", mix64(doc.astype(np.uint64)), doc, c1, n, c2)
+                doc, n, c1, c2 = (np.array(x, t) for x, t in zip(zip(*(r[:4] for r in doc_rows)), (np.int64, np.int64, np.uint64, np.uint64)))
+                yield rows("d", mix64(doc.astype(np.uint64)), doc, c1, n, c2, [r[4] for r in doc_rows])
             if sig:
-                g, o = np.concatenate(sig), np.concatenate(owner)
+                g, o, n = (np.concatenate(x) for x in zip(*sig))
                 order = np.lexsort((o, g))
-                g, o = g[order], o[order]
-                first = run_starts(g)
-                smallest = np.repeat(o[first], np.diff(np.r_[first, len(g)]))
-                yield rows("s", g[first], o[first])
-                tied = o != smallest
-                e = np.stack([o[tied], smallest[tied]])
+                g, o, n = g[order], o[order], n[order]
+                new = run_starts(g)
+                size = np.diff(np.r_[new, len(g)])
+                many, least = np.repeat(size > FEW, size), np.repeat(o[new], size)
+                send = ~many | (o == least)
+                yield rows("s", g[send], o[send], many[send].astype(np.int64), n[send])
+                e = np.stack([o[~send], least[~send]])
+                e = np.concatenate([e, np.array(tied, np.int64).reshape(-1, 2).T], 1)
                 e = e[:, np.lexsort(e)]
                 e = e[:, run_starts(*e)]
                 if e.shape[1]:
@@ -152,6 +188,27 @@ def _ties(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) ->
     return named.mapInArrow(run, schema)
 
 
+def _near_pairs(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of documents that share a signature with few others and whose counts allow a link."""
+    group = F.array_sort(F.collect_set(F.struct(F.col("a").alias("doc"), "n")))
+    groups = shared.groupBy("key").agg(group.alias("g")).where(F.size("g") > 1)
+    pairs = groups.select(F.explode(F.flatten(F.transform("g", lambda x, i: F.transform(
+        F.slice("g", i + 2, FEW * FEW), lambda y: F.struct(x["doc"].alias("a"), y["doc"].alias("b"), x["n"].alias("n"), y["n"].alias("m")))
+    ))).alias("p")).select("p.*").where((100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.col("a") != F.col("b"))).distinct()
+    held = nodes.select("doc", "counts")
+    pairs = pairs.join(held.withColumnsRenamed({"doc": "a", "counts": "x"}), "a").join(
+        held.withColumnsRenamed({"doc": "b", "counts": "y"}), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(2).to_numpy(zero_copy_only=False) + batch.column(3).to_numpy(zero_copy_only=False)
+            room = (100 - percent) * n // (100 + percent)
+            near = pa.array(near_enough(batch.column(4).to_pylist(), batch.column(5).to_pylist(), room))
+            yield batch.select(["a", "b"]).filter(near)
+
+    return pairs.select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
+
+
 class Lists:
     """Inverted lists over the sets of one group, the sets in ascending order of size."""
 
@@ -283,20 +340,19 @@ def _near_counts(sets: DataFrame, k: int, percent: int) -> DataFrame:
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         def arrays(part: pd.DataFrame) -> tuple:
             part = part.sort_values("n")
-            counts = np.frombuffer(b"".join(part["counts"]), np.uint8).reshape(-1, RANGES).astype(np.int16)
-            coarse = counts.reshape(-1, RANGES // 8, 8).sum(2, dtype=np.int16)
-            return part["doc"].to_numpy(), part["label"].to_numpy(), part["n"].to_numpy(), counts, coarse
+            held = part["counts"].tolist()
+            counts = np.frombuffer(b"".join(x[:RANGES] for x in held), np.uint8).reshape(-1, RANGES).astype(np.int16)
+            return part["doc"].to_numpy(), part["label"].to_numpy(), part["n"].to_numpy(), counts, held
 
         held, asking = arrays(pdf[~pdf["asks"]]), arrays(pdf[pdf["asks"]])
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         first = np.searchsorted(held[2], -(-percent * asking[2] // 100))
         last = np.searchsorted(held[2], asking[2] * 100 // percent, "right")
-        for doc, label, n, counts, coarse, x, y in zip(*asking, first.tolist(), last.tolist()):
+        for doc, label, n, counts, whole, x, y in zip(*asking, first.tolist(), last.tolist()):
             room = (100 - percent) * (held[2][x:y] + n) // (100 + percent)
-            # a few wide ranges first, then all
-            at = x + np.flatnonzero(np.abs(held[4][x:y] - coarse).sum(1) <= room)
-            at = at[np.abs(held[3][at] - counts).sum(1) <= room[at - x]]
-            at = at[held[1][at] != label]
+            at = x + np.flatnonzero((np.abs(held[3][x:y] - counts).sum(1) <= room) & (held[1][x:y] != label))
+            if len(whole) > RANGES:
+                at = at[near_enough([held[4][i] for i in at], [whole] * len(at), room[at - x])]
             a.append(held[0][at])
             b.append(np.full(len(at), doc))
         return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
@@ -310,8 +366,7 @@ def _element_counts(rows: DataFrame, k: int) -> DataFrame:
         ids = WordIds()
         for batch in batches:
             sets = [shingles(ids.of(t.encode("utf-8").lower().split()), k) for t in batch.column(2).to_pylist()]
-            counts = [np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8).tobytes()
-                      for s in sets]
+            counts = [element_counts(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(counts, pa.binary())],
                 ["grp", "doc", "n", "counts"])
@@ -372,11 +427,18 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, block: int =
     here.  Equal rows come back as often as they occur; extra columns are ignored.
     """
     ties = _ties(docs, k, percent, id_col, text_col)
-    smallest = F.min("a").over(W.partitionBy("kind", "key"))
-    kept = ties.withColumn("m", F.when(F.col("kind") == "s", smallest).otherwise(F.col("b")))
-    narrow = stage(kept.where("kind <> 's' or a <> m").select("kind", "a", "b", "n", "c", "m"), "ties")
-    edges = narrow.where("kind <> 'd'").select("a", F.col("m").alias("b"))
-    nodes = narrow.where("kind = 'd'").select(F.col("a").alias("doc"), "n", F.col("b").alias("c1"), F.col("c").alias("c2"))
+    key = W.partitionBy("kind", "key")
+    is_sig = F.col("kind") == "s"
+    marked = ties.withColumns({
+        "m": F.when(is_sig, F.min("a").over(key)).otherwise(F.col("b")),
+        "size": F.when(is_sig, F.count(F.lit(1)).over(key)), "big": F.when(is_sig, F.max("b").over(key))})
+    narrow = stage(marked.where("kind <> 's' or size > 1"), "ties")
+    few = f"kind = 's' and size <= {FEW} and big = 0"
+    nodes = narrow.where("kind = 'd'").select(
+        F.col("a").alias("doc"), "n", F.col("b").alias("c1"), F.col("c").alias("c2"), "counts")
+    near = _near_pairs(narrow.where(few).select("key", "a", "n"), nodes, percent)
+    tied = narrow.where(f"kind = 'e' or kind = 's' and not ({few}) and a <> m").select("a", F.col("m").alias("b"))
+    edges = tied.unionByName(near)
     # written out, so that the join shuffles plain tables and a large class can be split
     classes = stage(nodes.groupBy("c1", "c2", "n").agg(F.min("doc").alias("rep")), "representatives")
     labelled = stage(
