@@ -95,7 +95,7 @@ def signatures(s: np.ndarray, bands: np.ndarray, percent: int) -> np.ndarray:
         part = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         first = run_starts(part)
         held = part[first]
-        tag = mix64(np.uint64(scheme * 2 + 1) * _K1 + held)
+        tag = mix64(np.array([scheme * 2 + 1], np.uint64) * _K1 + held)
         sums = np.add.reduceat(mixed, first)
         out.append(mix64(tag ^ mix64(sums)))
         empty = parts - len(first)

@@ -133,3 +133,51 @@ s as (
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 10
 """
+
+
+#: Positions, weights and the water level of the sources; then the prefix in hash order and the closing document.
+ORACLE["op1_mix_sources"] = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    md5('mix-1:' || coalesce(doc_id::varchar, '')) as key from documents),
+s as (
+  select source, sum(size) as ss, row_number() over (order by source is null, source) as pos from d group by source),
+w as (select *, ([3, 1, 2])[(pos - 1) % 3 + 1] as weight, 2.0::double * ss as cap from s),
+o as (
+  select *, (1.5::double * (select sum(ss) from s) - coalesce(sum(cap) over (
+      order by cap / weight, pos rows between unbounded preceding and 1 preceding), 0))
+    / sum(weight) over (order by cap / weight, pos rows between current row and unbounded following) as level from w),
+l as (select arg_min(level, (cap / weight, pos)) as level from o where cap >= level * weight),
+t as (select source, ss, coalesce(least(cap, l.level * weight), cap) as target from w, l),
+p as (select *, case when ss > 0 then floor(target / ss) else 0 end as whole, target - case when ss > 0 then floor(target / ss) else 0 end * ss as need from t),
+r as (
+  select d.*, p.ss, p.target, p.whole, p.need, sum(size) over (partition by d.source order by key, size) as upto
+  from d join p on d.source is not distinct from p.source),
+m as (select source, any_value(need) - coalesce(max(upto) filter (upto <= need), 0) as missing from r group by source),
+c as (
+  select r.source, arg_min((r.key, r.size), (abs(r.size - m.missing), r.key, r.size)) as closing
+  from r join m on r.source is not distinct from m.source
+  where r.upto > r.need and r.size > 0 and r.size < 2 * m.missing group by r.source)
+select r.doc_id, r.size::bigint as size, r.ss::bigint as source_size, r.target,
+  (r.size * (r.whole + case when r.upto <= r.need or coalesce((r.key, r.size) = c.closing, false) then 1 else 0 end))::bigint as taken
+from r left join c on r.source is not distinct from c.source
+"""
+
+#: Shingle sets, pairs that share a shingle, and the closure of the links.
+ORACLE["op6_jaccard_join"] = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as g from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as o from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * o >= 90 * (x.n + y.n - o)),
+both_ways as (select a, b from links union all select b, a from links),
+reach(doc_id, r) as (
+  select doc_id, doc_id from documents union select reach.doc_id, both_ways.b from reach join both_ways on both_ways.a = reach.r),
+least_id as (select doc_id, min(r) as component_id from reach group by doc_id)
+select l.doc_id, coalesce(n.n, 0) as n_shingles, l.component_id from least_id l left join n using (doc_id)
+"""
