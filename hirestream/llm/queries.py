@@ -12,6 +12,7 @@ from hirestream.llm.common import documents, fold
 from hirestream.llm.jaccard_join import jaccard_classes
 from hirestream.llm.line_dedup import dedup_lines
 from hirestream.llm.mixing import mix_sources
+from hirestream.llm.oracle_rules import quality_rules_sql
 from hirestream.llm.packing import pack_documents
 from hirestream.llm.passage_chains import shared_passages
 from hirestream.llm.ppm import score_texts
@@ -181,3 +182,5 @@ reach(doc_id, r) as (
 least_id as (select doc_id, min(r) as component_id from reach group by doc_id)
 select l.doc_id, coalesce(n.n, 0) as n_shingles, l.component_id from least_id l left join n using (doc_id)
 """
+
+ORACLE["op3_quality_rules"] = quality_rules_sql()
