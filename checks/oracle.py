@@ -716,3 +716,4 @@ add("daily_run_items", EV, f"with {RUNCTE} select ord, slug, quality_score, qual
 CNT = lambda a: f"(select count(*) from ch where action = '{a}')"
 add("daily_run_funnel", EV, f"""with {RUNCTE} select (select count(*) from listings) total_ingested, (select count(*) from w02) after_dedup, (select count(*) from enriched) after_filter, (select count(*) from pb) after_quality_filter,
  {CNT('create')} created, {CNT('update')} updated, {CNT('unpublish')} expired, {CNT('delete')} deleted, (select count(*) from enriched) - (select count(*) from pb) skipped, 0 errors""")
+ORACLE["ingest_available"] = ORACLE["feed_greenhouse"]

@@ -876,6 +876,23 @@ def _null_if(cond: str, value: Column) -> Column:
 
 @query
 def feed_greenhouse(c: Ctx) -> DataFrame:
+    return feeds_json.greenhouse(_greenhouse_pages(c))
+
+
+@query
+def ingest_available(c: Ctx) -> DataFrame:
+    """The same pages landed in two parts and ingested after each."""
+    from hirestream.streaming.incremental import ingest_available as ingest
+
+    landing, listings, state = (scratch_path(c.spark, x) for x in ("landing", "ingested", "ingest-state"))
+    pages = _greenhouse_pages(c)
+    for part in (0, 1):
+        pages.where(F.col("ord") % 2 == part).write.mode("append").partitionBy("source").parquet(landing)
+        ingest(c.spark, landing, listings, state, {"greenhouse": feeds_json.greenhouse, "lever": lambda p: feeds_json.lever(p, run_ts())})
+    return c.spark.read.parquet(listings).select(*feeds_json.greenhouse(pages).columns)
+
+
+def _greenhouse_pages(c: Ctx) -> DataFrame:
     named = lambda v: F.struct(v.alias("name"))
     item = F.struct(
         "title", _html().alias("content"), F.col("date_posted").alias("updated_at"),
@@ -884,7 +901,7 @@ def feed_greenhouse(c: Ctx) -> DataFrame:
         F.array(named(F.lit("HQ")), named(F.col("location"))).alias("offices"),
         F.col("source_url").alias("absolute_url"),
     )
-    return feeds_json.greenhouse(c.payload("greenhouse", c.view("listings"), item, _jobs("jobs")))
+    return c.payload("greenhouse", c.view("listings"), item, _jobs("jobs"))
 
 
 @query
