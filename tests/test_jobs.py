@@ -287,10 +287,14 @@ def test_jsonld_search_order(spark):
         1: '<script type="application/ld+json">{"a":{"@type":"JobPosting","title":"child"},"@graph":[{"@type":["X","jobposting"],"title":"graph"}]}</script>',
         2: "<script type='application/ld+json'><![CDATA[{bad]]></script><script type='application/ld+json'>[[{\"@type\":\"JOBPOSTING\",\"title\":\"é\"}]]</script>",
         3: '<script type="application/ld+json">{"@type":"Thing","x":NaN}</script>',
+        4: '<script type="application/ld+json">' + "[" * 100_000 + "]" * 100_000 + "</script>"
+           '<script type="application/ld+json">{"@type":"JobPosting","title":"after"}</script>',
+        5: "no script at all",
     }
     df = spark.createDataFrame(list(docs.items()), "page_id long, html string")
     got = {r.page_id: r.t for r in pages.extract_jsonld_postings(df).select("page_id", F.get_json_object("posting", "$.title").alias("t")).collect()}
-    assert got == {1: "graph", 2: "é"}
+    assert got == {1: "graph", 2: "é", 4: "after"}
+    assert "Exchange" not in pages.with_posting(df)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_text_by_class(spark):

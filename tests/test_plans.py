@@ -1,7 +1,10 @@
 """Shapes of physical plans that matter at scale."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from hirestream import config as C
+from hirestream import session
 from hirestream.operators import dedup, firm_match, hub, lookups, publish
 
 
@@ -55,3 +58,38 @@ def test_filters_reach_the_scan(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "l"))
     p = plan(hub.category_page(df, "role_category", "r1").select("ord"))
     assert "EqualTo(role_category,r1)" in p and "ReadSchema: struct<ord:bigint,role_category:string>" in p
+
+
+def test_item_places(spark):
+    from hirestream.sources.feeds_json import item_ord
+
+    at = lambda page, item: spark.range(1).select(item_ord("lever", F.lit(page).cast("bigint"), F.lit(item)).alias("o")).first().o
+    assert at(3, (1 << 20) - 1) + 1 == at(4, 0)
+    assert at((1 << 38) - 1, 0) >> 58 == C.PROVIDERS.index("lever")
+    for page, item in ((0, 1 << 20), (1 << 38, 0)):
+        with pytest.raises(Exception, match="no place for item"):
+            at(page, item)
+
+
+def test_a_run_stages_no_texts_before_the_gate(spark, monkeypatch):
+    from checks.queries import Ctx, run_ts
+    from hirestream.plans import listings as plan_
+
+    c, staged = Ctx(spark, "/root/testdata/sf0.001"), {}
+    rows, dims = c.view("listings"), c.dims()
+    real = plan_.stage
+
+    def watch(df, name):
+        staged[name] = df.columns
+        return real(df, name)
+
+    monkeypatch.setattr(plan_, "stage", watch)
+    before = len(session.STAGED)
+    raw = rows.withColumn("row_error", F.when(F.col("ord") % 10 == 3, "bad_date"))
+    run = plan_.daily_run(raw, dims, run_ts())
+    funnel = run.funnel.first()
+    assert funnel.errors == raw.where("row_error is not null").count() > 0
+    assert funnel.total_ingested + funnel.errors == rows.count()
+    assert [n for n, cols in staged.items() if "description" in cols] == ["enriched"]
+    session.remove_stages(spark, before)
+    assert len(session.STAGED) == before
