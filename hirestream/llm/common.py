@@ -152,9 +152,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
     e = e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     # ties to several smaller nodes become ties among these, which many nodes have in common
-    least = F.min("a").over(W.partitionBy("b"))
-    star = e.withColumn("m", least).select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b"))
-    e = star.where("a <> b").distinct().checkpoint()
+    down = e.groupBy("b").agg(F.min("a").alias("a"))
+    among = e.select(F.min("a").over(W.partitionBy("b")).alias("m"), "a").where("a <> m").select(
+        F.col("a").alias("b"), F.col("m").alias("a"))
+    e = down.unionByName(among).distinct().checkpoint()
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select(
         "node", F.least("node", "m").alias("label")).checkpoint()

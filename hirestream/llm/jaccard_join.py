@@ -45,7 +45,7 @@ COUNT_BLOCK = 1024
 #: Sets of so many elements get sixteen times as many ranges.
 FINE_FROM = 600
 #: Documents of one signature that are compared by their counts; where more share it, they are tied.
-FEW = 32
+FEW = 16
 #: Up to this number of parts, a set with an empty part also gets signatures with one element left out.
 SMALL_PARTS = 24
 _K1 = np.uint64(0x9E3779B97F4A7C15)
