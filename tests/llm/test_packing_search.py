@@ -95,7 +95,7 @@ def _best(vectors, k):
 def test_top_k(spark):
     rng = np.random.default_rng(6)
     vectors = [(i, rng.normal(0, 1, 6).round(1).tolist()) for i in range(160)]
-    vectors += [(200, vectors[20][1]), (201, vectors[20][1]), (202, None), (203, [1.0, None, 0, 0, 0, 0]), (204, [float("nan")] * 6),
+    vectors += [(200, vectors[20][1]), (201, vectors[20][1]), (202, None), (203, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (204, [float("nan")] * 6),
                 (205, [float("inf")] * 6), (210, [1.0, 2.0]), (220, []), (None, [1.0] * 6), (221, [3e4] * 6), (230, [-2e4] * 6)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(4).withColumn("rank", F.lit(1))
     got = {tuple(r) for r in top_k(df, F.col("vec_id") % 10 == 0, k=5, query_block=7).collect()}
