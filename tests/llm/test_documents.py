@@ -184,6 +184,48 @@ def test_chains_score_like_all_predecessors():
     assert chains(line + [(3, 70)], c)[0] == line
 
 
+def best_scores(seeds, c):
+    """Scores by all predecessors within the gap limit."""
+    best = {}
+    for p, s in sorted(set(seeds)):
+        ahead = [best[q] - c.gap_cost * (p - q[0] + s - q[1]) + min(c.k, p - q[0], s - q[1]) for q in best
+                 if 0 < p - q[0] <= c.max_gap and 0 < s - q[1] <= c.max_gap]
+        best[(p, s)] = max([c.k] + ahead)
+    return best
+
+
+def test_chains_within_the_gap_limit_score_like_all_predecessors():
+    rng = random.Random(7)
+    for c in (Chaining(), Chaining(max_gap=12), Chaining(max_gap=3)):
+        for _ in range(60):
+            seeds = [(rng.randrange(200), rng.randrange(200)) for _ in range(rng.randint(1, 80))]
+            best, found = best_scores(seeds, c), chains(seeds, c)
+            for chain in found:
+                assert all(0 < b[0] - a[0] <= c.max_gap and 0 < b[1] - a[1] <= c.max_gap for a, b in zip(chain, chain[1:]))
+            top = max(best.values())
+            assert (top > c.k) == bool(found)
+            if found:
+                gained = c.k
+                for a, b in zip(found[0], found[0][1:]):
+                    gained += min(c.k, b[0] - a[0], b[1] - a[1]) - c.gap_cost * (b[0] - a[0] + b[1] - a[1])
+                assert gained == pytest.approx(top)
+
+
+@pytest.mark.parametrize("first,apart,second", [(200, 100, 100), (1000, 100, 500), (100, 300, 80)])
+def test_chains_of_two_passages(first, apart, second):
+    one = [(i, 7 + i) for i in range(0, first, 5)]
+    two = [(first + apart + i, first + 2 * apart + i) for i in range(0, second, 5)]
+    assert sorted(chains(one + two, Chaining())) == [one, two]
+
+
+def test_shared_passages_two_in_one_pair(spark):
+    rng = random.Random(13)
+    one, two = prose(rng, 200), prose(rng, 100)
+    texts = [(1, f"{one} {prose(rng, 100)} {two}"), (2, f"{prose(rng, 9)} {one} {prose(rng, 110)} {two}")]
+    found = shared_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted((r.start, r.source_start, r.n_words) for r in found) == [(9, 0, 200), (319, 300, 100)]
+
+
 def test_scores(docs, rows):
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
     got = {r.doc_id: r for r in score_texts(docs, ~held, max_nodes=3000, hot_words=20).collect()}
