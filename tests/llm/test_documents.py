@@ -226,6 +226,41 @@ def test_shared_passages_two_in_one_pair(spark):
     assert sorted((r.start, r.source_start, r.n_words) for r in found) == [(9, 0, 200), (319, 300, 100)]
 
 
+@pytest.mark.parametrize("parts", [1, 6])
+def test_shared_passages_of_lines_that_also_stand_alone(spark, parts):
+    rng = random.Random(17)
+    texts, passages = [], []
+
+    def text(middle):
+        ahead, behind = prose(rng, rng.randint(20, 60)), prose(rng, rng.randint(40, 60))
+        texts.append((len(texts), f"{ahead} {middle} {behind}"))
+        return len(texts) - 1, len(ahead.split())
+
+    for words, n_lines in [(40, 2)] * 6 + [(28, 2)] * 6 + [(28, 3)] * 6:
+        lines = [" ".join(prose(rng, words).split()) for _ in range(n_lines)]
+        places = {}
+        for _ in range(4):
+            for line in lines:
+                text(line)
+            d, at = text(" ".join(lines))
+            places[d] = at
+        passages.append((places, words * n_lines))
+    got = {}
+    for r in shared_passages(spark.createDataFrame(texts, "doc_id long, text string").repartition(parts)).collect():
+        got.setdefault((r.doc_id, r.start, r.n_words), set()).add(r.source_id)
+    for places, n in passages:
+        for d in sorted(places)[1:]:
+            assert got.get((d, places[d], n), set()) & {x for x in places if x < d}
+
+
+def test_shared_passages_at_two_places_of_a_text(spark):
+    rng = random.Random(19)
+    passage = prose(rng, 80)
+    texts = [(1, passage), (2, f"{prose(rng, 30)} {passage} {prose(rng, 200)} {passage}")]
+    found = shared_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted((r.start, r.source_start, r.n_words) for r in found) == [(30, 0, 80), (310, 0, 80)]
+
+
 def test_scores(docs, rows):
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
     got = {r.doc_id: r for r in score_texts(docs, ~held, max_nodes=3000, hot_words=20).collect()}
