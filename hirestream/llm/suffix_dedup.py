@@ -71,11 +71,11 @@ class Runs:
         self._grow(len(x) + 1)
         sums = np.r_[np.uint64(0), np.cumsum(_BYTE[x] * self.up[: len(x)], dtype=np.uint64)]
         content = mix64((sums[first + n + self.length - 1] - sums[first]) * self.down[first])
-        return h[at[first]], (content >> np.uint64(32)).astype(np.uint32), first.astype(np.uint32), n.astype(np.uint8), (
+        return h[at[first]], content, first.astype(np.uint32), n.astype(np.uint8), (
             at[first] - first).astype(np.uint8)
 
 
-_RUN = np.dtype([("h", "<u8"), ("doc", "<i8"), ("content", "<u4"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
+_RUN = np.dtype([("h", "<u8"), ("doc", "<i8"), ("content", "<u8"), ("start", "<u4"), ("n", "u1"), ("off", "u1")])
 
 
 def _sorted_runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from hirestream.llm.passage_chains import Chaining, chains, shared_passages
 from hirestream.llm.ppm import ORDER, gram_keys, score_texts
 from hirestream.llm.quality_classifier import classify_quality
 from hirestream.llm.quality_rules import quality_rules
-from hirestream.llm.suffix_dedup import BlindTrie, deep_shallow, remove_repeats
+from hirestream.llm.suffix_dedup import _RUN, BlindTrie, Runs, _sorted_runs, deep_shallow, remove_repeats
 from tests.llm import plain
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, words string, __x int, row long, mix int"
@@ -226,6 +227,16 @@ def test_shared_passages_two_in_one_pair(spark):
     assert sorted((r.start, r.source_start, r.n_words) for r in found) == [(9, 0, 200), (319, 300, 100)]
 
 
+def test_many_runs_of_one_anchor_keep_their_bytes_apart():
+    x = np.random.default_rng(3).integers(0, 256, 6_000_000, np.uint8)
+    h, content, start, n, off = Runs(50).of(x)
+    rows = np.zeros(len(h), _RUN)
+    rows["content"], rows["start"], rows["doc"], rows["n"] = content, start, np.arange(len(h)), 1  # as under one hot anchor
+    _, first, smallest = _sorted_runs(rows)
+    assert len({x[a : a + k + 49].tobytes() for a, k in zip(start.tolist(), n.tolist())}) == len(rows)
+    assert len(first) == len(rows)
+
+
 @pytest.mark.parametrize("parts", [1, 6])
 def test_shared_passages_of_lines_that_also_stand_alone(spark, parts):
     rng = random.Random(17)
