@@ -8,16 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirestream.llm.common import documents, fold
+from hirestream.llm.common import documents, fold, let, stage, words_of
 from hirestream.llm.jaccard_join import jaccard_classes
 from hirestream.llm.line_dedup import dedup_lines
 from hirestream.llm.mixing import mix_sources
 from hirestream.llm.oracle_rules import quality_rules_sql
 from hirestream.llm.packing import pack_documents
 from hirestream.llm.passage_chains import shared_passages
+from hirestream.llm.periodic_runs import periodic_runs
 from hirestream.llm.ppm import score_texts
+from hirestream.llm.prefix_trie import ordered_digest, prefix_trie, turn_sequences
 from hirestream.llm.quality_classifier import classify_quality
 from hirestream.llm.quality_rules import quality_rules
+from hirestream.llm.simhash_grid import simhash_classes
 from hirestream.llm.suffix_dedup import remove_repeats
 from hirestream.llm.topk import top_k
 
@@ -184,3 +187,93 @@ select l.doc_id, coalesce(n.n, 0) as n_shingles, l.component_id from least_id l
 """
 
 ORACLE["op3_quality_rules"] = quality_rules_sql()
+
+
+def with_repeated_tail(docs: DataFrame) -> DataFrame:
+    """Documents of which every tenth (by checksum of the id) repeats a few of its words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words).cast("bigint")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, (a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " "))
+
+    text = F.when(h % 10 == 0, let(words_of(F.col("text")), repeated)).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_repeated_tail(documents(spark, sf_dir)), out="found")
+    runs = F.col("found.runs")
+    longest = F.array_min(F.transform(runs, lambda r: F.struct(-r["length"], r["start"], r["period"])))
+    found = found.withColumn("longest", longest)
+    length, start, period = -F.col("longest.col1"), F.col("longest.start"), F.col("longest.period")
+    listed = F.array_join(F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size(runs) > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id", F.size(runs).cast("bigint").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("found.collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def with_borrowed_heads(sequences: DataFrame) -> DataFrame:
+    """Conversations whose first turns come from the first conversation of their hundred."""
+    own = stage(sequences, "turn-sequences")
+    heads = own.where("conv_id % 100 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 5).alias("head"))
+    n = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+    head = F.slice(F.coalesce("head", F.slice("turns", 1, 0)), F.lit(1), n)
+    rest = F.slice("turns", n + 1, F.greatest(F.size("turns") - n, F.lit(0)))
+    return own.join(heads, F.col("conv_id") - F.col("conv_id") % 100 == F.col("base"), "left").select(
+        "conv_id", F.concat(head, rest).alias("turns"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    trie = prefix_trie(with_borrowed_heads(turn_sequences(conversations)))
+    digests = ordered_digest(trie.ends, "node", "conv_id", "ends_sha256")
+    return trie.nodes.join(digests, "node", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"))
+
+
+#: The checksum byte by byte and bit by bit; nodes are the lists of first turns; subtrees by the lists that go on.
+ORACLE["op12_prefix_trie"] = """
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+own as (
+  select conv_id, list(md5(length(role)::varchar || ':' || role || text) || length(text)
+    order by turn nulls first, md5(length(role)::varchar || ':' || role || text)) as turns from t group by conv_id),
+h as (
+  select *, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)),
+      lambda x, i: xor(x >> 1, case when x % 2 = 1 then 3988292384::bigint else 0 end))), 4294967295::bigint) % 6 as h from own),
+r as (
+  select h.conv_id, list_concat(coalesce(b.turns[1:h.h], []), h.turns[h.h + 1:]) as turns
+  from h left join own b on b.conv_id = h.conv_id - h.conv_id % 100),
+n as (
+  select turns[1:d] as path, d as depth, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (len(turns) = d), '')) as ends_sha256
+  from (select conv_id, turns, unnest(range(len(turns) + 1)) as d from r) group by all),
+k as (select path[1:depth - 1] as path, count(*) as n from n where depth > 0 group by all),
+e as (
+  select n.*, coalesce(k.n, 0) as n_children,
+    case when depth = 0 then 0 else (n_convs - 1) * substr(path[depth], 33)::bigint end as own
+  from n left join k using (path)),
+s as (
+  select path[1:d] as path, sum((n_children = 0)::int) as n_leaves, sum(own) as saved
+  from (select path, n_children, own, unnest(range(depth + 1)) as d from e) group by all)
+select e.conv_id, e.depth, p.conv_id as parent_conv_id, e.n_convs, e.n_children, s.n_leaves::bigint as n_leaves,
+  s.saved::bigint as saved_tokens, e.ends_sha256
+from e join s using (path) left join n p on e.depth > 0 and p.path = e.path[1:e.depth - 1]
+"""
+
+
+@query
+def op13_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_classes(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

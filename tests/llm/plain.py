@@ -7,6 +7,8 @@ import hashlib
 import math
 import zlib
 
+import xxhash
+
 
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").split()
@@ -127,3 +129,33 @@ def unigram(rows, held_out) -> dict:
 
 def fold(doc_id: int, parts: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % parts
+
+
+def runs(x, least: int, exponent: int) -> list:
+    """(start, length, period) of the maximal stretches with smallest period q and enough words, every period tried."""
+    n, out = len(x), set()
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and x[j] == x[j + q]:
+                j += 1
+            size = j - i + q
+            if size >= max(least, exponent * q):
+                w = x[i : i + size]
+                if all(any(w[k] != w[k + p] for k in range(size - p)) for p in range(1, q)):
+                    out.add((i, size, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapse(w, found) -> bytes:
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return b" ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def simhash(text: str | None) -> int:
+    w = [x.lower() for x in words(text)]
+    grams = [b" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
