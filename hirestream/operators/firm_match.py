@@ -3,12 +3,15 @@
 A firm matches by equal normalised name or alias, or by edit similarity of the
 names; of all matching firms the one earliest in the list is taken.
 
-The similarity part is a set-similarity join without a cross product.  With at
-most ``k`` edits allowed, a name cut into ``k + 1 + SPARE`` segments keeps at
-least ``1 + SPARE`` of them unchanged, each at a bounded shift (the partition
-scheme of Pass-Join, PVLDB 2011).  So it is enough to index the ``k + 1``
-rarest segments of each firm: wording shared by many firms ("architects",
-"engineering") is left out of the index unless a name has nothing else.
+The similarity part is a set-similarity join without a cross product.  One edit
+changes at most two of a name's pairs of neighbouring characters (grams), so two
+similar names have a known least number of grams in common.  With all grams in
+one order, the ones that are rarest on both sides first, two such names already
+share ``SHARED`` grams among their first few (prefix filter with a longer prefix,
+as in AdaptJoin, SIGMOD 2012).  Names meet under combinations of ``SHARED`` of
+these grams: wording that most names have comes last in the order and makes no
+candidates, however long it is.  Counts of their characters, which travel with the
+keys, rule out most of the pairs that meet.
 """
 
 from __future__ import annotations
@@ -20,7 +23,8 @@ from hirestream import config as C
 from hirestream.functions.keys import computed
 from hirestream.functions.text import norm_firm, norm_key
 
-SPARE = 2
+#: Grams of a prefix that two similar names have in common; a key is made of as many.
+SHARED = 2
 # similarity 0.85 = at most 3/20 of the longer length may differ
 _NUM, _DEN = 3, 20
 
@@ -29,21 +33,6 @@ def edit_limit(longer: Column) -> Column:
     return F.floor(longer * _NUM / _DEN).cast("int")
 
 
-def _segment_count(length: Column) -> Column:
-    """Segments of an indexed name: its largest edit limit, one, and the spare ones that fit."""
-    limit = edit_limit(F.floor(length * _DEN / (_DEN - _NUM)))
-    return F.least(limit + 1 + SPARE, length).cast("int")
-
-
-def _segment_bounds(length: Column, n: Column, i: Column) -> tuple[Column, Column]:
-    """Zero-based start and size of segment ``i`` of ``n``; the longer ones come last."""
-    size = F.floor(length / n).cast("int")
-    longer = (length % n).cast("int")
-    short = n - longer
-    start = i * size + F.greatest(i - short, F.lit(0))
-    return start, size + F.when(i >= short, 1).otherwise(0)
-
-
 def similar(a: Column, b: Column) -> Column:
     """1 - distance / longer length >= 0.85, evaluated in doubles.
 
@@ -61,139 +50,114 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(longer == 0, 1.0).otherwise(1 - F.levenshtein(a, b) / longer)
 
 
-def firm_index(firms: DataFrame) -> DataFrame:
-    """Segment keys of the normalised firm names: ``(seg_key, name, firm_ord)``."""
-    names = firms.groupBy(norm_firm(F.col("name")).alias("name")).agg(F.min("firm_ord").alias("firm_ord"))
-    length = F.length("name")
-    names = names.withColumns({"len": length, "n": _segment_count(length)})
-    names = names.withColumn("keep", edit_limit(F.floor(length * _DEN / (_DEN - _NUM))) + 1)
+def exact_index(firms: DataFrame) -> DataFrame:
+    """``(name, firm_ord)``: the earliest firm of every normalised name and alias."""
+    keys = firms.select(
+        "firm_ord", F.explode(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("k")
+    )
+    return keys.groupBy(norm_firm(F.col("k")).alias("name")).agg(F.min("firm_ord").alias("firm_ord"))
 
-    def key(i: Column) -> Column:
-        start, size = _segment_bounds(F.col("len"), F.col("n"), i)
-        return F.xxhash64(F.col("len"), i, F.substring(F.col("name"), start + 1, size))
 
-    # names too short for any edit only match exactly
-    segs = names.where("keep > 1 and n > 0").withColumn(
-        "seg_key", F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), key))
-    )
-    freq = segs.groupBy("seg_key").agg(F.count(F.lit(1)).alias("freq"))
-    # per name: at most one entry per segment, a handful
-    ranked = (
-        segs.join(freq, "seg_key")
-        .groupBy("name", "firm_ord", "keep", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("freq", "seg_key"))).alias("segs"))
-    )
-    # with fewer segments than k + 1 + SPARE fewer may be left out
-    dropped = F.least(F.lit(SPARE), F.greatest(F.col("n") - F.col("keep"), F.lit(0)))
-    return ranked.select(
-        "name",
-        "firm_ord",
-        F.explode(F.slice("segs", 1, F.size("segs") - dropped)).alias("seg"),
-    ).select(F.col("seg.seg_key").alias("seg_key"), "name", "firm_ord")
+def grams(name: Column) -> Column:
+    """Hashes of the pairs of neighbouring characters, ends included; equal pairs are numbered."""
+    padded = F.concat(F.lit("#"), name, F.lit("#"))
+    pairs = F.transform(F.sequence(F.lit(1), F.length(name) + 1), lambda i: F.xxhash64(F.substring(padded, i, F.lit(2))))
+    # numbered by their place behind the first equal one
+    number = lambda held: F.transform(held, lambda g, i: F.xxhash64(g, i.cast("bigint") - F.array_position(held, g)))
+    return F.get(F.transform(F.array(F.array_sort(pairs)), number), 0)
 
 
-def _exact_key(name: Column) -> Column:
-    return F.xxhash64(F.lit(-1), name)
+#: Characters that are counted together, up to 15 each; the rest are not counted.
+_COUNTED = ("0", "1", "2", "3", "4", "5", "6", "7", "89", "ae", "iou", "tn", "sr", "lchdm", "bfgjkpqvwxyz")
 
 
-def exact_index(firms: DataFrame) -> DataFrame:
-    """Whole-name keys of names and aliases, in the layout of ``firm_index``."""
-    keys = firms.select(
-        "firm_ord", F.explode(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("k")
-    )
-    names = keys.groupBy(norm_firm(F.col("k")).alias("name")).agg(F.min("firm_ord").alias("firm_ord"))
-    return names.select(_exact_key(F.col("name")).alias("seg_key"), "name", "firm_ord")
-
-
-# name lengths whose places are worked out once, in a table of this many rows
-_TABLED = 64
-
-
-def _places(la: Column) -> Column:
-    """Where segments of a similar firm name can lie in a name of length ``la``."""
-
-    def for_length(lf: Column) -> Column:
-        n = _segment_count(lf)
-        k = edit_limit(F.greatest(la, lf))
-        delta = la - lf
-
-        def for_segment(i: Column) -> Column:
-            start, size = _segment_bounds(lf, n, i)
-            # edits left of the segment >= |shift|, right of it >= |delta - shift|
-            low = -F.floor((k - delta) / 2).cast("int")
-            high = F.floor((k + delta) / 2).cast("int")
-            return F.transform(
-                F.sequence(low, high),
-                lambda shift: F.when(
-                    (start + shift >= 0) & (start + shift + size <= la),
-                    F.struct(
-                        lf.alias("lf"), i.alias("i"), (start + shift + 1).alias("pos"), size.alias("size")
-                    ),
-                ),
-            )
-
-        fits = F.abs(delta) <= k
-        return F.when(fits, F.flatten(F.transform(F.sequence(F.lit(0), n - 1), for_segment)))
-
-    shortest = F.ceil(la * (_DEN - _NUM) / _DEN).cast("int")
-    longest = F.floor(la * _DEN / (_DEN - _NUM)).cast("int")
-    found = F.flatten(F.array_compact(F.transform(F.sequence(shortest, longest), for_length)))
-    return F.when(la >= 6, F.array_compact(found))
-
-
-def with_probe_keys(named: DataFrame) -> DataFrame:
-    """Add ``keys``: every index key a firm name equal or similar to ``norm`` could be found under."""
-    sized = named.withColumn("la", F.length("norm"))
-    lengths = named.sparkSession.range(_TABLED + 1).select(F.col("id").cast("int").alias("la"))
-    tabled = lengths.withColumn("places", _places(F.col("la")))  # a constant table
-    placed = sized.join(F.broadcast(tabled), "la", "left").withColumn(
-        "places", F.when(F.col("la") > _TABLED, _places(F.col("la"))).otherwise(F.col("places"))
-    )
-    keys = F.transform(
-        "places", lambda p: F.xxhash64(p["lf"], p["i"], F.substring(F.col("norm"), p["pos"], p["size"]))
-    )
-    whole = F.array(_exact_key(F.col("norm")))
-    keys = F.concat(whole, F.coalesce(F.array_distinct(keys), F.array().cast("array<bigint>")))
-    return placed.withColumn("keys", keys).drop("la", "places")
+def character_counts(name: Column) -> Column:
+    """How often a name has the characters of each class, four bits a class."""
+    out = F.lit(0).cast("bigint")
+    for i, chars in enumerate(_COUNTED):
+        count = F.length(name) - F.length(F.translate(name, chars, ""))
+        out = out.bitwiseOR(F.shiftleft(F.least(count, F.lit(15)).cast("bigint"), 4 * i))
+    return out
+
+
+def least_distance(a: Column, b: Column) -> Column:
+    """A lower bound of the edit distance from two ``character_counts``: an edit adds one character and takes one away at most."""
+    more = less = F.lit(0)
+    for i in range(len(_COUNTED)):
+        d = F.shiftrightunsigned(a, 4 * i).bitwiseAND(F.lit(15)) - F.shiftrightunsigned(b, 4 * i).bitwiseAND(F.lit(15))
+        more, less = more + F.greatest(d, F.lit(0)), less - F.least(d, F.lit(0))
+    return F.greatest(more, less)
 
 
-# a crowded segment is dealt out over this many shares; firm lists are small next to listings
-_SHARES = 16
+def prefix_sizes(lengths: DataFrame, others: DataFrame) -> DataFrame:
+    """``(len, size)``: how many first grams of a name hold ``SHARED`` of those it shares with any similar name.
+
+    Only lengths that the other side has count; ``lengths`` and ``others`` have one row a length.
+    """
+    length = F.col("len")
+    shortest = F.ceil(length * (_DEN - _NUM) / _DEN).cast("int")
+    longest = F.floor(length * _DEN / (_DEN - _NUM)).cast("int")
+    met = lengths.select("len", F.explode(F.sequence(shortest, longest)).alias("other")).join(
+        others.withColumnRenamed("len", "other"), "other")
+    longer = F.greatest("len", "other")
+    common = longer + 1 - 2 * edit_limit(longer)
+    return met.groupBy("len").agg((F.first("len") + 1 - F.min(common) + SHARED).cast("int").alias("size"))
+
+
+def _prefix_keys(tokens: DataFrame, weights: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``(id, len, counts, key)`` of ``tokens (id, len, counts, gram)``: combinations of grams in each prefix that occur on both sides."""
+    ranked = tokens.join(weights, "gram", "left").groupBy("id", "len", "counts").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("weight", F.lit(0.0)).alias("weight"), "gram"))).alias("grams"))
+    prefix = F.filter(F.slice("grams", F.lit(1), F.col("size")), lambda g: g["weight"] > 0)
+    ranked = ranked.join(sizes, "len").select("id", "len", "counts", prefix.alias("p")).where(F.size("p") >= SHARED)
+    behind = lambda x, i: F.transform(F.slice("p", i + 2, F.size("p")), lambda y: F.xxhash64(x["gram"], y["gram"]))
+    return ranked.select("id", "len", "counts", F.explode(F.flatten(F.transform("p", behind))).alias("key"))
+
+
+def candidate_pairs(names: DataFrame, firm_names: DataFrame) -> DataFrame:
+    """``(probe, firm)`` hashes of names that can be similar: ``names (norm)`` against ``firm_names (name)``, distinct on both sides."""
+    def tokens(df: DataFrame, name: str) -> DataFrame:
+        # a name of up to five characters is similar to itself only
+        sized = df.select(F.xxhash64(name).alias("id"), F.length(name).alias("len"), character_counts(F.col(name)).alias("counts"),
+                          grams(F.col(name)).alias("g"))
+        return sized.where("len > 5").select("id", "len", "counts", F.explode("g").alias("gram"))
+
+    probes, held = tokens(names, "norm"), tokens(firm_names, "name")
+    count = lambda df, n: df.groupBy("gram").agg(F.count(F.lit(1)).cast("double").alias(n))
+    weights = count(probes, "x").join(count(held, "y"), "gram").select("gram", (F.col("x") * F.col("y")).alias("weight"))
+    la, lf = (df.select("len").distinct() for df in (probes, held))
+    asked = _prefix_keys(probes, weights, prefix_sizes(la, lf)).select("key", F.col("id").alias("probe"), F.col("len").alias("la"), F.col("counts").alias("ca"))
+    index = _prefix_keys(held, weights, prefix_sizes(lf, la)).select("key", F.col("id").alias("firm"), F.col("len").alias("lf"), F.col("counts").alias("cf"))
+    limit = edit_limit(F.greatest("la", "lf"))
+    near = (F.abs(F.col("la") - F.col("lf")) <= limit) & (least_distance(F.col("ca"), F.col("cf")) <= limit)
+    return asked.join(index, "key").where(near).select("probe", "firm").distinct()
 
 
 def company_matches(companies: DataFrame, firms: DataFrame) -> DataFrame:
     """``(company, firm_ord)`` for every distinct company; NULL when no firm matches.
 
-    Each distinct normalised name is exploded into its probe keys (whole name
-    first) and joined with the firm index.  Candidate pairs are two 64-bit ids;
-    they are made distinct, take their names and are compared once.  Names without
-    any candidate come back by the last join.
+    Distinct normalised names are looked up by equality, and compared with the
+    firm names that share their rarest grams.  Candidate pairs are two 64-bit ids;
+    they are made distinct, take their names and are compared once.
     """
     named = computed(companies.select("company"), {"norm": norm_firm(F.col("company"))})
     names = named.select("norm").distinct()
-    share = F.pmod(F.xxhash64("norm", F.lit(1)), F.lit(_SHARES)).cast("int")
-    probes = with_probe_keys(names).select(
-        F.xxhash64("norm").alias("probe"), share.alias("share"), F.explode("keys").alias("seg_key"))
-    exact = exact_index(firms).select("seg_key", "name", "firm_ord", F.lit(True).alias("exact"))
-    listed = exact.unionByName(firm_index(firms).select("seg_key", "name", "firm_ord", F.lit(False).alias("exact")))
-    index = listed.select("seg_key", F.xxhash64("name", "exact").alias("firm"),
-                         F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).alias("share"))
-    pairs = probes.join(index, ["seg_key", "share"]).select("probe", "firm").distinct()
-    listed = listed.groupBy("name", "exact").agg(F.min("firm_ord").alias("firm_ord")).withColumn("firm", F.xxhash64("name", "exact"))
-    hit = F.when(F.col("exact"), F.col("norm") == F.col("name")).otherwise(similar(F.col("norm"), F.col("name")))
-    found = (
-        pairs.join(listed, "firm")
+    firm_names = firms.groupBy(norm_firm(F.col("name")).alias("name")).agg(F.min("firm_ord").alias("firm_ord"))
+    pairs = candidate_pairs(names, firm_names)
+    alike = (
+        pairs.join(firm_names.withColumn("firm", F.xxhash64("name")), "firm")
         .join(names.withColumn("probe", F.xxhash64("norm")), "probe")
-        .where(hit)
-        .groupBy("norm")
-        .agg(F.min("firm_ord").alias("firm_ord"))
+        .where(similar(F.col("norm"), F.col("name")))
+        .select("norm", "firm_ord")
     )
+    equal = names.join(exact_index(firms).withColumnRenamed("name", "norm"), "norm").select("norm", "firm_ord")
+    found = alike.unionByName(equal).groupBy("norm").agg(F.min("firm_ord").alias("firm_ord"))
     return named.join(found, "norm", "left").select("company", "firm_ord")
 
 
 def firm_match_exact(companies: DataFrame, firms: DataFrame) -> DataFrame:
     """``(company, firm_ord)`` by equal normalised name or alias."""
-    names = exact_index(firms).select(F.col("name").alias("norm"), "firm_ord")
+    names = exact_index(firms).withColumnRenamed("name", "norm")
     return companies.withColumn("norm", norm_firm(F.col("company"))).join(names, "norm").select(
         "company", "firm_ord"
     )

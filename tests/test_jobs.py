@@ -157,6 +157,21 @@ def test_fuzzy_match_equals_brute_force(spark):
     assert got == want
 
 
+def test_similar_names_share_rare_grams(spark):
+    """Long names that differ in a number only: one candidate in ten pairs at most, and none is lost."""
+    firm_names = [f"merchant {i:09d} trading" for i in range(1, 301)] + ["abcdef", "abcdefg", "xbcdefg", "abcdeg"]
+    companies = [f"mercant {i * 70:09d} trading" for i in range(1, 1501)] + ["abcdefg", "abcdef", "abcde", "", "é" * 40]
+    n = spark.createDataFrame([(c,) for c in companies], "norm string")
+    f = spark.createDataFrame([(c,) for c in firm_names], "name string")
+    pairs = firm_match.candidate_pairs(n, f).join(n.withColumn("probe", F.xxhash64("norm")), "probe").join(
+        f.withColumn("firm", F.xxhash64("name")), "firm").select("norm", "name").collect()
+    found = {(a, b) for a, b in pairs}
+    assert len(found) == len(pairs) < 0.1 * len(firm_names) * len(companies)
+    close = lambda a, b: 1 - lev(a, b) / max(len(a), len(b)) >= 0.85
+    for a in [*companies[::97], *companies[-5:]]:
+        assert {b for b in firm_names if a and len(a) > 5 and abs(len(a) - len(b)) < 4 and close(a, b)} <= {b for x, b in found if x == a}
+
+
 def test_alias_and_earlier_fuzzy_firm(spark):
     fdf = spark.createDataFrame(
         [(0, "Blue Harbor Architects", []), (1, "Blue Harbour Architects", []), (2, "Northwind Engineers", ["Cedar & Stone"])],
