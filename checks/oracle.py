@@ -422,10 +422,25 @@ def slugged(source: str) -> str:
     """Row numbers are exact as long as no slug is another slug plus a number."""
     return f"""
 sb as (select *, {slug()} slug_base from {source}),
-sn as (select *, row_number() over (partition by slug_base order by seq_a, seq_b) + (slug_base in (select slug from published))::int n from sb),
+tk as (select arg_max(slug, item_ord) slug from published where source_url <> '' group by source_url),
+sn as (select *, row_number() over (partition by slug_base order by seq_a, seq_b) + (slug_base in (select slug from tk))::int n from sb),
 slugged as (select * exclude (n), case when n = 1 then slug_base else concat(slug_base, '-', n) end slug from sn)"""
 
 
+# the loop itself, row after row within each family of slugs that differ in trailing numbers only
+FAMILY = "regexp_replace({}, '(-[0-9]+)+$', '')"
+add("slug_uniquify_contested", "listings published", f"""with recursive li as (select * replace (case ord % 5 when 0 then '2' when 1 then '3' else '' end as location) from listings),
+ sb as (select ord, {slug()} slug_base from li),
+ wa as (select *, {FAMILY.format('slug_base')} fam, row_number() over (partition by {FAMILY.format('slug_base')} order by ord) i from sb),
+ tk as (select arg_max(slug, item_ord) slug from published where source_url <> '' group by source_url),
+ us as (select {FAMILY.format('slug')} fam, list(slug) used from tk where slug <> '' group by 1),
+ lo as (
+  select fam, 0::bigint i, null::bigint as ord, null::varchar slug_base, null::varchar slug, coalesce(used, []) used from (select distinct fam from wa) left join us using (fam)
+  union all
+  select wa.fam, wa.i, wa.ord, wa.slug_base, x.slug, list_append(lo.used, x.slug) from lo join wa on wa.fam = lo.fam and wa.i = lo.i + 1,
+   lateral (select list_filter(list_transform(range(1, len(lo.used) + 2), lambda k: case when k = 1 then wa.slug_base else wa.slug_base || '-' || k end),
+    lambda c: not list_contains(lo.used, c))[1] slug) x)
+ select ord, slug_base, slug from lo where i > 0""")
 add("slug_uniquify", "listings published", f"with s as (select *, ord seq_a, ord seq_b from listings), {slugged('s')} select ord, slug_base, slug from slugged")
 
 

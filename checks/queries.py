@@ -467,7 +467,7 @@ def hq_resolution(c: Ctx) -> DataFrame:
 @query
 def slug_uniquify(c: Ctx) -> DataFrame:
     rows = slugs.with_slug_base(dedup.with_seq(c.view("listings")))
-    return slugs.slug_uniquify(rows, c.published()).select("ord", "slug_base", "slug")
+    return slugs.slug_uniquify(rows, slugs.taken_slugs(c.published())).select("ord", "slug_base", "slug")
 
 
 @query
@@ -475,7 +475,7 @@ def slug_uniquify_contested(c: Ctx) -> DataFrame:
     """Slugs that themselves end in numbers other slugs run into."""
     n = F.when(F.col("ord") % 5 == 0, "2").when(F.col("ord") % 5 == 1, "3").otherwise("")
     rows = slugs.with_slug_base(dedup.with_seq(c.view("listings")).withColumn("location", n))
-    return slugs.slug_uniquify(rows, c.published()).select("ord", "slug_base", "slug")
+    return slugs.slug_uniquify(rows, slugs.taken_slugs(c.published())).select("ord", "slug_base", "slug")
 
 
 @query

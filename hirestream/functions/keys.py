@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirestream.session import ensure_checkpoint_dir
+from hirestream.session import stage
 
 
 def computed(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
@@ -45,29 +45,27 @@ def dedupe_by_key(df: DataFrame, key: Column, order: str = "ord") -> DataFrame:
     return first_by_key(keyed, ["__key"], order).drop("__key")
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, counted: str | None = None) -> DataFrame:
     """Exact 1-based position of each row within its key group, without a task per key.
 
     Rows are range-partitioned by key and order, so a hot key spreads over many
     partitions.  A row's number is its position inside the partition plus the rows
-    of the same key in earlier partitions.  The partition layout is checkpointed:
-    both halves of the sum must see the same one, also after an executor is lost.
+    of the same key in earlier partitions.  The partition layout is staged: both
+    halves of the sum must see the same one, also after an executor is lost.
+    With ``counted``, a boolean column, only rows that have it add to the number.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    laid = (
-        df.repartitionByRange(*keys, *order).withColumn("__pid", F.spark_partition_id()).checkpoint()
-    )
+    laid = stage(df.repartitionByRange(*keys, *order).withColumn("__pid", F.spark_partition_id()), "numbered")
     from pyspark.sql import Window as W
 
-    per = laid.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__n"))
+    one = F.lit(1) if counted is None else F.when(F.col(counted), 1).otherwise(0)
+    per = laid.groupBy(*keys, "__pid").agg(F.sum(one).alias("__n"))
     # at most one row per key and partition
     before = F.sum("__n").over(
         W.partitionBy(*keys).orderBy("__pid").rowsBetween(W.unboundedPreceding, -1)
     )
     offsets = per.select(*keys, "__pid", F.coalesce(before, F.lit(0)).alias("__before"))
-    local = laid.withColumn(
-        "__local", F.row_number().over(W.partitionBy(*keys, "__pid").orderBy(*order))
-    )
+    inside = W.partitionBy(*keys, "__pid").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    local = laid.withColumn("__local", F.sum(one).over(inside))
     return (
         local.join(offsets, [*keys, "__pid"])
         .withColumn(out, F.col("__local") + F.col("__before"))

@@ -23,7 +23,7 @@ from hirestream.operators.lookups import (
     mark_existing,
     salary_estimate,
 )
-from hirestream.operators.slugs import slug_uniquify, with_slug_base
+from hirestream.operators.slugs import slug_uniquify, taken_slugs, with_slug_base
 from hirestream.session import stage
 
 
@@ -134,7 +134,7 @@ def daily_run(
     known = profile.select("company", "firm_ord", "allow_listed")
     gated = roles.join(known, "company", "left").withColumn("gate", gate_of(F.col("signals"))).where("gate is not null")
     gated = stage(with_slug_base(gated).select("ord", "seq", "role_category", "gate", "slug_base"), "gated")
-    slugged = slug_uniquify(gated, dims.published)
+    slugged = slug_uniquify(gated, taken_slugs(dims.published))
     # the only pass over the full rows after the first one
     filtered = raw.join(slugged, "ord").join(profile.drop("allow_listed"), "company", "left")
     enriched = stage(enrich_listings(filtered, dims, run_ts), "enriched")

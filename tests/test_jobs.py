@@ -90,7 +90,7 @@ def greedy(rows, taken):
 
 def test_slugs_match_loop(spark):
     rng = random.Random(3)
-    for trial in range(6):
+    for trial in range(4):
         pool = ["a", "a-2", "a-3", "a-2-2", "b", "b-5", "c-02", "d-2"]
         rows = [rng.choice(pool) for _ in range(rng.randint(5, 60))]
         taken = rng.sample(["a", "a-2", "a-4", "b", "a-2-3", "zz"], rng.randint(0, 4))
@@ -100,6 +100,23 @@ def test_slugs_match_loop(spark):
         assert got == greedy(rows, taken), (trial, rows, taken)
 
 
+def test_slug_groups_hold_contested_names_only(spark, monkeypatch):
+    rows = ["s"] * 400 + ["s-7", "s-7", "s-1000", "s-300", "s-7-2", "s", "t"] + ["s"] * 50 + ["s-300"]
+    taken = ["s-9999999", "s-3", "t", "t-2", "t-3", *(f"s-{i}" for i in range(500, 900)), "s-99999999999999999999"]
+    sizes = []
+    settle = slugs._settle
+    monkeypatch.setattr(slugs, "_settle", lambda events: sizes.append(events.count()) or settle(events))
+    df = dedup.with_seq(spark.createDataFrame([(i, s) for i, s in enumerate(rows)], "ord long, slug_base string"))
+    existing = spark.createDataFrame([(t,) for t in taken], "slug string")
+    assert [r.slug for r in slugs.slug_uniquify(df, existing).orderBy("ord").collect()] == greedy(rows, taken)
+    assert sizes == [4]
+
+
+def test_taken_slugs(spark):
+    items = spark.createDataFrame([(0, "u", "a"), (1, "u", "b"), (2, "", "c"), (3, None, "d"), (4, "v", "b")], "item_ord long, source_url string, slug string")
+    assert sorted(r.slug for r in slugs.taken_slugs(items).collect()) == ["b", "b"]
+
+
 def test_slug_examples(spark):
     def run(rows, taken=()):
         df = dedup.with_seq(spark.createDataFrame([(i, s) for i, s in enumerate(rows)], "ord long, slug_base string"))
