@@ -732,3 +732,26 @@ CNT = lambda a: f"(select count(*) from ch where action = '{a}')"
 add("daily_run_funnel", EV, f"""with {RUNCTE} select (select count(*) from listings) total_ingested, (select count(*) from w02) after_dedup, (select count(*) from enriched) after_filter, (select count(*) from pb) after_quality_filter,
  {CNT('create')} created, {CNT('update')} updated, {CNT('unpublish')} expired, {CNT('delete')} deleted, (select count(*) from enriched) - (select count(*) from pb) skipped, 0 errors""")
 ORACLE["ingest_available"] = ORACLE["feed_greenhouse"]
+
+# --- a run from landed pages -------------------------------------------------------------------------
+
+AT = lambda source: f"{C.PROVIDERS.index(source)} * 288230376151711744 + page * 1048576 + pos"
+PAGED = "concat('<p>', description, '</p>')"
+LANDED = f"""lp as (
+  select *, min(ord) over w page, row_number() over (partition by company, ord // 100, ord % 3 order by ord) - 1 pos from listings
+  window w as (partition by company, ord // 100, ord % 3)),
+la as (
+  select {AT('greenhouse')} as ord, title, company, location, {html(PAGED, 'A')} description, source_url, date_posted, null::double salary_min,
+    null::double salary_max, null::varchar contract_type, null::varchar contract_time, 'greenhouse' source, null::varchar row_error, false salary_is_predicted, '' category from lp where ord % 3 = 0
+  union all
+  select {AT('workable')}, title, company, coalesce(nullif(location, ''), 'France'), {html(PAGED, 'A')}, source_url, '2024-01-05T00:00:00.000Z', null, null,
+    'permanent', null, 'workable', case when ord % 12 = 1 then 'bad_date' end, false, null from lp where ord % 3 = 1
+  union all
+  select {AT('lever')}, title, company, location, description, source_url,
+    strftime(timestamp '2024-01-01' + interval 1 second * ord::int, '%Y-%m-%dT%H:%M:%S.000Z'), salary_min, salary_max, null, null, 'lever', null, false, null from lp where ord % 3 = 2),
+landed as (select * from la where row_error is null)"""
+PAGERUN = LANDED + ", " + RUNCTE.replace("from listings", "from landed")
+add("daily_run_from_pages", EV, f"""with {PAGERUN} select (select count(*) from landed) total_ingested, (select count(*) from w02) after_dedup, (select count(*) from enriched) after_filter, (select count(*) from pb) after_quality_filter,
+ {CNT('create')} created, {CNT('update')} updated, {CNT('unpublish')} expired, {CNT('delete')} deleted, (select count(*) from enriched) - (select count(*) from pb) skipped, (select count(*) from la where row_error is not null) errors""")
+add("daily_run_page_changes", EV, f"with {PAGERUN} select item_id, action from ch")
+add("daily_run_failed_rows", "listings", f"with {LANDED} select ord, source, company, title, source_url, row_error from la where row_error is not null")

@@ -15,6 +15,7 @@ from hirestream.functions.urls import canonical_seed_url, ensure_protocol
 from hirestream.operators import caches, dedup, enrichment, filters, firm_match, firms, history, hub, lookups, publish
 from hirestream.operators import quality as quality_ops
 from hirestream.operators import slugs
+from hirestream.plans import landed
 from hirestream.plans import listings as plan
 from hirestream.session import scratch_path, stage
 from hirestream.sources import discovery, feeds_html, feeds_json, feeds_xml, pages as page_ops, tables
@@ -1237,3 +1238,51 @@ def daily_run_changes(c: Ctx) -> DataFrame:
 @query
 def daily_run_items(c: Ctx) -> DataFrame:
     return plan.daily_run(c.view("listings"), c.dims(), run_ts()).items.select("ord", "slug", "quality_score", "is_featured", "expiration_date")
+
+
+def _landed_pages(c: Ctx) -> DataFrame:
+    """The listings as pages of three feeds, one company and up to a hundred items a page; some dates can't be read."""
+    rows = c.view("listings")
+    html = F.concat(F.lit("<p>"), "description", F.lit("</p>"))
+    items = {
+        "greenhouse": (rows.where("ord % 3 = 0"), _jobs("jobs"), F.struct(
+            "title", html.alias("content"), F.col("date_posted").alias("updated_at"), F.struct(F.col("location").alias("name")).alias("location"),
+            F.col("source_url").alias("absolute_url"))),
+        "workable": (rows.where("ord % 3 = 1"), _jobs("jobs"), F.struct(
+            "title", html.alias("description"), F.col("location").alias("city"), F.lit("France").alias("country"), F.col("source_url").alias("url"),
+            F.when(F.col("ord") % 12 == 1, "soon").otherwise("2024-01-05").alias("published_on"))),
+        "lever": (rows.where("ord % 3 = 2"), F.to_json, F.struct(
+            F.col("title").alias("text"), F.col("description").alias("descriptionPlain"), F.struct("location").alias("categories"),
+            F.col("source_url").alias("hostedUrl"), (F.lit(1704067200000) + F.col("ord") * 1000).alias("createdAt"),
+            F.struct(F.col("salary_min").alias("min"), F.col("salary_max").alias("max"), F.lit("per-year").alias("interval")).alias("salaryRange"))),
+    }
+    found = []
+    for source, (part, wrap, item) in items.items():
+        body = wrap(F.transform(F.array_sort(F.collect_list(F.struct("ord", item.alias("item")))), lambda x: x["item"]))
+        page = part.groupBy("company", F.floor(F.col("ord") / 100).alias("h")).agg(body.alias("body"), F.min("ord").alias("ord"))
+        found.append(page.select(
+            F.lit(source).alias("source"), F.concat(F.lit("b"), "h").alias("board_token"), "company", F.lit(1).alias("page_no"),
+            run_ts().alias("fetched_at"), F.concat(F.lit("https://example.com/"), "h").alias("url"), "body", "ord"))
+    path = scratch_path(c.spark, "landed-pages")
+    tables.sink_table(found[0].unionByName(found[1]).unionByName(found[2]), path, ["source"])
+    return tables.scan_raw_payloads(c.spark, path)
+
+
+def _page_run(c: Ctx) -> landed.PageRun:
+    return landed.daily_run_from_pages(_landed_pages(c), c.dims(), run_ts(), ["greenhouse", "lever", "workable"])
+
+
+@query
+def daily_run_from_pages(c: Ctx) -> DataFrame:
+    """Landed pages to the funnel of the run, with errors."""
+    return _page_run(c).run.funnel
+
+
+@query
+def daily_run_page_changes(c: Ctx) -> DataFrame:
+    return _page_run(c).run.changes.select("item_id", "action")
+
+
+@query
+def daily_run_failed_rows(c: Ctx) -> DataFrame:
+    return landed.failed_rows(landed.listings_from_pages(_landed_pages(c), run_ts(), ["greenhouse", "lever", "workable"]))

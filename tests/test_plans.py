@@ -93,3 +93,16 @@ def test_a_run_stages_no_texts_before_the_gate(spark, monkeypatch):
     assert [n for n, cols in staged.items() if "description" in cols] == ["enriched"]
     session.remove_stages(spark, before)
     assert len(session.STAGED) == before
+
+
+def test_failed_rows_of_landed_pages_are_put_aside(spark):
+    from hirestream.plans import landed
+
+    assert list(landed.FEEDS) == C.PROVIDERS
+    body = '{"jobs": [{"title": "A", "published_on": "soon", "url": "u1"}, {"title": "B", "published_on": "2024-01-05", "url": "u2"}]}'
+    pages = spark.createDataFrame(
+        [("workable", "b", "Acme", 1, "http://x", body, 4), ("workable", "b", "Acme", 1, "http://x", "no json", 5), ("lever", "b", "Acme", 1, "http://x", "[]", 6)],
+        "source string, board_token string, company string, page_no int, url string, body string, ord long").withColumn("fetched_at", F.current_timestamp())
+    rows = landed.listings_from_pages(pages, F.current_timestamp(), ["lever", "workable", "nobody"])
+    assert [r.title for r in rows.where("row_error is null").collect()] == ["B"]
+    assert [(r.source_url, r.row_error) for r in landed.failed_rows(rows).collect()] == [("u1", "bad_date")]
