@@ -464,7 +464,7 @@ POSTED = "replace(replace(date_posted, 'T', ' '), 'Z', '')::timestamp"
 add("set_expiration", "listings", f"select ord, least({RUN} + interval 7 day, {POSTED} - interval 1 day * (ord % 90)::int + interval 60 day) expiration_date from listings")
 add("expire_items", "published", f"select id item_id, 'unpublish' as action from published where pipeline_managed and expiration_date < {RUN}")
 add("delete_items", "published", f"select id item_id, 'delete' as action from published where pipeline_managed and expiration_date < {RUN} - interval 30 day")
-add("apply_change_set", "listings published", f"""with b as (select * replace (concat(source_url, 'x') as source_url), ord seq_a, ord seq_b from listings where ord % 2 = 0), {matched('b')},
+add("apply_change_set", "listings published", f"""with b as (select * replace (concat(source_url, 'x') as source_url), ord seq_a, ord seq_b from listings), {matched('b')},
 lst as (select item_id, max(ord) ord from matched group by 1),
 fresh as (select item_id id, l.source_url, concat('s', l.ord) slug, least({RUN} + interval 7 day, {POSTED} + interval 60 day) expiration_date, true pipeline_managed from lst join listings l using (ord)),
 al as (select id, source_url, slug, expiration_date, pipeline_managed from published where id not in (select id from fresh) union all select * from fresh)
@@ -706,11 +706,18 @@ add("extract_text_by_class", "", f"select page_id, {tidy(untag(decode(f'regexp_e
 LINKRX = q(r"""(?i)href=["'](/[^"']+)["']""")
 add("extract_links", "", f"""with l as (select page_id, lower(regexp_extract(url, '(?i)^(https?://[^/?#]+)', 1)) o, unnest(regexp_extract_all(html, {LINKRX}, 1)) r from pages)
 select distinct page_id, concat(o, {decode('r')}) link from l""")
-add("search_page_frontier", "", """with recursive mx as (select max(page_id) m from pages),
-e as (select page_id p, unnest([page_id * 2, page_id * 2 + 1, page_id // 3]) t from pages), ed as (select p, t from e, mx where t <= m and t > 0),
-bf(board, page, lvl) as (select page_id, page_id, 0 from pages where page_id between 1 and 9 or page_id % 100 = 7
- union select board, t, lvl + 1 from bf join ed on ed.p = bf.page where lvl <= (select count(*) from pages)),
-fr as (select board, page, min(lvl) lvl from bf group by 1, 2) select board, count(*) pages, max(lvl) depth from fr group by 1""")
+BOARDS = """bp as (select page_id // 50 board, page_id % 50 n from pages),
+e as (select board, n, unnest([n * 2, n * 2 + 1, n // 3]) t from bp), ed as (select * from e where t > 0 and t < 50)"""
+CLOSURE = """bf(board, n, lvl) as (select distinct board, unnest({}), 0 from bp union select bf.board, t, lvl + 1 from bf join ed on ed.board = bf.board and ed.n = bf.n where lvl < 50),
+fr as (select board, n, min(lvl) lvl from bf group by 1, 2)"""
+add("search_page_frontier", "", f"with recursive {BOARDS}, {CLOSURE.format('[1, 7]')} select board, count(*) pages, max(lvl) depth from fr group by 1")
+# two more candidates of a board were never landed; a detail seed makes three candidates
+add("crawl_search_boards", "", f"""with recursive {BOARDS}, {CLOSURE.format('[1]')},
+ li as (select board, count(*) + 2 pages, max(lvl) depth from fr group by 1),
+ de as (select fr.board, count(*) details, min(concat('https://b', fr.board, '.icims.com/jobs/', fr.n, '/some-title/job')) first_detail from fr join bp on bp.board = fr.board and bp.n = fr.n group by 1)
+ select li.board, case when li.board % 10 = 3 then 3 else pages end pages, case when li.board % 10 = 3 then 0 else depth end depth,
+  case when li.board % 10 = 3 then 1 else details end details, case when li.board % 10 = 3 then concat('https://b', li.board, '.icims.com/jobs/5/lead/job') else first_detail end first_detail
+ from li left join de using (board)""")
 add("normalize_search_url", "source_seed", """select ord, case when ord % 30 = 8 then null end::varchar as search from source_seed where provider = 'icims' and false
 union all select ord, case when ord % 30 = 8 then concat('https://c8.icims.com/jobs/search?ss=1&pr=', ord % 2, case when ord % 3 = 0 then '&hashed=9' when ord % 3 = 1 then '&in_iframe=2' else '' end,
  case when ord % 3 = 1 then '' else '&in_iframe=1' end) end from source_seed where provider = 'icims'""")

@@ -18,7 +18,7 @@ from hirestream.operators import slugs
 from hirestream.plans import landed
 from hirestream.plans import listings as plan
 from hirestream.session import scratch_path, stage
-from hirestream.sources import discovery, feeds_html, feeds_json, feeds_xml, pages as page_ops, tables
+from hirestream.sources import discovery, feeds_html, feeds_json, feeds_xml, pages as page_ops, search_boards, tables
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
@@ -510,7 +510,7 @@ def delete_items(c: Ctx) -> DataFrame:
 @query
 def apply_change_set(c: Ctx) -> DataFrame:
     items = c.published().drop("item_ord")
-    batch = dedup.with_seq(c.view("listings").where("ord % 2 = 0"))
+    batch = dedup.with_seq(c.view("listings"))
     batch = batch.withColumns(
         {"slug": F.concat(F.lit("s"), "ord"), "pipeline_managed": F.lit(True),
          "expiration_date": publish.set_expiration(X.parse_date(F.col("date_posted")), run_ts())}
@@ -1179,17 +1179,46 @@ def extract_links(c: Ctx) -> DataFrame:
     return page_ops.extract_links(c.table("pages"), r"""(?i)href=["'](/[^"']+)["']""")
 
 
+_BOARD_PAGES = 50
+
+
+def _board_links(c: Ctx) -> DataFrame:
+    """``(board, n, to)``: the pages as boards of fifty, linked as binary trees by number, with links back."""
+    p = c.table("pages").select(F.floor(F.col("page_id") / _BOARD_PAGES).alias("board"), (F.col("page_id") % _BOARD_PAGES).alias("n"))
+    to = F.explode_outer(F.filter(F.array(F.col("n") * 2, F.col("n") * 2 + 1, F.floor(F.col("n") / 3)), lambda x: (x > 0) & (x < _BOARD_PAGES)))
+    return p.select("board", "n", to.alias("to"))
+
+
+def _board_page(n: Column) -> Column:
+    return F.concat(F.lit("https://b"), "board", F.lit(".icims.com/jobs/search?pr="), n, F.lit("&in_iframe=1"))
+
+
 @query
 def search_page_frontier(c: Ctx) -> DataFrame:
-    """Search pages of every fifth board, linked as a binary tree by number, with links back."""
-    p = c.table("pages")
-    last = p.agg(F.max("page_id")).scalar()
-    page = lambda n: F.concat(F.lit("https://b.icims.com/jobs/search?pr="), n)
-    edges = p.select("page_id", F.explode(F.array(F.col("page_id") * 2, F.col("page_id") * 2 + 1, F.floor(F.col("page_id") / 3))).alias("to"))
-    edges = edges.withColumn("last", last).where("to <= last and to > 0")
-    links = edges.select(page(F.col("page_id")).alias("page"), page(F.col("to")).alias("link"))
-    seeds = p.where("page_id between 1 and 9 or page_id % 100 = 7").select(F.col("page_id").alias("board"), page(F.col("page_id")).alias("page"))
-    return page_ops.search_page_frontier(seeds, links).groupBy("board").agg(F.count(F.lit(1)).alias("pages"), F.max("level").alias("depth"))
+    """Search pages of every board; each has a host of its own and two seeds."""
+    links = _board_links(c)
+    seeds = links.select("board", F.explode(F.array(F.lit(1), F.lit(7))).alias("n")).distinct()
+    edges = links.where("to is not null").select(_board_page(F.col("n")).alias("page"), _board_page(F.col("to")).alias("link"))
+    found = page_ops.search_page_frontier(seeds.select("board", _board_page(F.col("n")).alias("page")), edges)
+    return found.groupBy("board").agg(F.count(F.lit(1)).alias("pages"), F.max("level").alias("depth"))
+
+
+@query
+def crawl_search_boards(c: Ctx) -> DataFrame:
+    """Landed search pages with links of both kinds; every tenth board is known by a detail page only."""
+    links = _board_links(c).withColumn("lost", F.col("board") % 10 == 3)
+    other = lambda n: F.concat(F.lit("/jobs/search?pr="), n, F.lit("&amp;x=1"))
+    there = lambda n: F.concat(F.lit("https://B"), "board", F.lit(".icims.com/jobs/search?pr="), n, F.lit("&amp;in_iframe=1"))
+    link = F.when(F.col("to") % 2 == 0, F.concat(F.lit("<a href='"), other(F.col("to")), F.lit("'>"))).otherwise(
+        F.concat(F.lit('<a href="'), there(F.col("to")), F.lit('">')))
+    job = F.concat(F.lit('<a href="/jobs/'), "n", F.lit('/some-title/job?from=list"> <a href="https://elsewhere.example.com/jobs/search?ss=1">'))
+    pages = links.where("not lost").groupBy("board", "n").agg(F.array_join(F.collect_list(link), " ").alias("links"))
+    pages = pages.select(_board_page(F.col("n")).alias("url"), F.concat("links", job).alias("html"))
+    seed = F.when(F.col("lost"), F.concat(F.lit("https://b"), "board", F.lit(".icims.com/jobs/5/lead/job?x=1"))).otherwise(
+        F.concat(F.lit("https://b"), "board", F.lit(".icims.com/jobs/search?pr=1&utm=2")))
+    crawl = search_boards.crawl_search_boards(links.select("board", seed.alias("seed_url")).distinct(), pages)
+    details = crawl.details.groupBy("board").agg(F.count(F.lit(1)).alias("details"), F.min("link").alias("first_detail"))
+    return crawl.visited.groupBy("board").agg(F.count(F.lit(1)).alias("pages"), F.max("level").alias("depth")).join(details, "board", "left")
 
 
 @query

@@ -52,8 +52,8 @@ with named as (
  select cast(firm_ord as bigint) firm_ord, name, alias from (values (0,'Blue Harbor Architects',''),(1,'Acme Design',''),
    (2,'Northwind Engineers','Cedar & Stone'),(3,'Gensler','')) v(firm_ord, name, alias)
  union all
- select 4 + k, case when k % 50 = 13 then concat('Studios ', cast(k as {S})) else concat('Studio ', cast(k as {S}), ' Inc') end, ''
- from (select distinct cast(floor(doc_id/3) as bigint) k from documents) x where k % 25 = 13)
+ select 4 + k, case when k % 50 = 13 then concat('Studios ', cast(k as {S})) when k % 25 = 13 then concat('Studio ', cast(k as {S}), ' Inc') else concat('Atelier Nr ', cast(k as {S})) end, ''
+ from (select distinct cast(floor(doc_id/3) as bigint) k from documents) x)
 select firm_ord, name, alias, concat('Type ', cast(firm_ord % 3 as {S})) firm_type,
  case cast(firm_ord % 4 as int) when 0 then 'Architecture & Engineering' when 1 then 'Structural Engineering Firm'
    when 2 then '' else 'Food Service' end industry,
@@ -116,12 +116,12 @@ from base
 """)
 
 VIEWS["firm_old"] = ([], """
-select cast(s_suppkey as bigint) firm_ord, concat(s_name, ', Inc.') name, 'Old Type' firm_type,
+select cast(s_suppkey as bigint) firm_ord, case when s_suppkey % 3 = 0 then concat(s_name, ', Inc.') else concat('Former ', s_name) end name, 'Old Type' firm_type,
  case when s_suppkey % 4 = 0 then 'Consulting' else '' end industry, cast(null as int) firm_rank,
  case when s_suppkey % 9 = 0 then 'Old HQ' else '' end hq, '' hq_state,
  case when s_suppkey % 12 = 0 then 'Old City' else '' end hq_city, '10+' size,
  case when s_suppkey % 15 = 0 then 'old.example.com' else '' end website, '' linkedin
-from supplier where s_suppkey % 3 = 0
+from supplier
 """)
 
 VIEWS["board_cache"] = ([], """

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hirestream.functions.keys import computed
 from hirestream.functions.text import decode_entities, html_text, page_text, strip_cdata, trim_ws
 from hirestream.functions.urls import drop_query, hostname, resolve
-from hirestream.session import ensure_checkpoint_dir, stage
+from hirestream.session import STAGED, scratch_path, stage
 
 
 def _reject(token: str):
@@ -140,26 +140,32 @@ def extract_links(pages: DataFrame, pattern: str, key: str = "page_id") -> DataF
 def search_page_frontier(seeds: DataFrame, links: DataFrame) -> DataFrame:
     """All search pages reachable from the seeds of each board: ``(board, page, level)``.
 
-    ``seeds`` is ``(board, page)``, ``links`` is ``(page, link)``.  Breadth first
-    with a visited set; links to another host are not followed.  One round per
-    level, each checkpointed, until a round finds nothing new.
+    ``seeds`` is ``(board, page)``, ``links`` is ``(page, link)``; links to another
+    host are not followed.  Boards with the same seeds are one crawl, handed to its
+    boards at the end.  Breadth first and semi-naive: a round follows the links of
+    the last level only, and writes its level into one growing table, which is the
+    visited set; plans don't grow, and there are as many rounds as levels.
     """
-    ensure_checkpoint_dir(seeds.sparkSession)
+    spark = seeds.sparkSession
     edges = links.where(hostname(F.col("page")) == hostname(F.col("link"))).select("page", "link").distinct()
     edges = stage(edges, "page-links")
-    level = 0
-    frontier = seeds.select("board", "page").distinct().withColumn("level", F.lit(0)).checkpoint()
-    visited = frontier
-    while not frontier.isEmpty():
+    start = seeds.groupBy("board").agg(F.array_sort(F.collect_set("page")).alias("pages"))
+    boards = stage(start.withColumn("crawl", F.md5(F.to_json("pages").cast("binary"))), "crawls")
+    reached = boards.select("crawl", F.explode("pages").alias("page")).distinct()
+    table = scratch_path(spark, "visited-pages")
+    STAGED.append(table)
+    schema, level = "crawl string, page string", 0
+    while True:
+        reached.select("crawl", "page").write.parquet(f"{table}/level={level}")
+        last = spark.read.schema(schema).parquet(f"{table}/level={level}")
+        if last.isEmpty():
+            break
         level += 1
-        reached = frontier.join(edges, "page").select("board", F.col("link").alias("page")).distinct()
-        frontier = (
-            reached.join(visited.select("board", "page"), ["board", "page"], "left_anti")
-            .withColumn("level", F.lit(level))
-            .checkpoint()
-        )
-        visited = visited.unionByName(frontier)
-    return visited
+        visited = spark.read.schema(schema).parquet(*(f"{table}/level={i}" for i in range(level)))
+        found = last.join(edges, "page").select("crawl", F.col("link").alias("page")).distinct()
+        reached = found.join(visited, ["crawl", "page"], "left_anti")
+    visited = spark.read.schema(f"{schema}, level int").parquet(table)
+    return boards.select("board", "crawl").join(visited, "crawl").select("board", "page", "level")
 
 
 def detail_links(frontier: DataFrame, details: DataFrame, seeds: DataFrame) -> DataFrame:
