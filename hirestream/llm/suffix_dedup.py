@@ -33,7 +33,7 @@ PART_RUNS = 500_000
 PART_WINDOWS = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
-_PAIR = np.uint64(0xD6E8FEB86659FD93)
+_PAIRS = {1 << i: mix64(np.array([i + 257], np.uint64))[0] | np.uint64(1) for i in range(5)}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -56,11 +56,13 @@ class Runs:
             self.down = _powers(pow(int(_BASE), -1, 1 << 64), n)
 
     def anchor_hashes(self, x: np.ndarray) -> np.ndarray:
+        # a polynomial of random values of the bytes, a factor of its own at each doubling; mixed once at the end
         h, width = _BYTE[x], 1
         while width < ANCHOR:
-            h = mix64(h[:-width] * _PAIR + h[width:])
-            width *= 2
-        return h
+            longer = h[:-width] * _PAIRS[width]
+            longer += h[width:]
+            h, width = longer, 2 * width
+        return mix64(h)
 
     def of(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
         """``(hash, content, start, n, off)`` of each run: anchor hash, hash of its bytes, first window, windows, anchor place."""
@@ -80,7 +82,14 @@ _RUN = np.dtype([("h", "<u8"), ("doc", "<i8"), ("content", "<u8"), ("start", "<u
 
 def _sorted_runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs in the order of anchor, bytes, document; where each class of equal runs begins; each run's smallest document."""
-    rows = rows[np.lexsort((rows["start"], rows["doc"], rows["content"], rows["n"], rows["h"]))]
+    order = np.argsort(np.ascontiguousarray(rows["h"]))
+    h = rows["h"][order]
+    same = h[1:] == h[:-1]
+    # most anchors stand once; only the others need more than one key
+    some = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
+    tied = rows[order[some]]
+    order[some] = order[some][np.lexsort((tied["start"], tied["doc"], tied["content"], tied["n"], tied["h"]))]
+    rows = rows[order]
     first = run_starts(rows["h"], rows["n"], rows["content"])
     return rows, first, np.repeat(rows["doc"][first], np.diff(np.r_[first, len(rows)]))
 
@@ -197,9 +206,9 @@ def _hash_at(runs: Runs, x: np.ndarray, at: np.ndarray) -> np.ndarray:
     h = _BYTE[x[at[:, None] + np.arange(ANCHOR)]]
     width = 1
     while width < ANCHOR:
-        h = mix64(h[:, :-width] * _PAIR + h[:, width:])
+        h = h[:, :-width] * _PAIRS[width] + h[:, width:]
         width *= 2
-    return h[:, 0]
+    return mix64(h[:, 0])
 
 
 def _gather(x: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
