@@ -140,18 +140,30 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: floa
         "rank > cut and size > 0 and size < 2 * missing")
     nearest = F.min(F.struct(F.abs(F.col("size") - F.col("missing")).alias("off"), "rank"))
     units = rest.groupBy("source", "rank").agg(F.sum("size").alias("size"), F.first("missing").alias("missing"))
-    closing = units.where("size < 2 * missing").groupBy("source").agg(nearest.alias("c"))
-    closing = closing.select(F.col("source").alias("__source"), F.col("c.rank").alias("closing"))
+    closing = units.where("size < 2 * missing").groupBy("source").agg(
+        nearest.alias("c"), F.min_by(F.col("size") - F.col("missing"), F.struct(F.abs(F.col("size") - F.col("missing")), "rank")).alias("over"))
+    closing = stage(closing.select(F.col("source").alias("__source"), F.col("c.rank").alias("closing"), "over"), "closing")
+
+    # where it brings too much: the document of the prefix nearest in size to that is left out, if that is nearer still
+    beyond = closing.where("over > 0")
+    beyond = beyond.join(cut.select(F.col("__source").alias("s"), "cut"), beyond["__source"].eqNullSafe(F.col("s"))).drop("s", "closing")
+    taken = _with_plan(narrow, beyond, F.col("source"), salt(F.col("key"))).where("rank <= cut and size > 0 and size < 2 * over")
+    taken = taken.groupBy("source", "rank").agg(F.sum("size").alias("size"), F.first("over").alias("over")).where("size < 2 * over")
+    out_of = F.min_by("rank", F.struct(F.abs(F.col("size") - F.col("over")), "rank")).alias("left_out")
+    left_out = taken.groupBy("source").agg(out_of).select(F.col("source").alias("__source"), "left_out")
+    closing = closing.drop("over")
     same = lambda o: plan["__source"].eqNullSafe(o["__source"])
-    plan = plan.join(cut.alias("k"), same(cut), "left").join(closing, same(closing), "left").select(
-        plan["__source"], "source_size", "target", "whole", F.col("k.cut").alias("cut"), "closing")
+    plan = plan.join(cut.alias("k"), same(cut), "left").join(closing, same(closing), "left").join(left_out, same(left_out), "left").select(
+        plan["__source"], "source_size", "target", "whole", F.col("k.cut").alias("cut"), "closing", "left_out")
     plan = stage(plan, "mix-plan")
 
     mine = plan.select("__source", F.struct(*columns(plan, "__source")).alias("__plan"))
     rows = docs.withColumns({"__size": size, "__key": key})
     joined = _with_plan(rows, mine, source, salt(F.col("__key")))
     rank = F.struct(F.col("__key").alias("key"), F.col("__size").alias("size"))
-    part = F.coalesce(rank <= F.col("__plan.cut"), F.lit(False)) | F.coalesce(rank == F.col("__plan.closing"), F.lit(False))
+    ahead_of_cut = (rank <= F.col("__plan.cut")) & ~rank.eqNullSafe(F.col("__plan.left_out"))
+    # a text without words fills no part of an epoch
+    part = (F.col("__size") > 0) & (F.coalesce(ahead_of_cut, F.lit(False)) | F.coalesce(rank == F.col("__plan.closing"), F.lit(False)))
     mix = F.struct(F.col("__size").alias("size"), F.col("__plan.source_size").alias("source_size"),
                    F.col("__plan.target").alias("target"),
                    (F.col("__plan.whole") + part.cast("int")).alias("copies"))

@@ -161,10 +161,17 @@ m as (select source, any_value(need) - coalesce(max(upto) filter (upto <= need),
 c as (
   select r.source, arg_min((r.key, r.size), (abs(r.size - m.missing), r.key, r.size)) as closing
   from r join m on r.source is not distinct from m.source
-  where r.upto > r.need and r.size > 0 and r.size < 2 * m.missing group by r.source)
+  where r.upto > r.need and r.size > 0 and r.size < 2 * m.missing group by r.source),
+b as (
+  select r.source, r.size - m.missing as over from c join m on c.source is not distinct from m.source
+  join r on r.source is not distinct from c.source and (r.key, r.size) = c.closing where r.size > m.missing),
+x as (
+  select r.source, arg_min((r.key, r.size), (abs(r.size - b.over), r.key, r.size)) as left_out
+  from r join b on r.source is not distinct from b.source where r.upto <= r.need and r.size > 0 and r.size < 2 * b.over group by r.source)
 select r.doc_id, r.size::bigint as size, r.ss::bigint as source_size, r.target,
-  (r.size * (r.whole + case when r.upto <= r.need or coalesce((r.key, r.size) = c.closing, false) then 1 else 0 end))::bigint as taken
-from r left join c on r.source is not distinct from c.source
+  (r.size * (r.whole + case when r.upto <= r.need and not coalesce((r.key, r.size) = x.left_out, false)
+    or coalesce((r.key, r.size) = c.closing, false) then 1 else 0 end))::bigint as taken
+from r left join c on r.source is not distinct from c.source left join x on r.source is not distinct from x.source
 """
 
 #: Shingle sets, pairs that share a shingle, and the closure of the links.

@@ -134,7 +134,9 @@ def test_pipeline_against_plain_steps(spark):
     taken: dict = {}
     for r in mixed.collect():
         taken[r.source] = taken.get(r.source, 0) + len(plain.words(r.text))
-    assert all(abs(taken.get(s, 0) - t) <= 0.02 * t + 40 for s, t in targets.items()) and mixed.columns == docs.columns
+    # whole documents only: a source misses its target by at most half of its largest text
+    half = {s: max(len(plain.words(r.text)) for r in one.collect() if r.source == s) / 2 for s in targets}
+    assert all(abs(taken.get(s, 0) - t) <= max(half[s], 0.02 * t + 30) for s, t in targets.items()) and mixed.columns == docs.columns
 
     packed = P.run(spark, sf).collect()
     t = Tokenizer.from_file(TOKENIZER)
@@ -152,4 +154,4 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11))
+    assert "pipeline" in names and all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 14))
