@@ -9,13 +9,12 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hirestream.session import ensure_checkpoint_dir, stage
 
 __all__ = ["GAP", "WORD", "WordIds", "by_bucket", "columns", "components", "documents", "first_minimum", "fold", "let",
-           "mix64", "packed", "packed_texts", "run_starts", "stage", "unpacked", "words_of"]
+           "mix64", "packed", "packed_texts", "run_starts", "spanning", "stage", "unpacked", "words_of"]
 
 #: White space between words, and a word (fixed by the contracts of the queries).
 GAP = r"[\x20\x09-\x0D]+"
@@ -88,6 +87,21 @@ def first_minimum(h: np.ndarray, width: int) -> np.ndarray:
                     (np.arange(n) + width - 1) // width * width + (ahead & low).astype(np.int64))
 
 
+def spanning(pairs: np.ndarray, n: int) -> np.ndarray:
+    """Those of the pairs of numbers below ``n`` that join what is not joined before."""
+    up = list(range(n))
+    keep = []
+    for k, (x, y) in enumerate(pairs.tolist()):
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        while up[y] != y:
+            up[y] = y = up[up[y]]
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            keep.append(k)
+    return pairs[keep]
+
+
 def packed(rows: np.ndarray) -> bytes:
     """A structured array, column after column, compressed."""
     return zstandard.ZstdCompressor(1).compress(b"".join(np.ascontiguousarray(rows[f]).tobytes() for f in rows.dtype.names))
@@ -153,8 +167,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     e = e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     # ties to several smaller nodes become ties among these, which many nodes have in common
     down = e.groupBy("b").agg(F.min("a").alias("a"))
-    among = e.select(F.min("a").over(W.partitionBy("b")).alias("m"), "a").where("a <> m").select(
-        F.col("a").alias("b"), F.col("m").alias("a"))
+    among = e.join(down.withColumnRenamed("a", "m"), "b").where("a <> m").select(F.col("a").alias("b"), F.col("m").alias("a"))
     e = down.unionByName(among).distinct().checkpoint()
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select(

@@ -41,7 +41,7 @@ PIVOTS = 4
 SORTED_MERGE = 2000
 #: Hash ranges whose element counts are compared, and sets per block of that comparison.
 RANGES = 64
-COUNT_BLOCK = 1024
+COUNT_BLOCK = 4096
 #: Sets of so many elements get sixteen times as many ranges.
 FINE_FROM = 600
 #: Documents of one signature that are compared by their counts; where more share it, they are tied.
@@ -336,7 +336,10 @@ def _labels(large: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _near_counts(sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of different labels whose element counts allow a link, for rows ``(grp, blk, qblk, doc, label, asks, n, counts)``."""
+    """Ties ``(a, b)`` of sets of different labels whose element counts allow a link, for rows ``(grp, blk, qblk, doc, label, asks, n, counts)``.
+
+    A task returns ties that connect what all its pairs connect, at most one for each of its sets.
+    """
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         def arrays(part: pd.DataFrame) -> tuple:
             part = part.sort_values("n")
@@ -345,16 +348,23 @@ def _near_counts(sets: DataFrame, k: int, percent: int) -> DataFrame:
             return part["doc"].to_numpy(), part["label"].to_numpy(), part["n"].to_numpy(), counts, held
 
         held, asking = arrays(pdf[~pdf["asks"]]), arrays(pdf[pdf["asks"]])
+        docs, node = np.unique(np.r_[held[0], asking[0]], return_inverse=True)
+        held_node, group = node[: len(held[0])], np.arange(len(docs))
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         first = np.searchsorted(held[2], -(-percent * asking[2] // 100))
         last = np.searchsorted(held[2], asking[2] * 100 // percent, "right")
-        for doc, label, n, counts, whole, x, y in zip(*asking, first.tolist(), last.tolist()):
-            room = (100 - percent) * (held[2][x:y] + n) // (100 + percent)
-            at = x + np.flatnonzero((np.abs(held[3][x:y] - counts).sum(1) <= room) & (held[1][x:y] != label))
+        for me, label, n, counts, whole, x, y in zip(node[len(held[0]) :], *asking[1:], first.tolist(), last.tolist()):
+            other = (held[1][x:y] != label) & (group[held_node[x:y]] != group[me])
+            at = x + np.flatnonzero(other)
+            room = (100 - percent) * (held[2][at] + n) // (100 + percent)
+            near = np.abs(held[3][at] - counts).sum(1) <= room
+            at, room = at[near], room[near]
             if len(whole) > RANGES:
-                at = at[near_enough([held[4][i] for i in at], [whole] * len(at), room[at - x])]
-            a.append(held[0][at])
-            b.append(np.full(len(at), doc))
+                at = at[near_enough([held[4][i] for i in at], [whole] * len(at), room)]
+            joined, one = np.unique(group[held_node[at]], return_index=True)
+            a.append(docs[held_node[at[one]]])
+            b.append(np.full(len(one), docs[me]))
+            group[np.isin(group, joined)] = group[me]
         return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     return sets.groupBy("grp", "blk", "qblk").applyInPandas(run, "a long, b long")

@@ -25,11 +25,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirestream.llm.common import components, run_starts, stage
+from hirestream.llm.common import components, run_starts, spanning, stage
 
 SEED = 42
 SEGMENT = 4
 CROWDED = 32
+#: Fingerprints whose cells one task lists, on average.
+DEALT = 20_000
 #: Hashes whose bits are counted at once.
 CHUNK = 1 << 16
 #: Masks of the bit count in fields of 2, 4 and 8 bits: (shift, mask of the fields).
@@ -106,7 +108,9 @@ def links_in_cells(fps: DataFrame, distance: int, segment: int) -> DataFrame:
     Rows with ``crowded`` name a member ``a`` of a cell with more than ``CROWDED``;
     the others are links that connect the members of a cell as all its links would.
     """
-    cells = fps.select("fp", F.explode(grid_cells(F.col("fp"), segment)).alias("cell"))
+    # a row becomes tens of rows here, so small tables are dealt out first
+    parts = max(1, -(-fps.count() // DEALT))
+    cells = fps.repartition(parts).select("fp", F.explode(grid_cells(F.col("fp"), segment)).alias("cell"))
     dealt = cells.repartition("cell").sortWithinPartitions("cell", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,21 +167,6 @@ def links_in_cells(fps: DataFrame, distance: int, segment: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long, crowded boolean")
 
 
-def spanning(pairs: np.ndarray, n: int) -> np.ndarray:
-    """Those of the pairs of numbers below ``n`` that join what is not joined before."""
-    up = list(range(n))
-    keep = []
-    for k, (x, y) in enumerate(pairs.tolist()):
-        while up[x] != x:
-            up[x] = x = up[up[x]]
-        while up[y] != y:
-            up[y] = y = up[up[y]]
-        if x != y:
-            up[max(x, y)] = min(x, y)
-            keep.append(k)
-    return pairs[keep]
-
-
 def links_by_bits(fps: DataFrame) -> DataFrame:
     """Links ``(a, b)`` that connect all fingerprints ``fps (fp)`` with at most two differing bits.
 

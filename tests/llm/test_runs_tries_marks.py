@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from hirestream.llm import prefix_trie as trie_module
 from hirestream.llm import simhash_grid
+from hirestream.llm.common import spanning
 from hirestream.llm.periodic_runs import Extension, SuffixTree, find_runs, maximal_runs, periodic_runs, stretches
 from hirestream.llm.prefix_trie import DoubleArray, ordered_digest, prefix_trie, turn_sequences
 from hirestream.llm.queries import QUERIES, with_borrowed_heads
-from hirestream.llm.simhash_grid import bit_counts, fingerprint, grid_cells, links_by_bits, simhash_classes, spanning
+from hirestream.llm.simhash_grid import bit_counts, fingerprint, grid_cells, links_by_bits, simhash_classes
 from tests.llm import plain
 
 SF = "/root/testdata/sf0.001"
