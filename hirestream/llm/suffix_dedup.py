@@ -85,10 +85,16 @@ def _sorted_runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.argsort(np.ascontiguousarray(rows["h"]))
     h = rows["h"][order]
     same = h[1:] == h[:-1]
+    del h
     # most anchors stand once; only the others need more than one key
     some = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
-    tied = rows[order[some]]
-    order[some] = order[some][np.lexsort((tied["start"], tied["doc"], tied["content"], tied["n"], tied["h"]))]
+    keys = "start", "doc", "content", "n", "h"
+    if 2 * len(some) > len(rows):
+        del order, same, some
+        order = np.lexsort(tuple(rows[k] for k in keys))
+    else:
+        at = order[some]
+        order[some] = at[np.lexsort(tuple(rows[k][at] for k in keys))]
     rows = rows[order]
     first = run_starts(rows["h"], rows["n"], rows["content"])
     return rows, first, np.repeat(rows["doc"][first], np.diff(np.r_[first, len(rows)]))
@@ -150,7 +156,10 @@ def _settle_runs(blobs: DataFrame) -> DataFrame:
         blobs = [unpacked(b, _RUN) for b in table.column("blob").drop_null().to_pylist()]
         if not blobs:
             return settled
-        rows, first, smallest = _sorted_runs(np.concatenate(blobs))
+        joined = np.concatenate(blobs)
+        blobs.clear()
+        rows, first, smallest = _sorted_runs(joined)
+        del joined
         later = rows["doc"] > smallest
         by_anchor = run_starts(rows["h"])
         kinds = np.diff(np.searchsorted(first, np.r_[by_anchor, len(rows)]))
