@@ -1,9 +1,11 @@
 """Language-model scoring by prediction by partial matching (PPM).
 
 Counts of a symbol after each of its contexts, up to ``ORDER`` bytes long, are
-summed over all training texts.  The trie of contexts sent to the tasks holds the
-most frequent nodes up to a fixed number; a node's total and its number of
-symbols still come from all counts.  A symbol is looked up in its longest context;
+summed over all training texts and stay in tables.  The trie of contexts sent to
+the tasks holds the most frequent nodes up to a fixed number, each with the exact
+figures of the whole training part.  A position that this trie cannot settle (a
+symbol or context that may only be too rare for it) meets its counts in joins, so
+the scores do not depend on the size of what is sent.  A symbol is looked up in its longest context;
 where it is missing, the escape probability (number of different symbols against
 all occurrences) is paid and the next shorter context is tried without the symbols
 of the longer one (symbol exclusion), down to all symbols being equally likely.
@@ -170,7 +172,7 @@ class Index:
 
 @dataclass
 class Trie:
-    """Costs (log10) of symbols in contexts, by order; see ``build_trie``."""
+    """Costs (log10) of symbols in contexts, by order; see ``train_trie``."""
 
     order: int
     pair_keys: list[np.ndarray]  # context and symbol
@@ -180,6 +182,8 @@ class Trie:
     escape: list[np.ndarray]  # log probability of leaving this context
     below_log: list[np.ndarray]  # denominator in the next shorter context without this one's symbols
     below_escape: list[np.ndarray]  # leaving that one as well
+    settled: list[np.ndarray]  # whether all symbols of the context are here
+    whole: bool  # whether every node of the training part is here
     uniform: float
 
     def prepare(self) -> "Scorer":
@@ -197,10 +201,10 @@ class Scorer:
             self.contexts[k].find(t.pair_keys[k] >> np.uint64(BITS))]
         self.full = full
 
-    def costs(self, keys: np.ndarray) -> np.ndarray:
-        """Log10 probability of each packed (context, symbol)."""
+    def costs(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 probability of each packed (context, symbol), and where the trie cannot settle it (0 there)."""
         t, k = self.t, self.t.order
-        out = np.zeros(len(keys))
+        out, open_ = np.zeros(len(keys)), np.zeros(len(keys), bool)
         at = self.pairs[k].find(keys)
         known = at >= 0
         out[known] = self.full[at[known]] if len(self.full) else 0.0
@@ -214,6 +218,12 @@ class Scorer:
             pair = self.pairs[j].find(key)
             context = self.contexts[j].find(key >> np.uint64(BITS))
             fresh, hit = child < 0, pair >= 0
+            if not t.whole:
+                # a missing symbol or context may be one that is too rare to be here
+                sure = hit.copy()
+                sure[context >= 0] |= t.settled[j][context[context >= 0]]
+                open_[left[~sure]] = True
+                left, child, pair, context, fresh, hit = (v[sure] for v in (left, child, pair, context, fresh, hit))
             cost = np.zeros(len(left))
             a = fresh & hit
             cost[a] = t.pair_log[j][pair[a]] - t.total_log[j][context[a]]
@@ -227,104 +237,150 @@ class Scorer:
             out[left] += cost
             left, child = left[~hit], context[~hit]
         out[left] += t.uniform
-        return out
+        out[open_] = 0.0
+        return out, open_
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        out = np.empty(len(texts))
+    def score(self, texts: list[bytes]) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
+        """Sums by text of what the trie settles; and per text the other positions as distinct keys with their numbers."""
+        out, rest = np.empty(len(texts)), []
         for a, b in _chunks(texts):
             keys, first = gram_keys(texts[a:b], self.t.order)
-            out[a:b] = np.add.reduceat(self.costs(keys), first)
-        return out
+            cost, open_ = self.costs(keys)
+            out[a:b] = np.add.reduceat(cost, first)
+            if open_.any():
+                places = np.flatnonzero(open_)
+                of = np.searchsorted(first, places, "right") - 1
+                cuts = run_starts(of)
+                for x, y in zip(cuts, np.r_[cuts[1:], len(of)]):
+                    rest.append((a + int(of[x]), *_sum_sorted(keys[places[x:y]])))
+        return out, rest
+
+
+def count_limit(sizes: dict[int, int], bound: int) -> float:
+    """The smallest count, in eighths of a doubling, that at most ``bound`` rows reach; ``sizes``: rows by step."""
+    held = 0
+    for s in sorted(sizes, reverse=True):
+        if held + sizes[s] > bound:
+            return 2 ** ((s + 1) / 8)
+        held += sizes[s]
+    return 1.0
+
+
+def count_steps(rows: DataFrame, n: str) -> dict[int, int]:
+    """Rows by eighths of a doubling of their count: a few hundred, whatever the corpus."""
+    return dict(rows.groupBy(F.floor(F.log2(n) * 8).cast("int").alias("s")).count().collect())
+
+
+def _low(key: str, symbols: int) -> Column:
+    """The last symbols of a packed key."""
+    return F.col(key).bitwiseAND(F.lit((1 << (BITS * symbols)) - 1))
 
 
-def build_trie(pairs: list[tuple[np.ndarray, np.ndarray]], contexts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Trie:
-    """From kept pairs ``(key, n)`` and contexts ``(key, total, symbols)`` of each order, shortest first.
+def context_tables(levels: list[DataFrame]) -> list[DataFrame]:
+    """Per order ``(key, total, symbols, least, most, total_log, escape, below_log, below_escape)`` of all contexts.
 
     Escape by method C: with q symbols seen in T occurrences, a symbol has
-    n / (T + q); what is left over, pruned symbols included, is the escape.  All
-    symbols kept in a context are kept in the next shorter one, too.
+    n / (T + q) and the escape q / (T + q).  In the next shorter context the symbols
+    of this one are left out; all of them occur there, too.
     """
-    order = len(pairs) - 1
-    t = Trie(order, [], [], [], [], [], [], [], 0.0)
-    log = lambda x: np.log10(np.maximum(x, 1e-300))
-    before: tuple[Index, np.ndarray, np.ndarray] | None = None  # shorter order: contexts, denominators, kept sums
-    before_pairs: tuple[Index, np.ndarray] | None = None
-    for j in range(order + 1):
-        (key, n), (ckey, total, symbols) = pairs[j], contexts[j]
-        key, ckey = key.astype(np.uint64), ckey.astype(np.uint64)
-        n, total, symbols = (v.astype(np.float64) for v in (n, total, symbols))
-        at = Index(ckey)
-        own = at.find(key >> np.uint64(BITS))
-        kept = np.bincount(own, n, len(ckey)) if len(key) else np.zeros(len(ckey))
-        all_ = total + symbols
-        t.pair_keys.append(key)
-        t.pair_log.append(log(n))
-        t.context_keys.append(ckey)
-        t.total_log.append(log(all_))
-        t.escape.append(log(1 - kept / all_))
-        below, leave = np.zeros(len(ckey)), np.zeros(len(ckey))
-        if before is not None and len(ckey):
-            up = before[0].find(ckey & np.uint64((1 << (BITS * (j - 1))) - 1)) if j > 1 else np.zeros(len(ckey), np.int64)
-            same = before_pairs[0].find(key & np.uint64((1 << (BITS * j)) - 1))
-            excluded = np.bincount(own, before_pairs[1][same], len(ckey))
-            count = np.bincount(own, minlength=len(ckey))
-            rest = before[1][up] - excluded - count
-            held = before[2][up] - excluded
-            below = log(np.where(rest > 0.5, rest, 1.0))
-            leave = np.where(rest > 0.5, log(1 - held / np.maximum(rest, 1.0)), 0.0)
-        t.below_log.append(below)
-        t.below_escape.append(leave)
-        before, before_pairs = (at, all_, kept), (Index(key), n)
-    seen = len(t.pair_keys[0])
-    t.uniform = -float(np.log10(max(1, SYMBOLS - seen)))
-    if not len(t.context_keys[0]):
-        t.uniform = -float(np.log10(SYMBOLS))
-    return t
-
-
-def train_trie(grams: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> Trie:
-    """The trie from summed grams ``(key, n)``; at most ``max_nodes`` (context, symbol) nodes come to the driver.
-
-    Nodes are kept by their count in the whole training part, with one limit for all orders.
+    tables: list[DataFrame] = []
+    for j, level in enumerate(levels):
+        pairs = level
+        if j:
+            shorter = levels[j - 1].select(F.col("key").alias("__k"), F.col("n").alias("n_below"))
+            pairs = level.join(shorter, _low("key", j) == F.col("__k"))
+        sums = [F.sum("n").alias("total"), F.count(F.lit(1)).alias("symbols"), F.min("n").alias("least"), F.max("n").alias("most")]
+        if j:
+            sums.append(F.sum("n_below").alias("excluded"))
+        found = pairs.groupBy(F.shiftright("key", BITS).alias("key")).agg(*sums)
+        below_log = below_escape = F.lit(0.0)
+        if j:
+            up = tables[-1].select(F.col("key").alias("__k"), (F.col("total") + F.col("symbols")).alias("all_up"),
+                                   F.col("symbols").alias("symbols_up"))
+            found = found.join(up, _low("key", j - 1) == F.col("__k"))
+            rest = F.col("all_up") - F.col("excluded") - F.col("symbols")
+            below_log = F.when(rest > 0, F.log10(rest)).otherwise(0.0)
+            more = F.col("symbols_up") - F.col("symbols")
+            below_escape = F.when(rest <= 0, 0.0).when(more > 0, F.log10(more) - F.log10(rest)).otherwise(-300.0)
+        all_ = F.log10(F.col("total") + F.col("symbols"))
+        tables.append(stage(found.select(
+            "key", "total", "symbols", "least", "most", all_.alias("total_log"), (F.log10("symbols") - all_).alias("escape"),
+            below_log.alias("below_log"), below_escape.alias("below_escape")), f"contexts-{j}"))
+    return tables
+
+
+def train_trie(grams: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> tuple[Trie, list[DataFrame], list[DataFrame]]:
+    """The trie from summed grams ``(key, n)``, and the tables of all pairs and contexts, shortest order first.
+
+    At most ``max_nodes`` (context, symbol) nodes come to the driver, kept by their
+    count in the whole training part, with one limit for all orders.
     """
     levels = [grams]
     for j in range(order - 1, -1, -1):
-        key = F.col("key").bitwiseAND(F.lit((1 << (BITS * (j + 1))) - 1)).alias("key")
-        levels.append(stage(levels[-1].groupBy(key).agg(F.sum("n").alias("n")), f"order-{j}"))
+        levels.append(stage(levels[-1].groupBy(_low("key", j + 1).alias("key")).agg(F.sum("n").alias("n")), f"order-{j}"))
     levels.reverse()
-    # eight steps per doubling: a few hundred rows, whatever the corpus
-    step = F.floor(F.log2("n") * 8).cast("int")
+    contexts = context_tables(levels)
     sizes: Counter[int] = Counter()
     for level in levels:
-        for s, c in level.groupBy(step.alias("s")).count().collect():
-            sizes[s] += c
-    held, limit = 0, 1.0
-    for s in sorted(sizes, reverse=True):
-        if held + sizes[s] > max_nodes:
-            limit = 2 ** ((s + 1) / 8)
-            break
-        held += sizes[s]
-    pairs, contexts = [], []
-    for level in levels:
-        kept = F.col("n") >= (limit - 1e-9)
-        p = level.where(kept).toArrow()
-        c = level.groupBy(F.shiftright("key", BITS).alias("key")).agg(
-            F.sum("n").alias("total"), F.count(F.lit(1)).alias("symbols"), F.max("n").alias("most")).where(
-            F.col("most") >= (limit - 1e-9)).drop("most").toArrow()
-        pairs.append((p["key"].to_numpy().astype(np.uint64), p["n"].to_numpy()))
-        contexts.append((c["key"].to_numpy().astype(np.uint64), c["total"].to_numpy(), c["symbols"].to_numpy()))
-    return build_trie(pairs, contexts)
+        sizes.update(count_steps(level, "n"))
+    limit = count_limit(sizes, max_nodes)
+    t = Trie(order, [], [], [], [], [], [], [], [], limit <= 1, 0.0)
+    for level, table in zip(levels, contexts):
+        p = level.where(F.col("n") >= (limit - 1e-9)).toArrow()
+        t.pair_keys.append(p["key"].to_numpy().astype(np.uint64))
+        t.pair_log.append(np.log10(p["n"].to_numpy().astype(np.float64)))
+        c = table.where(F.col("most") >= (limit - 1e-9)).select(
+            "key", "total_log", "escape", "below_log", "below_escape", (F.col("least") >= (limit - 1e-9)).alias("settled")).toArrow()
+        t.context_keys.append(c["key"].to_numpy().astype(np.uint64))
+        for name in ("total_log", "escape", "below_log", "below_escape", "settled"):
+            getattr(t, name).append(c[name].to_numpy())
+    top = contexts[0].select("symbols").first()
+    t.uniform = -float(np.log10(max(1, SYMBOLS - (top[0] if top else 0))))
+    return t, levels, contexts
+
+
+def rare_costs(keys: DataFrame, levels: list[DataFrame], contexts: list[DataFrame], uniform: float) -> DataFrame:
+    """``(key, cost)`` of distinct packed keys from the tables of all pairs and contexts.
+
+    A symbol seen in an order is seen in all shorter ones, and so is a context.  So
+    the longest order of either says what is paid: the escape of the longest
+    context, the escapes below it down to the symbol, and the symbol itself.
+    """
+    order = len(levels) - 1
+    wide = keys.select("key")
+    for j, (level, table) in enumerate(zip(levels, contexts)):
+        pair = level.select(F.col("key").alias("__p"), F.log10("n").alias(f"n{j}"))
+        context = table.select(F.col("key").alias("__c"), F.struct("total_log", "escape", "below_log", "below_escape").alias(f"c{j}"))
+        wide = wide.join(pair, _low("key", j + 1) == F.col("__p"), "left").drop("__p")
+        wide = wide.join(context, F.shiftright(_low("key", j + 1), BITS) == F.col("__c"), "left").drop("__c")
+    cost = F.lit(uniform)
+    for j in range(order + 1):
+        # paid from order j downwards: first where a longer context was left, then where this one is the longest
+        left = F.lit(0.0) if j == order else F.when(F.col(f"n{j}").isNotNull(), F.col(f"n{j}") - F.col(f"c{j + 1}.below_log")).otherwise(
+            F.col(f"c{j + 1}.below_escape") + F.col("from_left"))
+        fresh = F.when(F.col(f"n{j}").isNotNull(), F.col(f"n{j}") - F.col(f"c{j}.total_log")).when(
+            F.col(f"c{j}").isNotNull(), F.col(f"c{j}.escape") + F.col("from_left")).otherwise(F.col("from_fresh"))
+        if j == 0:
+            wide = wide.withColumns({"from_left": cost, "from_fresh": cost})
+        wide = wide.withColumns({"from_left": left, "from_fresh": fresh})
+    return wide.select("key", F.col("from_fresh").alias("cost"))
 
 
 def _scored(docs: DataFrame, trie: Trie, hot: dict[int, int], ends: int, tokens: int, distinct: int) -> DataFrame:
-    """Rows of documents (with what the hot words give) and of their other words: ``(rid, h, n, doc)``."""
+    """Rows of documents (with what trie and hot words give), of their other words and of their other grams: ``(rid, kind, h, n, doc)``."""
     sc = docs.sparkSession.sparkContext
     sent = sc.broadcast((trie, hot))
-    schema = "rid long, h long, n long, doc struct<doc_id: long, tokens: long, known: long, base: double, score: double>"
+    schema = "rid long, kind string, h long, n long, doc struct<doc_id: long, tokens: long, known: long, base: double, score: double>"
     doc_type = pa.struct([("doc_id", pa.int64()), ("tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()),
                           ("score", pa.float64())])
     under = float(np.log10(tokens + 0.5 * (distinct + 1)))
 
+    def rows(kind: str, rid: pa.Array, h: pa.Array, n: pa.Array | None, doc: pa.Array | None = None) -> pa.RecordBatch:
+        k = len(rid)
+        return pa.RecordBatch.from_arrays(
+            [rid, pa.array([kind] * k, pa.string()), h, pa.nulls(k, pa.int64()) if n is None else n,
+             pa.nulls(k, doc_type) if doc is None else doc], ["rid", "kind", "h", "n", "doc"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, counts = sent.value
         scorer = trie.prepare()
@@ -333,7 +389,7 @@ def _scored(docs: DataFrame, trie: Trie, hot: dict[int, int], ends: int, tokens:
         hashes: dict[bytes, int] = {}
         for batch in batches:
             texts = [lower(t) for t in batch.column(2).to_pylist()]
-            scores = scorer.score(texts)
+            scores, rest = scorer.score(texts)
             rids = batch.column(0).to_pylist()
             docs_, tail_rid, tail_h, tail_n = [], [], [], []
             for rid, doc, text, s in zip(rids, batch.column(1).to_pylist(), texts, scores.tolist()):
@@ -355,12 +411,12 @@ def _scored(docs: DataFrame, trie: Trie, hot: dict[int, int], ends: int, tokens:
                         base += c * v
                 docs_.append({"doc_id": doc, "tokens": len(words) + 1, "known": known, "base": base, "score": s})
             own = mix64(np.array(rids, np.int64).astype(np.uint64)).astype(np.int64)
-            k = len(docs_)
-            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(own), pa.nulls(k, pa.int64()),
-                                              pa.array(docs_, doc_type)], ["rid", "h", "n", "doc"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tail_rid, pa.int64()), pa.array(tail_h, pa.int64()), pa.array(tail_n, pa.int64()),
-                 pa.nulls(len(tail_h), doc_type)], ["rid", "h", "n", "doc"])
+            yield rows("d", pa.array(rids, pa.int64()), pa.array(own), None, pa.array(docs_, doc_type))
+            yield rows("w", pa.array(tail_rid, pa.int64()), pa.array(tail_h, pa.int64()), pa.array(tail_n, pa.int64()))
+            if rest:
+                of = np.concatenate([np.full(len(keys), rids[i], np.int64) for i, keys, _ in rest])
+                keys, n = (np.concatenate([r[j] for r in rest]).astype(np.int64) for j in (1, 2))
+                yield rows("g", pa.array(of), pa.array(keys), pa.array(n))
 
     return docs.select("rid", "doc_id", "text").mapInArrow(run, schema)
 
@@ -375,27 +431,40 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, max_nodes: i
     cost their end alone; without training rows all symbols are equally likely and
     the base score is 0.  Repeated rows are trained on and scored as often as they
     occur; a NULL id is scored.  Extra columns are ignored.  ``max_nodes`` and
-    ``hot_words`` bound what is sent to the tasks.
+    ``hot_words`` bound what is sent to the tasks and do not change the scores:
+    what is not sent is joined.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text)
     raw = training_counts(rows.where(learn), order)
     summed = stage(raw.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    trie = train_trie(summed.where("kind = 'g'").select("key", "n"), order, max_nodes)
+    trie, levels, contexts = train_trie(summed.where("kind = 'g'").select("key", "n"), order, max_nodes)
     words = stage(summed.where("kind = 'w'").select(F.col("key").alias("h"), F.col("n").alias("c")), "words")
     ends = summed.where("kind = 't'").agg(F.sum("n")).first()[0] or 0
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = total + ends, distinct + int(ends > 0)
-    top = words.orderBy(F.desc("c"), "h").limit(hot_words).toArrow()
+    top = words.where(F.col("c") >= count_limit(count_steps(words, "c"), hot_words) - 1e-9).toArrow()
     hot = dict(zip(top["h"].to_pylist(), top["c"].to_pylist()))
     scored = _scored(rows.withColumn("rid", F.monotonically_increasing_id()), trie, hot, ends, tokens, distinct)
     under = F.log10(F.lit(tokens + 0.5 * (distinct + 1)))
+    none = F.lit(None).cast("double")
+    if not trie.whole:
+        scored = stage(scored, "scored")
+        # each key is resolved once, then met by all texts that hold it
+        grams = scored.where("kind = 'g'")
+        costs = stage(rare_costs(grams.select(F.col("h").alias("key")).distinct(), levels, contexts, trie.uniform), "rare-costs")
+        rare = grams.join(costs.withColumnRenamed("key", "h"), "h").select("rid", "doc", none.alias("cost"),
+                                                                           F.lit(None).cast("long").alias("known"),
+                                                                           (F.col("n") * F.col("cost")).alias("rare"))
     # a row of a word can only match a word; the rows of documents carry hashes of their own
-    joined = scored.join(words, "h", "left")
+    joined = scored.where("kind <> 'g'").join(words, "h", "left")
     cost = F.when(F.col("n").isNotNull(), F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 0.5) - under))
     known = F.when(F.col("n").isNotNull() & F.col("c").isNotNull(), F.col("n"))
-    out = joined.groupBy("rid").agg(F.max("doc").alias("doc"), F.coalesce(F.sum(cost), F.lit(0.0)).alias("base"),
-                                    F.coalesce(F.sum(known), F.lit(0)).alias("known"))
+    joined = joined.select("rid", "doc", cost.alias("cost"), known.alias("known"), none.alias("rare"))
+    if not trie.whole:
+        joined = joined.unionByName(rare)
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    out = joined.groupBy("rid").agg(F.max("doc").alias("doc"), zero("cost"), zero("known"), zero("rare"))
     return out.select("doc.doc_id", F.col("doc.tokens").alias("n_tokens"), (F.col("doc.known") + F.col("known")).alias("n_known"),
-                      F.lit(tokens).cast("bigint").alias("train_tokens"), (F.col("doc.base") + F.col("base")).alias("base_score"),
-                      F.col("doc.score").alias("score"))
+                      F.lit(tokens).cast("bigint").alias("train_tokens"), (F.col("doc.base") + F.col("cost")).alias("base_score"),
+                      (F.col("doc.score") + F.col("rare")).alias("score"))

@@ -127,6 +127,41 @@ def unigram(rows, held_out) -> dict:
     return {d: (len(t), sum(counts[x] > 0 for x in t), n, sum(map(cost, t))) for d, t in tokens.items()}
 
 
+def ppm(rows, held_out, order: int) -> dict:
+    """Log10 probability of each text: contexts as tuples, escape by method C, symbols of the longer context excluded."""
+    spelled = lambda text: [256] * order + list((text or "").encode("utf-8").lower()) + [256]
+    counts: dict = {}
+    for d, text in rows:
+        if not held_out(d):
+            x = spelled(text)
+            for i in range(order, len(x)):
+                for j in range(order + 1):
+                    c = counts.setdefault(tuple(x[i - j : i]), {})
+                    c[x[i]] = c.get(x[i], 0) + 1
+    out = {}
+    for d, text in rows:
+        x, total = spelled(text), 0.0
+        for i in range(order, len(x)):
+            gone: set = set()
+            for j in range(order, -1, -1):
+                seen = counts.get(tuple(x[i - j : i]))
+                if seen is None:
+                    continue
+                left = {s: n for s, n in seen.items() if s not in gone}
+                if not left:
+                    continue
+                under = sum(left.values()) + len(left)
+                if x[i] in left:
+                    total += math.log10(left[x[i]] / under)
+                    break
+                total += math.log10(len(left) / under)
+                gone |= set(left)
+            else:
+                total -= math.log10(max(1, 257 - len(gone)))
+        out[d] = total
+    return out
+
+
 def fold(doc_id: int, parts: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % parts
 
