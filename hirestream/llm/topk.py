@@ -25,17 +25,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hirestream.llm.common import stage
+from hirestream.llm.common import run_starts, stage
 
 LISTS = 2
 QUERY_BLOCK = 2048
 ROWS = 4096
+#: Found entries a task holds beyond the best ones before it keeps the best of them.
+MERGE = 1 << 20
 #: Scaled components up to this size keep inner products exact in 64-bit floats and integers.
 LARGEST = 1 << 20
 
 
-def scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``(vec_id, v array<long>)``: components times ``scale``, rounded down; rows with NULL or non-finite parts are left out.
+def scaled(vectors: DataFrame, asks: Column, id_col: str, vector_col: str, scale: int) -> DataFrame:
+    """``(vec_id, v array<long>, asks)``: components times ``scale``, rounded down; rows with NULL or non-finite parts are left out.
 
     Components beyond the 64-bit range are clamped to it.
     """
@@ -44,7 +46,7 @@ def scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> Data
     whole = F.transform(v, lambda x: F.least(F.greatest(F.floor(scale * x.cast("double")).cast("double"), F.lit(-(2.0**62))),
                                              F.lit(2.0**62)).cast("bigint"))
     rows = vectors.where(F.col(f"`{id_col}`").isNotNull() & v.isNotNull()).where(F.coalesce(finite, F.lit(False)))
-    return rows.select(F.col(f"`{id_col}`").cast("bigint").alias("vec_id"), whole.alias("v"))
+    return rows.select(F.col(f"`{id_col}`").cast("bigint").alias("vec_id"), whole.alias("v"), F.coalesce(asks, F.lit(False)).alias("asks"))
 
 
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -108,8 +110,21 @@ def _local_best(vectors: DataFrame, block: Queries, k: int) -> DataFrame:
     return vectors.mapInArrow(run, "query long, list int, vec_id long, part long, least long")
 
 
-def _reaching(vectors: DataFrame, block: Queries, cut: dict[int, tuple[int, list[int]]]) -> DataFrame:
-    """Phases 2 and 3: every vector that reaches the share in some list, with its score.
+def _best(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ``(query, vec_id, score)`` the ``k`` best of each query, ties to the smaller id."""
+    q, ids, score = (np.concatenate([r[i] for r in rows]) for i in range(3))
+    order = np.lexsort((ids, -1 - score, q))
+    q, ids, score = q[order], ids[order], score[order]
+    first = run_starts(q)
+    rank = np.arange(len(q)) - np.repeat(first, np.diff(np.r_[first, len(q)]))
+    return q[rank < k], ids[rank < k], score[rank < k]
+
+
+def _reaching(vectors: DataFrame, block: Queries, cut: dict[int, tuple[int, list[int]]], k: int) -> DataFrame:
+    """Phases 2 and 3: the vectors that reach the share in some list, with their scores.
+
+    Of these a task gives those that reach the bound on the k-th best score, and at
+    most the ``k`` best of each query, so what is shuffled is bounded by tasks and queries.
 
     ``cut``: per query the bound above the lists' smallest parts, and these parts.
     A list is tested in whole numbers: lists * (part - least) >= bound.
@@ -119,6 +134,10 @@ def _reaching(vectors: DataFrame, block: Queries, cut: dict[int, tuple[int, list
         known = np.array([q in cut for q in block.ids.tolist()])
         bound = np.array([float(cut[q][0]) if q in cut else 0.0 for q in block.ids.tolist()])
         least = np.array([cut[q][1] if q in cut else [0] * m for q in block.ids.tolist()], np.float64).reshape(-1, m)
+        low, high = -(1 << 63), (1 << 63) - 1
+        reach = np.array([min(max(cut[q][0] + sum(cut[q][1]), low), high) if q in cut else low for q in block.ids.tolist()], np.int64)
+        best: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held = 0
         for ids, x in _chunks(batches, block.vectors.shape[1]):
             hit = np.repeat(~known[:, None], len(ids), 1)
             for j, dims in enumerate(block.parts):
@@ -134,8 +153,15 @@ def _reaching(vectors: DataFrame, block: Queries, cut: dict[int, tuple[int, list
             for at in range(0, len(a), 1 << 16):
                 s = slice(at, at + (1 << 16))
                 score[s] = _pairwise(block.vectors[a[s]], x[b[s]])
-            yield pa.RecordBatch.from_arrays([pa.array(block.ids[a]), pa.array(ids[b]), pa.array(score)],
-                                             ["query_id", "vec_id", "score"])
+            enough = score >= reach[a]
+            best.append((block.ids[a[enough]], ids[b[enough]], score[enough]))
+            held += int(enough.sum())
+            if held > MERGE:
+                best = [_best(best, k)]
+                held = 0
+        if best:
+            q, ids, score = _best(best, k)
+            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(ids), pa.array(score)], ["query_id", "vec_id", "score"])
 
     return vectors.mapInArrow(run, "query_id long, vec_id long, score long")
 
@@ -150,7 +176,8 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 10, lists: int = LISTS, sca
           query_block: int = QUERY_BLOCK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` best vectors of each query, all if there are fewer.
 
-    Queries are the rows for which ``asks`` holds; every other row is a candidate.
+    Queries are the rows for which ``asks``, a condition on any columns, holds;
+    every other row is a candidate.
     The score is the inner product of the scaled, rounded-down components; ties go
     to the smaller id.  Vectors that are NULL, hold a NULL or non-finite component
     or have no id take no part; vectors of another length than the query are no
@@ -158,9 +185,10 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 10, lists: int = LISTS, sca
     Extra columns are ignored.
     """
     spark = vectors.sparkSession
-    rows = scaled(vectors, id_col, vector_col, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
+    rows = scaled(vectors, asks, id_col, vector_col, scale).groupBy("vec_id").agg(F.min("v").alias("v"), F.max("asks").alias("asks"))
     rows = stage(rows, "vectors")
-    ask = rows.where(asks if id_col == "vec_id" else F.lit(True))
+    ask = rows.where("asks").drop("asks")
+    rows = rows.drop("asks")
     schema = "query_id long, rank int, vec_id long, score long"
     widths = [r[0] for r in ask.select(F.size("v")).distinct().collect()]
     found = []
@@ -200,4 +228,4 @@ def _search_block(rows: DataFrame, block: Queries, k: int) -> DataFrame:
     nth = above.withColumn("n", F.row_number().over(W.partitionBy("query").orderBy(F.desc("above"), "vec_id"))).where(
         F.col("n") == k).select("query", "above")
     cut = {r["query"]: (r["above"], lows[r["query"]]) for r in nth.collect()}
-    return _reaching(rows, block, cut)
+    return _reaching(rows, block, cut, k)

@@ -103,6 +103,8 @@ def test_top_k(spark):
     few = df.where("vec_id in (0, 1, 2)")
     assert {tuple(r) for r in top_k(few, F.col("vec_id") % 10 == 0).collect()} == _best(vectors[:3], 10)
     assert top_k(df.where("false"), F.lit(True)).count() == 0
+    named = df.withColumnsRenamed({"vec_id": "id"})
+    assert {tuple(r) for r in top_k(named, F.col("id") % 10 == 0, k=5, id_col="id").collect()} == got
     equal = spark.createDataFrame([(i, [1.0, 1.0]) for i in range(30)], "vec_id long, embedding array<double>")
     assert {tuple(r) for r in top_k(equal, F.col("vec_id") == 0, k=3).collect()} == {(0, 1, 1, 2 << 20), (0, 2, 2, 2 << 20), (0, 3, 3, 2 << 20)}
 
