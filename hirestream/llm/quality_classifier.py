@@ -166,10 +166,19 @@ def fit(rows: DataFrame, sample: int = 20_000, prior: float | None = None, seed:
     the model is the prior (a half if unknown).
     """
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    pick = lambda df: pd.DataFrame(
-        df.select(order.alias("o"), "doc_id", "x").orderBy("o", "doc_id").limit(sample).collect(), columns=["o", "doc_id", "x"])
-    p, u = (np.array(x.sort_values(["o", "doc_id"])["x"].tolist(), np.float64).reshape(-1, N_FEATURES)
-            for x in (pick(rows.where("positive")), pick(rows)))
+    n = rows.agg(F.count_if("positive"), F.count(F.lit(1))).first()
+
+    def pick(df: DataFrame, n: int) -> np.ndarray:
+        """The first rows by hash; a limit on the hash, from the count, keeps what a task sends near its share."""
+        share = 1.2 * sample / max(n, 1)
+        while True:
+            chosen = df if share >= 1 else df.where(order <= F.lit(int((share - 0.5) * 2.0**64)))
+            got = chosen.select(order.alias("o"), "doc_id", "x").orderBy("o", "doc_id").limit(sample).collect()
+            if share >= 1 or len(got) >= sample:
+                return np.array([r["x"] for r in got], np.float64).reshape(-1, N_FEATURES)
+            share *= 2
+
+    p, u = pick(rows.where("positive"), n[0]), pick(rows, n[1])
     if not len(p) or not len(u):
         at = 0.5 if prior is None else prior
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros((N_FEATURES, 1)), np.zeros(1), np.zeros(1),
