@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from hirestream.session import ensure_checkpoint_dir, stage
 
 __all__ = ["GAP", "WORD", "WordIds", "by_bucket", "columns", "components", "documents", "first_minimum", "fold", "let",
-           "mix64", "packed", "packed_texts", "run_starts", "spanning", "stage", "unpacked", "words_of"]
+           "mix64", "packed", "packed_texts", "run_starts", "spanning", "spare", "stage", "unpacked", "words_of"]
 
 #: White space between words, and a word (fixed by the contracts of the queries).
 GAP = r"[\x20\x09-\x0D]+"
@@ -33,6 +33,16 @@ def columns(df: DataFrame, *drop: str) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns if c not in drop]
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores ahead as keep it apart from the columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, whatever the optimiser inlines."""
     return F.element_at(F.transform(F.array(value), body), 1)

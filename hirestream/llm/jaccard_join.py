@@ -479,7 +479,17 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90, block: int =
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without those linked to a smaller id; rows without id stay."""
-    found = jaccard_classes(docs, k, percent, id_col=id_col, text_col=text_col)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti").select(*columns(docs))
+    """One row of each group of linked texts: the one with the smallest id, NULL ids last.
+
+    Each row is a document of its own here: of repeated rows, of rows that share an
+    id and of rows without id one stays where their texts are linked, and all stay
+    where they are not.  Texts without words are linked with nothing and stay.  An
+    empty table gives an empty table; extra columns pass through.
+    """
+    # written out once, so that a row keeps its number
+    keyed = stage(docs.select(F.struct(*columns(docs)).alias("row"), F.monotonically_increasing_id().alias("rid")), "numbered-rows")
+    doc, text = (F.col("row").getField(c) for c in (id_col, text_col))
+    found = jaccard_classes(keyed.select("rid", text.alias("text")), k, percent, id_col="rid", text_col="text")
+    ids = keyed.select("rid", F.struct(doc.isNull(), doc, "rid").alias("place"))
+    first = found.join(ids, found["doc_id"] == ids["rid"]).groupBy("component_id").agg(F.min_by("rid", "place").alias("rid"))
+    return keyed.join(first.select("rid"), "rid", "left_semi").select("row.*")

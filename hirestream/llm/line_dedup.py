@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirestream.llm.common import stage
+from hirestream.llm.common import spare, stage
 
 RUN_LINES = 3
 RUN_WORDS = 50
@@ -125,12 +125,14 @@ def dedup_lines(docs: DataFrame, run_lines: int = RUN_LINES, run_words: int = RU
     doc, text = F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(LAST)), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     row = F.xxhash64(text)
     runs = repeated_runs(docs.select(doc.alias("doc"), row.alias("row"), text.alias("text")), run_lines, run_words)
-    per = runs.groupBy("doc", "row").agg(F.collect_set(F.struct("line", "stop")).alias("__runs")).select(
-        F.col("doc").alias("__doc"), F.col("row").alias("__row"), "__runs")
-    joined = docs.join(per, (doc == F.col("__doc")) & (row == F.col("__row")), "left")
-    cut = without_runs(text, F.coalesce("__runs", F.array().cast("array<struct<line: int, stop: int>>")))
-    cut = joined.withColumn("__cut", cut)
-    kept = F.when(F.size("__cut.removed") == 0, F.col(f"`{text_col}`")).otherwise(F.col("__cut.text"))
-    info = F.struct("__cut.n_lines", F.size("__cut.removed").cast("bigint").alias("n_removed"), "__cut.removed").alias(out)
+    d, r, spans, done = spare(docs, "__doc", "__row", "__runs", "__cut")
+    per = runs.groupBy("doc", "row").agg(F.collect_set(F.struct("line", "stop")).alias(spans)).select(
+        F.col("doc").alias(d), F.col("row").alias(r), spans)
+    joined = docs.join(per, (doc == F.col(d)) & (row == F.col(r)), "left")
+    cut = without_runs(text, F.coalesce(spans, F.array().cast("array<struct<line: int, stop: int>>")))
+    cut = joined.withColumn(done, cut)
+    removed = F.size(f"{done}.removed")
+    kept = F.when(removed == 0, F.col(f"`{text_col}`")).otherwise(F.col(f"{done}.text"))
+    info = F.struct(f"{done}.n_lines", removed.cast("bigint").alias("n_removed"), f"{done}.removed").alias(out)
     cols = [kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != out]
     return cut.select(*cols, info)

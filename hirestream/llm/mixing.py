@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from hirestream.functions.keys import numbered
-from hirestream.llm.common import WORD, columns, stage
+from hirestream.llm.common import WORD, columns, spare, stage
 
 SEED = "mix-1"
 SALTS = 16
@@ -158,8 +158,9 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: floa
     plan = stage(plan, "mix-plan")
 
     mine = plan.select("__source", F.struct(*columns(plan, "__source")).alias("__plan"))
-    rows = docs.withColumns({"__size": size, "__key": key})
-    joined = _with_plan(rows, mine, source, salt(F.col("__key")))
+    # the row as one struct, so that no name of its columns meets one of these
+    rows = docs.select(F.struct(*columns(docs, out)).alias("__doc"), source.alias("__from"), size.alias("__size"), key.alias("__key"))
+    joined = _with_plan(rows, mine, F.col("__from"), salt(F.col("__key")))
     rank = F.struct(F.col("__key").alias("key"), F.col("__size").alias("size"))
     ahead_of_cut = (rank <= F.col("__plan.cut")) & ~rank.eqNullSafe(F.col("__plan.left_out"))
     # a text without words fills no part of an epoch
@@ -167,11 +168,12 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: floa
     mix = F.struct(F.col("__size").alias("size"), F.col("__plan.source_size").alias("source_size"),
                    F.col("__plan.target").alias("target"),
                    (F.col("__plan.whole") + part.cast("int")).alias("copies"))
-    return joined.select(*columns(docs, out), mix.alias(out))
+    return joined.select("__doc.*", mix.alias(out))
 
 
 def repeated(mixed: DataFrame, out: str = "mix") -> DataFrame:
     """The mix itself: every document as often as it is taken, without the struct ``out``."""
     times = F.sequence(F.lit(1), F.col(f"`{out}`.copies"))
     taken = mixed.where(F.col(f"`{out}`.copies") > 0)
-    return taken.select(*columns(mixed, out), F.explode(times).alias("__time")).drop("__time")
+    time = spare(mixed, "__time")[0]
+    return taken.select(*columns(mixed, out), F.explode(times).alias(time)).drop(time)

@@ -272,37 +272,35 @@ def test_shared_passages_at_two_places_of_a_text(spark):
     assert sorted((r.start, r.source_start, r.n_words) for r in found) == [(30, 0, 80), (310, 0, 80)]
 
 
-def test_scores(docs, rows):
+@pytest.mark.parametrize("max_nodes", [300, 20_000, 1 << 20])
+def test_scores(docs, rows, max_nodes):
+    """The same scores, whatever part of the trie is sent."""
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
-    got = {r.doc_id: r for r in score_texts(docs, ~held, max_nodes=3000, hot_words=20).collect()}
+    got = {r.doc_id: r for r in score_texts(docs, ~held, max_nodes=max_nodes, hot_words=20).collect()}
+    whole = plain.ppm(rows, lambda d: plain.fold(d, 5) == 1, ORDER)
     for d, (n, known, train, base) in plain.unigram(rows, lambda d: plain.fold(d, 5) == 1).items():
         r = got[d]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, train)
-        assert abs(r.base_score - base) < 1e-6 * max(1, abs(base)) and r.score < 0
+        assert abs(r.base_score - base) < 1e-6 * max(1, abs(base))
+        assert abs(r.score - whole[d]) < 1e-8 * max(1, abs(whole[d]))
 
 
-def test_trie_is_a_distribution():
-    import numpy as np
+def test_trie_is_a_distribution(spark):
+    from hirestream.llm.ppm import BITS, SYMBOLS, _sum_sorted, rare_costs, train_trie
 
-    from hirestream.llm.ppm import BITS, SYMBOLS, _sum_sorted, build_trie
-
-    texts = [b"the anon of the thing", b"the other anon", b"an onion"] * 3
-    level = [_sum_sorted(gram_keys(texts)[0])]
-    for j in range(ORDER - 1, -1, -1):
-        level.append(_sum_sorted(level[-1][0] & np.uint64((1 << (BITS * (j + 1))) - 1), level[-1][1]))
-    pairs, contexts = [], []
-    for k, n in reversed(level):
-        c, total = _sum_sorted(k >> np.uint64(BITS), n)
-        _, symbols = _sum_sorted(k >> np.uint64(BITS), np.ones(len(k), np.int64))
-        keep = n >= 6
-        has = np.isin(c, k[keep] >> np.uint64(BITS))
-        pairs.append((k[keep], n[keep]))
-        contexts.append((c[has], total[has], symbols[has]))
-    scorer = build_trie(pairs, contexts).prepare()
-    for text in (b"", b"the", b"the a", b"qqq", b"an on"):
-        context = gram_keys([text])[0][-1] >> np.uint64(BITS)
-        keys = (context << np.uint64(BITS)) | np.arange(SYMBOLS, dtype=np.uint64)
-        assert abs((10 ** scorer.costs(keys)).sum() - 1) < 1e-9
+    keys, n = _sum_sorted(gram_keys([b"the anon of the thing", b"the other anon", b"an onion"] * 3)[0])
+    grams = spark.createDataFrame(list(zip(keys.astype(np.int64).tolist(), n.tolist())), "key long, n long")
+    for max_nodes in (20, 1 << 20):
+        trie, levels, contexts = train_trie(grams, max_nodes=max_nodes)
+        assert sum(map(len, trie.pair_keys)) <= max_nodes
+        for text in (b"the", b"qqq", b"an on"):
+            context = gram_keys([text])[0][-1] >> np.uint64(BITS)
+            keys = (context << np.uint64(BITS)) | np.arange(SYMBOLS, dtype=np.uint64)
+            cost, open_ = trie.prepare().costs(keys)
+            asked = spark.createDataFrame([(int(x),) for x in keys[open_]], "key long")
+            rest = [r.cost for r in rare_costs(asked, levels, contexts, trie.uniform).collect()]
+            assert open_.any() == (max_nodes == 20) and len(rest) == open_.sum()
+            assert abs((10 ** cost[~open_]).sum() + sum(10**c for c in rest) - 1) < 1e-9
 
 
 def test_classifier_on_held_out_rows(spark):
@@ -331,3 +329,21 @@ def test_odd_tables(spark, docs, empty):
     scored = classify_quality(odd, labels, always).collect()
     assert len(scored) == n and all(0 <= r.score <= 1 for r in scored)
     assert len(classify_quality(odd, labels.where("false"), always).collect()) == n
+
+
+def test_columns_that_clash(spark, docs):
+    names = ["__doc", "__row", "__runs", "__cut", "__name", "__salt", "__null", "__plan_name", "__size", "__key", "__gone", "__time", "rid"]
+    odd = docs.where("doc_id < 40").withColumns({c: F.col("doc_id") for c in names})
+    n = odd.count()
+    for got in (dedup_lines(odd), mix_sources(odd), drop_near_duplicates(odd), repeated(mix_sources(odd))):
+        assert set(odd.columns) - {"mix"} <= set(got.columns) and all(r["__row"] == r["doc_id"] == r["rid"] for r in got.collect())
+    assert dedup_lines(odd).count() == mix_sources(odd).count() == n
+
+
+def test_one_row_of_repeated_rows_stays(spark):
+    rng = random.Random(3)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(7, a), (7, a), (9, a), (None, a), (None, b), (None, b), (3, c), (3, b + " end"), (4, None), (4, None), (5, ""), (5, "")]
+    got = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in got) == sorted(
+        [(7, a), (3, c), (3, b + " end"), (4, ""), (4, ""), (5, ""), (5, "")])
