@@ -37,7 +37,7 @@ EDGE = 256
 SYMBOLS = 257
 MAX_NODES = 1 << 20
 HOT_WORDS = 1 << 16
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 FLUSH = 2 << 20
 
 
@@ -99,13 +99,16 @@ def word_hash(word: bytes) -> int:
 def training_counts(docs: DataFrame, order: int) -> DataFrame:
     """``(kind, key, n)`` over rows ``(text)``: grams (g), words by hash (w) and texts (t), added up per part of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, words, texts_seen = np.empty(0, np.uint64), np.empty(0, np.int64), Counter(), 0
+        held, size, words, texts_seen = [], 0, Counter(), 0
 
         def rows(kind: str, k: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(k), kind, object), pa.string()), pa.array(k.astype(np.int64)), pa.array(n.astype(np.int64))],
+                [pa.repeat(kind, len(k)), pa.array(k.astype(np.int64)), pa.array(n.astype(np.int64))],
                 ["kind", "key", "n"])
 
+        def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+            return _sum_sorted(*(np.concatenate([p[i] for p in parts]) for i in range(2)))
+
         def flush_words() -> pa.RecordBatch:
             k = np.fromiter(map(word_hash, words), np.int64, len(words))
             n = np.fromiter(words.values(), np.int64, len(words))
@@ -120,12 +123,16 @@ def training_counts(docs: DataFrame, order: int) -> DataFrame:
                 if len(words) > FLUSH // 8:
                     yield flush_words()
             for a, b in _chunks(texts):
-                more, n = _sum_sorted(gram_keys(texts[a:b], order)[0])
-                keys, counts = _sum_sorted(np.r_[keys, more], np.r_[counts, n])
-                if len(keys) > FLUSH:
-                    yield rows("g", keys, counts)
-                    keys, counts = keys[:0], counts[:0]
-        yield rows("g", keys, counts)
+                held.append(_sum_sorted(gram_keys(texts[a:b], order)[0]))
+                size += len(held[-1][0])
+                if size > FLUSH:
+                    held = [merged(held)]
+                    size = len(held[0][0])
+                    if size > FLUSH // 2:
+                        yield rows("g", *held.pop())
+                        size = 0
+        if held:
+            yield rows("g", *merged(held))
         yield flush_words()
         yield rows("t", np.zeros(1), np.full(1, texts_seen))
 
@@ -378,7 +385,7 @@ def _scored(docs: DataFrame, trie: Trie, hot: dict[int, int], ends: int, tokens:
     def rows(kind: str, rid: pa.Array, h: pa.Array, n: pa.Array | None, doc: pa.Array | None = None) -> pa.RecordBatch:
         k = len(rid)
         return pa.RecordBatch.from_arrays(
-            [rid, pa.array([kind] * k, pa.string()), h, pa.nulls(k, pa.int64()) if n is None else n,
+            [rid, pa.repeat(kind, k), h, pa.nulls(k, pa.int64()) if n is None else n,
              pa.nulls(k, doc_type) if doc is None else doc], ["rid", "kind", "h", "n", "doc"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
