@@ -39,6 +39,8 @@ MAX_NODES = 1 << 20
 HOT_WORDS = 1 << 16
 CHUNK_BYTES = 1 << 20
 FLUSH = 2 << 20
+#: Texts a task works on at a time.
+SLICE = 512
 
 
 def lower(text: str) -> bytes:
@@ -91,6 +93,12 @@ def _chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         yield at, len(texts)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def word_hash(word: bytes) -> int:
     h = xxhash.xxh3_64_intdigest(word)
     return h - (1 << 64) if h >> 63 else h
@@ -115,7 +123,7 @@ def training_counts(docs: DataFrame, order: int) -> DataFrame:
             words.clear()
             return rows("w", k, n)
 
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [lower(t) for t in batch.column(0).to_pylist()]
             texts_seen += len(texts)
             for t in texts:
@@ -143,7 +151,7 @@ class Index:
     """Numbers of the given distinct keys, by open addressing."""
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, int(len(keys) * 3 - 1).bit_length()) if len(keys) else 4
+        bits = max(4, int(len(keys) * 2 - 1).bit_length()) if len(keys) else 4
         self.shift, size = np.uint64(64 - bits), 1 << bits
         self.keys, self.at = np.full(size, ~np.uint64(0)), np.full(size, -1, np.int32)
         self.mask = size - 1
@@ -394,7 +402,7 @@ def _scored(docs: DataFrame, trie: Trie, hot: dict[int, int], ends: int, tokens:
         hot_log = {h: (float(np.log10(c + 0.5)) - under) for h, c in counts.items()}
         end_log = float(np.log10(ends + 0.5)) - under
         hashes: dict[bytes, int] = {}
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [lower(t) for t in batch.column(2).to_pylist()]
             scores, rest = scorer.score(texts)
             rids = batch.column(0).to_pylist()
@@ -405,7 +413,7 @@ def _scored(docs: DataFrame, trie: Trie, hot: dict[int, int], ends: int, tokens:
                 for w, c in Counter(words).items():
                     h = hashes.get(w)
                     if h is None:
-                        if len(hashes) > 300_000:
+                        if len(hashes) > 100_000:
                             hashes.clear()
                         h = hashes[w] = word_hash(w)
                     v = hot_log.get(h)
