@@ -29,8 +29,10 @@ from hirestream.llm.common import (
 ANCHOR = 16
 SHALLOW = 32
 #: Runs that a task merges at a time, and windows that it sorts at a time.
-PART_RUNS = 500_000
+PART_RUNS = 250_000
 PART_WINDOWS = 200_000
+#: Bytes of text for each bucket of runs, one group of a task.
+BUCKET_BYTES = 8 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _PAIRS = {1 << i: mix64(np.array([i + 257], np.uint64))[0] | np.uint64(1) for i in range(5)}
@@ -383,7 +385,8 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc, start, n)``: the ``length``-byte windows from ``start`` on, ``n`` of them, that a smaller document has too."""
     spark = docs.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     texts = _texts(docs, id_col, text_col).where("doc is not null")
     settled = stage(_settle_runs(_find_runs(texts, length, buckets)), "settled")
     asked = settled.where("off >= 0").groupBy("doc").agg(F.collect_list(F.struct("start", "n", "off")).alias("runs"))
