@@ -762,3 +762,11 @@ add("daily_run_from_pages", EV, f"""with {PAGERUN} select (select count(*) from
  {CNT('create')} created, {CNT('update')} updated, {CNT('unpublish')} expired, {CNT('delete')} deleted, (select count(*) from enriched) - (select count(*) from pb) skipped, (select count(*) from la where row_error is not null) errors""")
 add("daily_run_page_changes", EV, f"with {PAGERUN} select item_id, action from ch")
 add("daily_run_failed_rows", "listings", f"with {LANDED} select ord, source, company, title, source_url, row_error from la where row_error is not null")
+EARLY = "(ord // 1048576) % 2 = 0"
+add("ingest_distinct", "listings", f"""with {LANDED}, early as (select * from landed where {EARLY}),
+ {DEDUP.replace('from listings', 'from early').replace('w01', 'e01').replace('w02', 'e02')}, {DEDUP.replace('from listings', 'from landed')},
+ known as (select {fp()} k from e02 union select {canon('source_url')} from e02)
+ select ord, source, source_url, row_error, 0 batch_id from e02
+ union all select ord, source, source_url, row_error, 1 from w02 where {fp()} not in (select k from known) and {canon('source_url')} not in (select k from known where k <> '')
+ union all select ord, source, source_url, row_error, 0 from la where row_error is not null and {EARLY}
+ union all select ord, source, source_url, row_error, 1 from la where row_error is not null""")

@@ -1315,3 +1315,17 @@ def daily_run_page_changes(c: Ctx) -> DataFrame:
 @query
 def daily_run_failed_rows(c: Ctx) -> DataFrame:
     return landed.failed_rows(landed.listings_from_pages(_landed_pages(c), run_ts(), ["greenhouse", "lever", "workable"]))
+
+
+@query
+def ingest_distinct(c: Ctx) -> DataFrame:
+    """Pages landed in two parts, of which the second has those of the first again: a posting comes out once."""
+    from hirestream.streaming.incremental import ingest_distinct as ingest
+
+    landing, listings, keys, state = (scratch_path(c.spark, x) for x in ("landing", "distinct", "posting-keys", "ingest-state"))
+    pages = _landed_pages(c)
+    feeds = {"greenhouse": feeds_json.greenhouse, "workable": lambda p: feeds_json.workable(p, run_ts()), "lever": lambda p: feeds_json.lever(p, run_ts())}
+    for part in (pages.where("ord % 2 = 0"), pages):
+        part.write.mode("append").partitionBy("source").parquet(landing)
+        ingest(c.spark, landing, listings, keys, state, feeds)
+    return c.spark.read.parquet(listings).select("ord", "source", "source_url", "row_error", "batch_id")

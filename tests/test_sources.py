@@ -2,13 +2,15 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from hirestream import config as C
 from hirestream import schemas as S
 from hirestream.operators.filters import provider_subset, split_row_errors
 from hirestream.sources import config_files, feeds_html, feeds_json, pages, tables
-from hirestream.streaming.incremental import ingest_available
+from hirestream.streaming import incremental
+from hirestream.streaming.incremental import ingest_available, ingest_distinct
 
 
 def run_ts():
@@ -150,3 +152,48 @@ def test_incremental_ingestion(spark, tmp_path):
     land_page(2, "greenhouse", '{"jobs":[{"title":"D"}]}')
     ingest_available(spark, land, out, cp, feeds)
     assert sorted(r.title for r in spark.read.parquet(out).collect()) == ["A", "B", "C", "D"]
+
+
+def jobs(*rows):
+    """A page of greenhouse: (title, place, URL) each."""
+    items = [{"title": t, "location": {"name": p}, "absolute_url": u} for t, p, u in rows]
+    return json.dumps({"jobs": items})
+
+
+def test_postings_come_out_once(spark, tmp_path, monkeypatch):
+    land, out, state, cp = (str(tmp_path / n) for n in ("land", "out", "state", "cp"))
+    feeds = {"greenhouse": feeds_json.greenhouse, "lever": lambda p: feeds_json.lever(p, run_ts())}
+
+    def land_page(i, source, body):
+        payload(spark, [(source, "b", "Co", "u", body, i)]).write.mode("append").parquet(land)
+
+    def run():
+        ingest_distinct(spark, land, out, state, cp, feeds, compact_every=2)
+        rows = spark.read.parquet(out).collect()
+        return sorted((r.title, r.location, r.batch_id) for r in rows)
+
+    land_page(0, "greenhouse", jobs(("A", "X", "https://h.com/1"), ("B", "Y", "https://h.com/2"), ("B", "Z", "https://h.com/2?utm_source=q")))
+    first = [("A", "X", 0), ("B", "Y", 0)]
+    assert run() == first
+    assert run() == first  # nothing landed
+    # again by fingerprint with a new URL, again by URL with a new title, and two new ones without URL
+    land_page(1, "greenhouse", jobs(("a", "x", "https://h.com/9"), ("C", "Y", "https://h.com/2/"), ("D", "Y", ""), ("E", "Y", "")))
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    keys = iter([incremental.posting_keys, fails])
+    with monkeypatch.context() as m:  # the rows are written, their keys are not
+        m.setattr(incremental, "posting_keys", lambda *a: next(keys)(*a))
+        with pytest.raises(Exception):
+            run()
+    with monkeypatch.context() as m:  # everything is written, the batch is not committed
+        m.setattr(incremental, "remove_stages", fails)
+        with pytest.raises(Exception):
+            run()
+    second = first + [("D", "Y", 1), ("E", "Y", 1)]
+    assert run() == second
+    # the keys come from the compacted folder; C has not come out yet, only a row of that name with the URL of B
+    land_page(2, "lever", json.dumps([{"text": "D", "categories": {"location": "Y"}}, {"text": "C", "categories": {"location": "Y"}}]))
+    assert run() == second[:2] + [("C", "Y", 2)] + second[2:]
+    assert [p.name for p in (tmp_path / "state" / "all").iterdir()] == ["batch_id=1"]
