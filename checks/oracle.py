@@ -464,11 +464,16 @@ POSTED = "replace(replace(date_posted, 'T', ' '), 'Z', '')::timestamp"
 add("set_expiration", "listings", f"select ord, least({RUN} + interval 7 day, {POSTED} - interval 1 day * (ord % 90)::int + interval 60 day) expiration_date from listings")
 add("expire_items", "published", f"select id item_id, 'unpublish' as action from published where pipeline_managed and expiration_date < {RUN}")
 add("delete_items", "published", f"select id item_id, 'delete' as action from published where pipeline_managed and expiration_date < {RUN} - interval 30 day")
-add("apply_change_set", "listings published", f"""with b as (select * replace (concat(source_url, 'x') as source_url), ord seq_a, ord seq_b from listings), {matched('b')},
+APPLIED = f"""b as (select * replace (concat(source_url, 'x') as source_url), ord seq_a, ord seq_b from listings), {matched('b')},
 lst as (select item_id, max(ord) ord from matched group by 1),
 fresh as (select item_id id, l.source_url, concat('s', l.ord) slug, least({RUN} + interval 7 day, {POSTED} + interval 60 day) expiration_date, true pipeline_managed from lst join listings l using (ord)),
-al as (select id, source_url, slug, expiration_date, pipeline_managed from published where id not in (select id from fresh) union all select * from fresh)
+al as (select id, source_url, slug, expiration_date, pipeline_managed from published where id not in (select id from fresh) union all select * from fresh)"""
+add("apply_change_set", "listings published", f"""with {APPLIED}
 select id, source_url, slug, expiration_date, not (pipeline_managed and expiration_date < {RUN}) live from al where not (pipeline_managed and expiration_date < {RUN} - interval 30 day)""")
+# what has gone after the first run is gone in the second, too; live is as of the second
+add("update_snapshot", "listings published", f"""with {APPLIED}
+select id, source_url, slug, expiration_date, not (pipeline_managed and expiration_date < {RUN} + interval 8 day) live from al
+where not (pipeline_managed and expiration_date < {RUN} + interval 8 day - interval 30 day)""")
 add("publish_batches", "listings", "select concat('it', ord) item_id, case when ord % 3 = 0 then 'create' else 'update' end as action, row_number() over (order by ord) as position, floor((row_number() over (order by ord) - 1) / 100)::bigint batch_no from listings")
 MONEY = "case when {0} is null then '?' else format('{{:,}}', {0}::bigint) end"
 add("dry_run_preview", "listings", f"""select ord, ord % 100 quality_score, concat(title, ' at ', company, ' — ', location, case when ord % 100 >= 70 then ' ★ FEATURED' else '' end) headline,

@@ -18,7 +18,7 @@ from hirestream.operators import slugs
 from hirestream.plans import landed
 from hirestream.plans import listings as plan
 from hirestream.session import scratch_path, stage
-from hirestream.sources import discovery, feeds_html, feeds_json, feeds_xml, pages as page_ops, search_boards, tables
+from hirestream.sources import discovery, feeds_html, feeds_json, feeds_xml, pages as page_ops, search_boards, snapshot, tables
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
@@ -507,9 +507,8 @@ def delete_items(c: Ctx) -> DataFrame:
     return publish.delete_items(c.published(), run_ts())
 
 
-@query
-def apply_change_set(c: Ctx) -> DataFrame:
-    items = c.published().drop("item_ord")
+def _upserts(c: Ctx) -> DataFrame:
+    """All listings as changes of the published items."""
     batch = dedup.with_seq(c.view("listings"))
     batch = batch.withColumns(
         {"slug": F.concat(F.lit("s"), "ord"), "pipeline_managed": F.lit(True),
@@ -518,10 +517,26 @@ def apply_change_set(c: Ctx) -> DataFrame:
     acts = publish.match_published(
         batch.withColumn("source_url", F.concat("source_url", F.lit("x"))), c.published()
     ).select("ord", "item_id")
-    out = publish.apply_change_set(items, batch.join(acts, "ord"), run_ts())
+    return batch.join(acts, "ord")
+
+
+@query
+def apply_change_set(c: Ctx) -> DataFrame:
+    out = publish.apply_change_set(c.published().drop("item_ord"), _upserts(c), run_ts())
     return out.select("id", "source_url", "slug", "expiration_date", "live")
 
 
+@query
+def update_snapshot(c: Ctx) -> DataFrame:
+    """The same change set on a snapshot in buckets, then a day later one without changes, for expiry alone."""
+    root = scratch_path(c.spark, "buckets")
+    snapshot.create_snapshot(c.published().drop("item_ord"), root)
+    changes = stage(_upserts(c), "upserts")
+    snapshot.update_snapshot(c.spark, root, changes, run_ts())
+    snapshot.update_snapshot(c.spark, root, changes.limit(0), run_ts() + F.expr("interval 8 days"))
+    return snapshot.read_snapshot(c.spark, root).select("id", "source_url", "slug", "expiration_date", "live")
+
+
 @query
 def publish_batches(c: Ctx) -> DataFrame:
     batch = dedup.with_seq(c.view("listings")).select(
