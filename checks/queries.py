@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 
@@ -18,7 +19,7 @@ from hirestream.operators import slugs
 from hirestream.plans import landed
 from hirestream.plans import listings as plan
 from hirestream.session import scratch_path, stage
-from hirestream.sources import discovery, feeds_html, feeds_json, feeds_xml, pages as page_ops, search_boards, snapshot, tables
+from hirestream.sources import config_files, discovery, feeds_html, feeds_json, feeds_xml, pages as page_ops, search_boards, snapshot, tables
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
@@ -867,11 +868,14 @@ def snapshot_round_trip(c: Ctx) -> DataFrame:
 
 @query
 def config_lists(c: Ctx) -> DataFrame:
-    """How many listings carry each title keyword."""
-    rows = ", ".join(
-        f"named_struct('category', {X.quoted(k)}, 'keyword', {X.quoted(w)})" for k, ws in C.ROLE_TITLE_KEYWORDS.items() for w in ws
-    )
-    found = F.filter(F.expr(f"array({rows})"), lambda k: F.contains(F.lower("title"), k["keyword"]))
+    """How many listings carry each title keyword of a configuration file."""
+    path = scratch_path(c.spark, "keywords")
+    lists = {config_files.TITLE_LISTS[k]: ws for k, ws in C.ROLE_TITLE_KEYWORDS.items()}
+    made = F.lit(json.dumps({"titleKeywords": lists, "descriptionKeywords": C.ROLE_DESCRIPTION_KEYWORDS}))
+    c.spark.range(1).coalesce(1).select(made.alias("value")).write.text(path)
+    titles, _ = config_files.role_keywords(c.spark, path)
+    keywords = [F.struct(F.lit(k).alias("category"), F.lit(w).alias("keyword")) for k, ws in titles.items() for w in ws]
+    found = F.filter(F.array(*keywords), lambda k: F.contains(F.lower("title"), k["keyword"]))
     return c.view("listings").select(F.inline(found)).groupBy("category", "keyword").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -102,7 +102,9 @@ def match_published(batch: DataFrame, published: DataFrame, merge_in_batch: bool
     thin = keyed.select(
         "ord", place.alias("place"), "fp", F.coalesce("source_url", F.lit("")).alias("source_url")
     )
-    thin = thin.join(by_url, "source_url", "left").join(by_fp, "fp", "left")
+    # rows without URL match none; they stay where they are instead of meeting in one task
+    blank = thin.where("source_url = ''").withColumn("url_id", F.lit(None).cast(by_url.schema["url_id"].dataType))
+    thin = thin.where("source_url <> ''").join(by_url, "source_url", "left").unionByName(blank).join(by_fp, "fp", "left")
     # a few narrow columns that every step below reads
     thin = stage(thin.withColumn("n0", F.coalesce("n0", F.lit(0))), "match")
     open_rows = thin.where("url_id is null")

@@ -15,6 +15,8 @@ from pyspark.sql.utils import AnalysisException
 from hirestream import config as C
 
 _LISTS = "map<string, array<string>>"
+#: Role category -> name of its list in the file.
+TITLE_LISTS = {"project-management": "projectManagement", "resource-management": "resourceManagement", "operations": "operations"}
 
 
 def _load(spark: SparkSession, path: str, schema: str):
@@ -34,9 +36,7 @@ def role_keywords(spark: SparkSession, path: str) -> tuple[dict[str, list[str]],
     if not v or not v["titleKeywords"]:
         return {}, []
     t = v["titleKeywords"]
-    names = {"project-management": "projectManagement", "resource-management": "resourceManagement",
-             "operations": "operations"}
-    return {k: list(t.get(n) or []) for k, n in names.items()}, list(v["descriptionKeywords"] or [])
+    return {k: list(t.get(n) or []) for k, n in TITLE_LISTS.items()}, list(v["descriptionKeywords"] or [])
 
 
 def tool_names(spark: SparkSession, path: str) -> list[str]:
