@@ -144,28 +144,40 @@ def search_page_frontier(seeds: DataFrame, links: DataFrame) -> DataFrame:
     host are not followed.  Boards with the same seeds are one crawl, handed to its
     boards at the end.  Breadth first and semi-naive: a round follows the links of
     the last level only, and writes its level into one growing table, which is the
-    visited set; plans don't grow, and there are as many rounds as levels.
+    visited set; plans don't grow, and there are as many rounds as levels.  A row is
+    a page and the crawls of a block of 64 that reach it, as bits, so crawls over the
+    same pages go together (multi-source breadth-first search, PVLDB 2014).
     """
     spark = seeds.sparkSession
     edges = links.where(hostname(F.col("page")) == hostname(F.col("link"))).select("page", "link").distinct()
     edges = stage(edges, "page-links")
     start = seeds.groupBy("board").agg(F.array_sort(F.collect_set("page")).alias("pages"))
-    boards = stage(start.withColumn("crawl", F.md5(F.to_json("pages").cast("binary"))), "crawls")
-    reached = boards.select("crawl", F.explode("pages").alias("page")).distinct()
+    boards = stage(start.withColumn("key", F.md5(F.to_json("pages").cast("binary"))), "boards")
+    crawls = boards.groupBy("key").agg(F.first("pages").alias("pages")).repartitionByRange(F.get("pages", F.lit(0)))
+    crawls = stage(crawls.withColumn("crawl", F.monotonically_increasing_id()), "crawls")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("crawl").bitwiseAND(F.lit(63)).cast("int"))
+    reached = crawls.select(F.shiftright("crawl", 6).alias("block"), F.explode("pages").alias("page"), bit.alias("bits"))
+    reached = reached.groupBy("block", "page").agg(F.bit_or("bits").alias("bits"))
     table = scratch_path(spark, "visited-pages")
     STAGED.append(table)
-    schema, level = "crawl string, page string", 0
+    schema, level = "block bigint, page string, bits bigint", 0
+    none = F.lit(0).cast("bigint")
     while True:
-        reached.select("crawl", "page").write.parquet(f"{table}/level={level}")
+        reached.select("block", "page", "bits").write.parquet(f"{table}/level={level}")
         last = spark.read.schema(schema).parquet(f"{table}/level={level}")
         if last.isEmpty():
             break
         level += 1
         visited = spark.read.schema(schema).parquet(*(f"{table}/level={i}" for i in range(level)))
-        found = last.join(edges, "page").select("crawl", F.col("link").alias("page")).distinct()
-        reached = found.join(visited, ["crawl", "page"], "left_anti")
+        found = last.join(edges, "page").select("block", F.col("link").alias("page"), F.col("bits").alias("new"), none.alias("seen"))
+        both = found.unionByName(visited.select("block", "page", none.alias("new"), F.col("bits").alias("seen")))
+        both = both.groupBy("block", "page").agg(F.bit_or("new").alias("new"), F.bit_or("seen").alias("seen"))
+        reached = both.select("block", "page", F.col("new").bitwiseAND(F.bitwise_not("seen")).alias("bits")).where("bits <> 0")
     visited = spark.read.schema(f"{schema}, level int").parquet(table)
-    return boards.select("board", "crawl").join(visited, "crawl").select("board", "page", "level")
+    held = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftrightunsigned", F.col("bits"), i).bitwiseAND(F.lit(1)) == 1)
+    each = visited.select("block", "page", "level", F.explode(held).alias("i"))
+    each = each.select((F.shiftleft("block", 6) + F.col("i")).alias("crawl"), "page", "level")
+    return boards.join(crawls.select("key", "crawl"), "key").select("board", "crawl").join(each, "crawl").select("board", "page", "level")
 
 
 def detail_links(frontier: DataFrame, details: DataFrame, seeds: DataFrame) -> DataFrame:

@@ -314,6 +314,32 @@ def test_frontier_and_details(spark):
         ("x", "https://b.icims.com/jobs/7/t/job"), ("y", "https://b.icims.com/jobs/9/title/job")]
 
 
+def test_frontier_of_many_crawls(spark):
+    u = lambda n: f"https://b.icims.com/jobs/search?pr={n}"
+    rng = random.Random(5)
+    pairs = {(rng.randrange(150), rng.randrange(150)) for _ in range(260)}
+    seeds = [(b, n) for b in range(140) for n in {b % 120, b % 7}]
+    want = {}
+    for b in range(140):
+        level, last = 0, {n for x, n in seeds if x == b}
+        while last:
+            want |= {(b, u(n)): level for n in last}
+            last = {t for f, t in pairs if f in last and (b, u(t)) not in want}
+            level += 1
+    found = pages.search_page_frontier(
+        spark.createDataFrame([(b, u(n)) for b, n in seeds], "board long, page string"),
+        spark.createDataFrame([(u(a), u(b)) for a, b in pairs], "page string, link string")).collect()
+    assert len(found) == len(want) and {(r.board, r.page): r.level for r in found} == want
+
+
+def test_frontier_query_follows_links_over_the_whole_table(spark, tmp_path):
+    from checks.queries import QUERIES
+
+    spark.range(1, 131).withColumnRenamed("id", "page_id").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.board: r.pages for r in QUERIES["search_page_frontier"](spark, str(tmp_path)).collect()}
+    assert got == {b: 130 for b in (*range(1, 10), 107)}
+
+
 def test_jsonld_search_order(spark):
     docs = {
         1: '<script type="application/ld+json">{"a":{"@type":"JobPosting","title":"child"},"@graph":[{"@type":["X","jobposting"],"title":"graph"}]}</script>',
