@@ -73,9 +73,10 @@ def with_posting(pages: DataFrame) -> DataFrame:
     found = computed(found, {"__at": F.coalesce(rooted, F.lit(0)).cast("int")})
     before = F.when(F.col("__at") > 0, F.slice("__docs", 1, F.col("__at") - 1)).otherwise(F.col("__docs"))
     walk = F.pandas_udf(_first_posting, "string")
-    nested = walk(F.when(F.size(before) > 0, before))
+    walked = found.withColumn("__nested", walk(F.when(F.size(before) > 0, before)))
     root = F.when(F.col("__at") > 0, F.get("__docs", F.col("__at") - 1))
-    return found.withColumn("posting", F.coalesce(nested, root)).drop("__docs", "__at")
+    # computed, so that a filter on the posting does not walk the trees a second time
+    return computed(walked, {"posting": F.coalesce("__nested", root)}).drop("__docs", "__at", "__nested")
 
 
 def extract_jsonld_postings(pages: DataFrame, key: str = "page_id") -> DataFrame:

@@ -106,3 +106,11 @@ def test_failed_rows_of_landed_pages_are_put_aside(spark):
     rows = landed.listings_from_pages(pages, F.current_timestamp(), ["lever", "workable", "nobody"])
     assert [r.title for r in rows.where("row_error is null").collect()] == ["B"]
     assert [(r.source_url, r.row_error) for r in landed.failed_rows(rows).collect()] == [("u1", "bad_date")]
+
+
+def test_posting_is_walked_once(spark):
+    from hirestream.sources import feeds_html
+
+    pages = spark.range(5).select(
+        F.col("id").alias("ord"), F.lit("c").alias("company"), F.lit("https://example.com/j").alias("url"), F.lit("<html></html>").alias("body"))
+    assert plan(feeds_html.icims(pages, F.current_timestamp())).split("== Physical Plan ==")[-1].count("ArrowEvalPython") == 1
