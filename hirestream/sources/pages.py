@@ -218,4 +218,6 @@ def embedded_json(pages: DataFrame, marker: str, opening: str, out: str) -> Data
     start = F.when(F.regexp_like("html", F.lit(marker)), F.nullif(F.length(before), F.lit(0)))
     hit = computed(pages, {"__start": start})
     cut = F.pandas_udf(_json_at, "string")
-    return hit.withColumn(out, cut(F.when(F.col("__start").isNotNull(), F.col("html")), "__start")).drop("__start")
+    value = hit.withColumn("__value", cut(F.when(F.col("__start").isNotNull(), F.col("html")), "__start"))
+    # computed, so that filters on the value do not cut it out again
+    return computed(value, {out: F.col("__value")}).drop("__start", "__value")

@@ -114,3 +114,11 @@ def test_posting_is_walked_once(spark):
     pages = spark.range(5).select(
         F.col("id").alias("ord"), F.lit("c").alias("company"), F.lit("https://example.com/j").alias("url"), F.lit("<html></html>").alias("body"))
     assert plan(feeds_html.icims(pages, F.current_timestamp())).split("== Physical Plan ==")[-1].count("ArrowEvalPython") == 1
+
+
+def test_embedded_value_is_cut_once(spark):
+    from hirestream.sources.pages import embedded_json
+
+    pages = spark.range(5).select(F.col("id").alias("ord"), F.concat(F.lit("window.pageData = {"), "id", F.lit("}")).alias("html"))
+    cut = embedded_json(pages, r"window\.pageData", "{", "block").where("length(block) > 2")
+    assert plan(cut).split("== Physical Plan ==")[-1].count("ArrowEvalPython") == 1
