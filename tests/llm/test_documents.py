@@ -71,6 +71,23 @@ def test_jaccard(docs, rows, k, percent, block):
     assert got == plain.jaccard_classes(rows, k, percent)
 
 
+def test_jaccard_signatures_go_in_parts(rows):
+    """pipeline: a task holds and sends few signatures at a time, however many rows its batch has; the links stay."""
+    import pyarrow as pa
+
+    from hirestream.llm.jaccard_join import _tie_batches
+
+    named = [(r[0], r[1] or "") for r in rows if r[0] is not None] if not isinstance(rows, dict) else [
+        (i, t or "") for i, t in rows.items() if i is not None]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in named], pa.int64()), pa.array([t for _, t in named], pa.string())], ["doc", "text"])
+    whole, parts = (list(_tie_batches(iter([batch]), 3, 90, part)) for part in (1 << 40, 500))
+    seen = lambda found: {(k, a) for b in found for k, a in zip(b.column(0).to_pylist(), b.column(2).to_pylist()) if k == "d"}
+    assert seen(whole) == seen(parts)
+    of = lambda found: [b.num_rows for b in found if b.num_rows and b.column(0)[0].as_py() == "s"]
+    longest = max(sum(b.num_rows for b in _tie_batches(iter([batch.slice(i, 1)]), 3, 90) if b.column(0)[0].as_py() == "s") for i in range(len(named)))
+    assert len(of(whole)) == 1 and len(of(parts)) > 1 and max(of(parts)) <= 500 + longest < sum(of(parts))
+
+
 def test_jaccard_keeps_one(docs, rows):
     classes = plain.jaccard_classes(rows, 5, 80)
     kept = drop_near_duplicates(docs)
