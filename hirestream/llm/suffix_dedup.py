@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,16 +176,24 @@ def _settle_runs(blobs: DataFrame) -> DataFrame:
     return blobs.groupBy("bucket").applyInArrow(run, "doc long, start int, n int, off int")
 
 
+def _fields(lists: pa.ListArray) -> Iterator[list[np.ndarray]]:
+    """The fields of each row's list of structs, one array a field; a NULL list is empty."""
+    held = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in lists.flatten().flatten()]
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
+    for a, b in zip([0, *ends], ends):
+        yield [c[a:b] for c in held]
+
+
 def _show_contexts(asking: DataFrame, length: int, buckets: int) -> DataFrame:
     """``(bucket, blob, bytes)``: runs with the bytes of their windows, for rows ``(doc, z, runs)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, unzip, zip_ = Runs(length), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(1)
         for batch in batches:
             parts, texts = [], []
-            for doc, z, asked in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc, z, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _fields(batch.column(2))):
                 text = unzip.decompress(z)
                 x = np.frombuffer(text, np.uint8)
-                start, n, off = (np.array([r[f] for r in asked], np.int64) for f in ("start", "n", "off"))
+                start, n, off = asked
                 inside = start + n + length - 1 <= len(x)
                 start, n, off = start[inside], n[inside], off[inside]
                 if not len(start):
@@ -285,27 +294,31 @@ def deep_shallow(strings: np.ndarray, group: np.ndarray, shallow: int = SHALLOW)
     rank = np.empty(m, np.int64)
     first = run_starts(group[order])
     rank[order] = np.repeat(first, np.diff(np.r_[first, m]))
-    active = np.arange(m)
+    active = order  # in the order of rank, from here on
     for at in range(0, min(shallow, width), 8):
-        _, back, size = _counts(rank[active])
-        active = active[size[back] > 1]
+        active = _shared(active, rank)
         if not len(active):
             break
         key = np.zeros((len(active), 8), np.uint8)
         piece = strings[active, at : min(at + 8, width)]
         key[:, : piece.shape[1]] = piece
-        word = key.view(">u8").ravel().astype(np.uint64)
-        by = np.lexsort((word, rank[active]))
-        r, w = rank[active][by], word[by]
+        word, r = key.view(">u8").ravel().astype(np.uint64), rank[active]
+        first = run_starts(r)
+        sizes = np.diff(np.r_[first, len(r)])
+        # groups that are equal here stay as they are
+        differ = np.flatnonzero(np.repeat(np.logical_or.reduceat(word != word[np.repeat(first, sizes)], first), sizes))
+        if not len(differ):
+            continue
+        r, word = r[differ], word[differ]
+        by = np.lexsort((word, r))
+        active[differ] = active[differ][by]
         base = run_starts(r)
-        new = run_starts(r, w)
+        new = run_starts(r, word[by])
         base_of = np.repeat(base, np.diff(np.r_[base, len(by)]))
-        rank[active[by]] = r + np.repeat(new, np.diff(np.r_[new, len(by)])) - base_of
+        rank[active[differ]] = r + np.repeat(new, np.diff(np.r_[new, len(by)])) - base_of
     cls = rank.copy()
     if shallow < width:
-        _, back, size = _counts(rank)
-        deep = np.flatnonzero(size[back] > 1)
-        deep = deep[np.argsort(rank[deep], kind="stable")]
+        deep = _shared(active, rank)
         first = run_starts(rank[deep])
         rest = np.ascontiguousarray(strings[deep, shallow:])
         tail, step = rest.tobytes(), rest.shape[1]
@@ -324,6 +337,13 @@ def deep_shallow(strings: np.ndarray, group: np.ndarray, shallow: int = SHALLOW)
     return np.argsort(cls, kind="stable"), cls
 
 
+def _shared(rows: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Those of the rows, given in the order of their rank, that share it with another."""
+    r = rank[rows]
+    same = r[1:] == r[:-1]
+    return rows[np.r_[False, same] | np.r_[same, False]] if len(rows) else rows
+
+
 def _counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, the number of each key's entry, and the size of each entry."""
     order = np.argsort(keys, kind="stable")
@@ -357,12 +377,11 @@ def _settle_windows(contexts: DataFrame, length: int) -> DataFrame:
             at = (ends - n - length + 1)[run_of] + window
             # equal windows have their anchor at the same place
             group = anchor[run_of] * 64 + rows["off"].astype(np.int64)[run_of] - window
-            _, cls = deep_shallow(np.lib.stride_tricks.sliding_window_view(data, length)[at], group)
+            by, cls = deep_shallow(np.lib.stride_tricks.sliding_window_view(data, length)[at], group)
             doc = rows["doc"][run_of]
-            by = np.lexsort((doc, cls))
             first = run_starts(cls[by])
             least = np.empty(len(by), np.int64)
-            least[by] = np.repeat(doc[by][first], np.diff(np.r_[first, len(by)]))
+            least[by] = np.repeat(np.minimum.reduceat(doc[by], first), np.diff(np.r_[first, len(by)]))
             gone = np.flatnonzero(doc > least)
             if not len(gone):
                 continue
@@ -413,15 +432,16 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
         unzip = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            for doc, z, spans in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc, z, (start, n) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _fields(batch.column(2))):
                 text = unzip.decompress(z)
                 kept, merged, at = [], [], 0
-                for a, b in sorted((s["start"], s["start"] + s["n"] + length - 1) for s in spans or ()):
-                    b = min(b, len(text))
-                    if merged and a <= merged[-1]["stop"]:
-                        merged[-1]["stop"] = max(merged[-1]["stop"], b)
-                    elif a < b:
-                        merged.append({"start": a, "stop": b})
+                order = np.argsort(start)
+                start = start[order]
+                reach = np.maximum.accumulate(np.minimum(start + n[order] + length - 1, len(text)))
+                start = start[start < len(text)]
+                new = np.flatnonzero(np.r_[True, start[1:] > reach[: len(start)][:-1]][: len(start)])
+                for a, b in zip(start[new].tolist(), reach[np.r_[new[1:], len(start)][: len(new)] - 1].tolist()):
+                    merged.append({"start": a, "stop": b})
                 for m in merged:
                     kept.append(text[at : m["start"]])
                     at = m["stop"]

@@ -71,6 +71,23 @@ def test_jaccard(docs, rows, k, percent, block):
     assert got == plain.jaccard_classes(rows, k, percent)
 
 
+def test_windows_sort_only_what_differs(monkeypatch):
+    """op9: rows of groups that are equal at a depth are not sorted there; lists of structs are read without a dict a row."""
+    import pyarrow as pa
+
+    from hirestream.llm import suffix_dedup
+
+    sorts = []
+    monkeypatch.setattr(suffix_dedup.np, "lexsort", lambda keys, real=np.lexsort: sorts.append(len(keys[0])) or real(keys))
+    strings = np.frombuffer(b"a" * 40 * 6 + b"b" * 40 + b"c" * 40, np.uint8).reshape(8, 40)
+    order, cls = deep_shallow(strings, np.array([0, 0, 1, 1, 2, 2, 3, 3]))
+    assert cls.tolist() == [0, 0, 2, 2, 4, 4, 6, 7] and order.tolist() == list(range(8)) and sorts == [2]
+    lists = pa.array([[{"start": 1, "n": 2}, {"start": 5, "n": 1}], None, [], [{"start": 9, "n": 3}]],
+                     pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())])))
+    assert [[f.tolist() for f in r] for r in suffix_dedup._fields(lists.slice(0, 4))] == [[[1, 5], [2, 1]], [[], []], [[], []], [[9], [3]]]
+    assert [[f.tolist() for f in r] for r in suffix_dedup._fields(lists.slice(2, 2))] == [[[], []], [[9], [3]]]
+
+
 def test_jaccard_signatures_go_in_parts(rows):
     """pipeline: a task holds and sends few signatures at a time, however many rows its batch has; the links stay."""
     import pyarrow as pa
