@@ -38,8 +38,8 @@ def _tag(block: Column, tag: str) -> Column:
 
 def _labelled(html: Column, label: str) -> Column:
     """Text after a label up to the next tag; NULL when the label is missing."""
-    pattern = rf"(?i){label}:\s*([^<]+)"
-    return F.when(html.rlike(pattern), trim_ws(decode_entities(F.regexp_extract(html, pattern, 1), ENTITIES_FEED)))
+    found = F.regexp_extract(html, rf"(?i){label}:\s*([^<]+)", 1)  # empty only where there is no match
+    return F.when(found != "", trim_ws(decode_entities(found, ENTITIES_FEED)))
 
 
 def zoho(pages: DataFrame, run_ts: Column) -> DataFrame:

@@ -196,3 +196,17 @@ def test_employment_rules(spark):
     assert tuple(lever[1]) == (None, "part_time")
     intern = column(df.select("i", X.employment_type(F.col("x"), internships=True).alias("y")))
     assert tuple(intern[3]) == ("permanent", "part_time")
+
+
+def test_ends_and_sections_without_a_search_of_the_whole_text(spark):
+    """Trimming and CDATA look for fixed characters; no regular expression is tried at every place of a text."""
+    import re
+
+    ends = ["", " ", " a ", "\ufeff\u2003a b\u00a0\n", "\u180ea", "\x1fa\x85", "é\u3000", "\u2028", "a\u202f\u205f", None]
+    check(spark, [(t, t if t is None else re.sub(rf"^{X.WS}+|{X.WS}+\Z", "", t)) for t in ends], X.trim_ws)
+    check(spark, [
+        ("<![CDATA[é]]>", "é"), ("é<![CDATA[]]>", ""), ("a<![CDATA[b<![CDATA[c]]>d]]>", "b<![CDATA[c"), ("]]>a<![CDATA[b", "]]>a<![CDATA[b"),
+        ("]]><![CDATA[x\n\ny]]><![CDATA[z]]>", "x\n\ny"), ("", ""), (None, None), ("<![CDATA[a]]", "<![CDATA[a]]"),
+    ], X.strip_cdata)
+    plan = spark.range(1).select(X.strip_cdata(X.trim_ws(F.col("id").cast("string"))))._jdf.queryExecution().analyzed().toString().lower()
+    assert "regexp" not in plan and "rlike" not in plan
