@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirestream.functions.keys import computed, dedupe_by_key, first_by_key
+from hirestream.functions.keys import computed, first_by_key
 from hirestream.functions.text import norm_key, trim_ws
 from hirestream.functions.urls import (
     canonical_seed_url,
@@ -189,9 +189,16 @@ def seed_key() -> Column:
 
 
 def seed_dedup(seeds: DataFrame, order: str = "ord") -> DataFrame:
-    """First seed per provider and seed key; seeds with a blank key are dropped."""
-    key = F.concat("provider", F.lit(" "), F.trim(seed_key()))
-    return dedupe_by_key(seeds.where(F.trim(seed_key()) != ""), key, order)
+    """First seed per provider and seed key; seeds with a blank key are dropped.
+
+    Seeds that name the same board alike come together first, so each spelling is
+    taken apart once, however many seeds have it.
+    """
+    first = F.min_by(F.struct(*seeds.columns), order).alias("__row")
+    alike = seeds.groupBy("provider", "token", "source_url").agg(first, F.min(order).alias("__order"))
+    keyed = computed(alike, {"__key": F.trim(seed_key())}).where("__key <> ''")
+    keyed = keyed.withColumn("__key", F.lower(F.trim(F.concat("provider", F.lit(" "), "__key")))).where("__key <> ''")
+    return keyed.groupBy("__key").agg(F.min_by("__row", "__order").alias("__row")).select("__row.*")
 
 
 def board_seed_key(u: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hirestream import config as C
 from hirestream import schemas as S
 from hirestream.operators.filters import provider_subset, split_row_errors
-from hirestream.sources import config_files, feeds_html, feeds_json, pages, tables
+from hirestream.sources import config_files, discovery, feeds_html, feeds_json, pages, tables
 from hirestream.streaming import incremental
 from hirestream.streaming.incremental import ingest_available, ingest_distinct
 
@@ -197,3 +197,18 @@ def test_postings_come_out_once(spark, tmp_path, monkeypatch):
     land_page(2, "lever", json.dumps([{"text": "D", "categories": {"location": "Y"}}, {"text": "C", "categories": {"location": "Y"}}]))
     assert run() == second[:2] + [("C", "Y", 2)] + second[2:]
     assert [p.name for p in (tmp_path / "state" / "all").iterdir()] == ["batch_id=1"]
+
+
+def test_alike_seeds_are_taken_apart_once(spark):
+    """The first seed per key, also among spellings of one board; no URL is taken apart before equal seeds came together."""
+    rows = [
+        (5, "E", "workday", "", "https://S1.example.com/Site/"), (3, "C", "workday", "", "https://s1.example.com/Site"),
+        (4, "D", "workday", "", "https://s1.example.com/Site"), (2, "B", "ashby", " Org ", "x"), (1, "A", "ashby", "org", "y"),
+        (6, "F", "ashby", " ", "z"), (7, "G", None, "t", "https://s2.example.com/"), (8, "H", "workable", None, None),
+        (9, "I", "workable", "", "https://S3.example.com"), (None, "J", "workable", "", "https://s3.example.com/"),
+    ]
+    seeds = spark.createDataFrame(rows, "ord long, company_name string, provider string, token string, source_url string")
+    out = discovery.seed_dedup(seeds)
+    assert sorted(tuple(r) for r in out.collect()) == [rows[4], rows[1], rows[8]]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" in plan and "regexp_extract" not in plan.rsplit("Aggregate [provider", 1)[1]
