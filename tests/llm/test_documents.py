@@ -6,10 +6,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hirestream.llm import passage_chains
 from hirestream.llm.jaccard_join import drop_near_duplicates, jaccard_classes
 from hirestream.llm.line_dedup import dedup_lines
 from hirestream.llm.mixing import mix_sources, repeated
-from hirestream.llm.passage_chains import Chaining, chains, shared_passages
+from hirestream.llm.passage_chains import Chaining, chains, chains_of_groups, shared_passages
 from hirestream.llm.ppm import ORDER, gram_keys, score_texts
 from hirestream.llm.quality_classifier import classify_quality
 from hirestream.llm.quality_rules import quality_rules
@@ -246,6 +247,33 @@ def test_chains_within_the_gap_limit_score_like_all_predecessors():
                 assert gained == pytest.approx(top)
 
 
+def test_chains_of_groups_are_those_of_each_group():
+    rng = random.Random(23)
+    for c in (Chaining(), Chaining(max_gap=12)):
+        for _ in range(60):
+            groups = []
+            for _ in range(3):
+                seeds, p, s = [], rng.randrange(50), rng.randrange(50)
+                for _ in range(rng.randint(0, 40)):
+                    step = rng.choice([6, 60, 79, 80, 81]) if rng.random() < 0.2 else rng.randint(1, 9)
+                    p, s = p + step, s + step + (rng.randint(0, 9) * 6 if rng.random() < 0.1 else 0)
+                    seeds += [(p, s)] * rng.choice([1, 1, 2])
+                    if rng.random() < 0.02:
+                        seeds.append((rng.randrange(200), rng.randrange(200)))
+                groups.append(seeds)
+            rows = [(g, p, s) for g, seeds in enumerate(groups) for p, s in seeds]
+            rng.shuffle(rows)
+            got = chains_of_groups(*np.array(rows, np.int64).reshape(-1, 3).T, c)
+            assert sorted(got) == sorted((g, chain) for g, seeds in enumerate(groups) if seeds for chain in chains(seeds, c))
+
+
+def test_chains_of_copies_need_no_tree(monkeypatch):
+    monkeypatch.setattr(passage_chains, "RangeBest", None)
+    seeds = np.arange(0, 3000, 5)
+    found = list(chains_of_groups(np.repeat([0, 1], 600), np.r_[seeds, seeds], np.r_[seeds + 7, seeds], Chaining()))
+    assert [(g, len(chain)) for g, chain in found] == [(0, 600), (1, 600)]
+
+
 @pytest.mark.parametrize("first,apart,second", [(200, 100, 100), (1000, 100, 500), (100, 300, 80)])
 def test_chains_of_two_passages(first, apart, second):
     one = [(i, 7 + i) for i in range(0, first, 5)]
