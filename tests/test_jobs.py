@@ -2,10 +2,11 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from hirestream.functions.keys import numbered
-from hirestream.operators import caches, dedup, enrichment, firm_match, firms, history, hub, lookups, publish, slugs
+from hirestream.operators import caches, dedup, enrichment, firm_match, firms, history, hub, lookups, name_tries, publish, slugs
 from hirestream.sources import discovery, pages
 from hirestream import schemas as S
 
@@ -189,6 +190,40 @@ def test_similar_names_share_rare_grams(spark):
         assert {b for b in firm_names if a and len(a) > 5 and abs(len(a) - len(b)) < 4 and close(a, b)} <= {b for x, b in found if x == a}
 
 
+def test_candidates_of_names_that_differ_in_a_number(spark):
+    """Four times the names on both sides: their keys fill up, but not with the square of the names."""
+    def candidates(n):
+        f = spark.range(n).select(F.format_string("merchant %09d trading", "id").alias("name"))
+        c = spark.range(15 * n).select(F.format_string("mercant %09d trading", F.col("id") * 7).alias("norm"))
+        return firm_match.candidate_pairs(c, f).count()
+
+    assert candidates(1600) < 6.5 * candidates(400)
+
+
+@pytest.mark.parametrize("states", [1, 1 << 20])
+def test_near_names_are_all_found(monkeypatch, states):
+    monkeypatch.setattr(name_tries, "STATES", states)
+    rng = random.Random(29)
+    for letters in ("ab", "abc", "aé0"):
+        for limit in (0, 1, 3):
+            a, b = (sorted({rng.choice(["", "xx"]) + "".join(rng.choices(letters, k=rng.randint(1, 7))) for _ in range(40)}) for _ in range(2))
+            found = {(a[i], b[j]) for x, y in name_tries.near_names(name_tries.NameTrie(a), name_tries.NameTrie(b), limit) for i, j in zip(x, y)}
+            assert {(x, y) for x in a for y in b if lev(x, y) <= limit} <= found
+
+
+def test_crowded_names_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(firm_match, "BLOCK", 100)
+    monkeypatch.setattr(firm_match, "FIRM_BLOCK", 30)
+    monkeypatch.setattr(firm_match, "CROWD", 2)
+    firm_names = [f"merchant {i * 3:09d} trading" for i in range(70)] + [f"merchants {i:09d} trading" for i in range(20)]
+    companies = [f"mercant {i * 7:09d} trading" for i in range(250)]
+    fdf = spark.createDataFrame([(i, n, []) for i, n in enumerate(firm_names)], "firm_ord long, name string, aliases array<string>")
+    got = {r.company: r.firm_ord for r in firm_match.firm_match_fuzzy(spark.createDataFrame([(c,) for c in companies], "company string"), fdf).collect()}
+    for c in companies[::5]:
+        near = (i for i, f in enumerate(firm_names) if 1 - lev(f, c) / max(len(f), len(c)) >= 0.85)
+        assert got.get(c) == next(near, None)
+
+
 def test_alias_and_earlier_fuzzy_firm(spark):
     fdf = spark.createDataFrame(
         [(0, "Blue Harbor Architects", []), (1, "Blue Harbour Architects", []), (2, "Northwind Engineers", ["Cedar & Stone"])],
