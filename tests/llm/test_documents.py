@@ -334,6 +334,32 @@ def test_shared_passages_at_two_places_of_a_text(spark):
     assert sorted((r.start, r.source_start, r.n_words) for r in found) == [(30, 0, 80), (310, 0, 80)]
 
 
+@pytest.mark.parametrize("parts", [1, 6])
+def test_shared_passages_whose_runs_all_stand_in_others(spark, parts):
+    """Neither the first holder of a run nor the one before holds enough of the passage; the one that does is found."""
+    rng = random.Random(29)
+    passage = prose(rng, 75).split()
+    pieces = [" ".join(passage[a : a + 45]) for a in (0, 15, 30)]
+    middles = [*pieces, " ".join(passage), *pieces, " ".join(passage)]
+    texts = [(i, f"{prose(rng, 40)} {m} {prose(rng, 40)}") for i, m in enumerate(middles)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(parts)
+    found = [(r.doc_id, r.source_id, r.start, r.source_start, r.n_words) for r in shared_passages(docs).collect()]
+    assert found == [(7, 3, 40, 40, 75)]
+
+
+@pytest.mark.parametrize("line", ["la", "la le lo", "one two three four five six seven eight nine"])
+def test_shared_passages_of_a_line_that_comes_again(spark, line):
+    rng = random.Random(31)
+    many = " ".join([line] * 90)
+    cut = lambda n: " ".join(many.split()[:n])
+    texts = [(1, f"{prose(rng, 60)} {cut(70)} {prose(rng, 60)}"), (2, f"{prose(rng, 30)} {cut(80)} {prose(rng, 200)} {cut(70)}")]
+    covered = set()
+    for r in shared_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect():
+        assert (r.doc_id, r.source_id) == (2, 1) and r.n_words >= 50 and r.n_equal >= 0.8 * r.n_words
+        covered |= set(range(r.start, r.stop))
+    assert covered >= {*range(39, 101), *range(319, 371)}  # within a window of the ends
+
+
 @pytest.mark.parametrize("max_nodes", [300, 20_000, 1 << 20])
 def test_scores(docs, rows, max_nodes):
     """The same scores, whatever part of the trie is sent."""
