@@ -428,6 +428,19 @@ def test_columns_that_clash(spark, docs):
     assert dedup_lines(odd).count() == mix_sources(odd).count() == n
 
 
+def test_signatures_are_sorted_in_as_many_tasks_as_the_texts_need(spark, docs, monkeypatch):
+    """Else a large table's tasks spill what they sort, however small the number of shuffle partitions is."""
+    from hirestream.llm import jaccard_join
+    from hirestream.session import STAGED
+
+    want = sorted(jaccard_classes(docs).collect())
+    monkeypatch.setattr(jaccard_join, "TASK_BYTES", 10_000, raising=False)
+    since = len(STAGED)
+    assert sorted(jaccard_classes(docs).collect()) == want
+    ties = next(p for p in STAGED[since:] if "/ties-" in p)
+    assert len(spark.read.parquet(ties).inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_one_row_of_repeated_rows_stays(spark):
     rng = random.Random(3)
     a, b, c = (prose(rng, 60) for _ in range(3))
