@@ -138,6 +138,12 @@ def extract_links(pages: DataFrame, pattern: str, key: str = "page_id") -> DataF
     return links.select(key, link.alias("link")).where("link is not null").distinct()
 
 
+#: Levels of a crawl after which its visited pages are merged.
+MERGED_LEVELS = 4
+#: Boards that are listed together for the pages of a block, about.
+BOARDS_A_ROW = 1024
+
+
 def search_page_frontier(seeds: DataFrame, links: DataFrame) -> DataFrame:
     """All search pages reachable from the seeds of each board: ``(board, page, level)``.
 
@@ -146,8 +152,10 @@ def search_page_frontier(seeds: DataFrame, links: DataFrame) -> DataFrame:
     boards at the end.  Breadth first and semi-naive: a round follows the links of
     the last level only, and writes its level into one growing table, which is the
     visited set; plans don't grow, and there are as many rounds as levels.  A row is
-    a page and the crawls of a block of 64 that reach it, as bits, so crawls over the
-    same pages go together (multi-source breadth-first search, PVLDB 2014).
+    a page (by number) and the crawls of a block of 64 that reach it, as bits, so crawls over the
+    same pages go together (multi-source breadth-first search, PVLDB 2014).  A page
+    can be reached in many levels by crawls of its block; every few levels the visited
+    set is merged to one row a page and block.
     """
     spark = seeds.sparkSession
     edges = links.where(hostname(F.col("page")) == hostname(F.col("link"))).select("page", "link").distinct()
@@ -158,27 +166,41 @@ def search_page_frontier(seeds: DataFrame, links: DataFrame) -> DataFrame:
     crawls = stage(crawls.withColumn("crawl", F.monotonically_increasing_id()), "crawls")
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("crawl").bitwiseAND(F.lit(63)).cast("int"))
     reached = crawls.select(F.shiftright("crawl", 6).alias("block"), F.explode("pages").alias("page"), bit.alias("bits"))
-    reached = reached.groupBy("block", "page").agg(F.bit_or("bits").alias("bits"))
+    names = reached.select("page").unionByName(edges.select("page")).unionByName(edges.select(F.col("link").alias("page"))).distinct()
+    names = stage(names.withColumn("id", F.monotonically_increasing_id()), "page-ids")
+    reached = reached.join(names, "page").groupBy("block", "id").agg(F.bit_or("bits").alias("bits"))
+    to = names.select(F.col("page").alias("link"), F.col("id").alias("to"))
+    edges = stage(edges.join(names, "page").join(to, "link").select("id", "to"), "page-id-links")
     table = scratch_path(spark, "visited-pages")
     STAGED.append(table)
-    schema, level = "block bigint, page string, bits bigint", 0
+    schema, level = "block bigint, id bigint, bits bigint", 0
     none = F.lit(0).cast("bigint")
+    merged, single = [], []
     while True:
-        reached.select("block", "page", "bits").write.parquet(f"{table}/level={level}")
+        reached.select("block", "id", "bits").write.parquet(f"{table}/level={level}")
         last = spark.read.schema(schema).parquet(f"{table}/level={level}")
         if last.isEmpty():
             break
+        single.append(f"{table}/level={level}")
         level += 1
-        visited = spark.read.schema(schema).parquet(*(f"{table}/level={i}" for i in range(level)))
-        found = last.join(edges, "page").select("block", F.col("link").alias("page"), F.col("bits").alias("new"), none.alias("seen"))
-        both = found.unionByName(visited.select("block", "page", none.alias("new"), F.col("bits").alias("seen")))
-        both = both.groupBy("block", "page").agg(F.bit_or("new").alias("new"), F.bit_or("seen").alias("seen"))
-        reached = both.select("block", "page", F.col("new").bitwiseAND(F.bitwise_not("seen")).alias("bits")).where("bits <> 0")
-    visited = spark.read.schema(f"{schema}, level int").parquet(table)
-    held = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftrightunsigned", F.col("bits"), i).bitwiseAND(F.lit(1)) == 1)
-    each = visited.select("block", "page", "level", F.explode(held).alias("i"))
-    each = each.select((F.shiftleft("block", 6) + F.col("i")).alias("crawl"), "page", "level")
-    return boards.join(crawls.select("key", "crawl"), "key").select("board", "crawl").join(each, "crawl").select("board", "page", "level")
+        visited = spark.read.schema(schema).parquet(*merged, *single)
+        if len(single) == MERGED_LEVELS:
+            visited = stage(visited.groupBy("block", "id").agg(F.bit_or("bits").alias("bits")), "merged-pages")
+            merged, single = [STAGED[-1]], []
+        found = last.join(edges, "id").select("block", F.col("to").alias("id"), F.col("bits").alias("new"), none.alias("seen"))
+        both = found.unionByName(visited.select("block", "id", none.alias("new"), F.col("bits").alias("seen")))
+        both = both.groupBy("block", "id").agg(F.bit_or("new").alias("new"), F.bit_or("seen").alias("seen"))
+        reached = both.select("block", "id", F.col("new").bitwiseAND(F.bitwise_not("seen")).alias("bits")).where("bits <> 0")
+    visited = spark.read.schema(f"{schema}, level int").parquet(table).join(names, "id")
+    # the boards of a block go to its pages before these are taken apart: only rows of bits are shuffled
+    of = boards.join(crawls.select("key", "crawl"), "key").select(
+        F.shiftright("crawl", 6).alias("block"), F.struct(F.col("crawl").bitwiseAND(F.lit(63)).cast("int").alias("i"), "board").alias("b"))
+    lists = F.ceil(F.col("n") / BOARDS_A_ROW)
+    of = of.join(of.groupBy("block").agg(F.count(F.lit(1)).alias("n")), "block").groupBy(
+        "block", F.pmod(F.xxhash64("b"), lists).alias("list")).agg(F.collect_list("b").alias("of"))
+    held = F.filter("of", lambda b: F.call_function("shiftrightunsigned", F.col("bits"), b["i"]).bitwiseAND(F.lit(1)) == 1)
+    each = visited.join(of.select("block", "of"), "block").select(F.explode(held["board"]).alias("board"), "page", "level")
+    return each.select("board", "page", "level")
 
 
 def detail_links(frontier: DataFrame, details: DataFrame, seeds: DataFrame) -> DataFrame:

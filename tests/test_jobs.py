@@ -367,6 +367,20 @@ def test_frontier_of_many_crawls(spark):
     assert len(found) == len(want) and {(r.board, r.page): r.level for r in found} == want
 
 
+def test_frontier_merges_what_was_visited(spark):
+    """Later rounds read one row a page and block, not one for each level in which crawls reached it."""
+    from hirestream.session import STAGED
+
+    u = lambda n: f"https://b.icims.com/jobs/search?pr={n}"
+    seeds, links = [(b, u(b)) for b in range(7)], [(u(n), u((n + 1) % 11)) for n in range(11)]
+    since = len(STAGED)
+    found = pages.search_page_frontier(
+        spark.createDataFrame(seeds, "board long, page string"), spark.createDataFrame(links, "page string, link string")).collect()
+    assert {(r.board, r.page, r.level) for r in found} == {(b, u((b + k) % 11), k) for b in range(7) for k in range(11)}
+    merged = [spark.read.parquet(p) for p in STAGED[since:] if "/merged-pages-" in p]
+    assert merged and all(m.count() == m.select("block", "id").distinct().count() for m in merged)
+
+
 def test_frontier_query_follows_links_over_the_whole_table(spark, tmp_path):
     from checks.queries import QUERIES
 
