@@ -338,13 +338,24 @@ def test_shared_passages_at_two_places_of_a_text(spark):
 def test_shared_passages_whose_runs_all_stand_in_others(spark, parts):
     """Neither the first holder of a run nor the one before holds enough of the passage; the one that does is found."""
     rng = random.Random(29)
-    passage = prose(rng, 75).split()
-    pieces = [" ".join(passage[a : a + 45]) for a in (0, 15, 30)]
-    middles = [*pieces, " ".join(passage), *pieces, " ".join(passage)]
-    texts = [(i, f"{prose(rng, 40)} {m} {prose(rng, 40)}") for i, m in enumerate(middles)]
+    texts, want = [], set()
+
+    def text(middle):
+        texts.append((len(texts), f"{prose(rng, 40)} {middle} {prose(rng, 40)}"))
+        return len(texts) - 1
+
+    for _ in range(8):
+        passage = prose(rng, 60).split()
+        pieces = [" ".join(passage[a : a + 48]) for a in range(0, 13, 2)]
+        for piece in pieces:
+            text(piece)
+        source = text(" ".join(passage))
+        for piece in pieces:
+            text(piece)
+        want.add((text(" ".join(passage)), source))
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(parts)
-    found = [(r.doc_id, r.source_id, r.start, r.source_start, r.n_words) for r in shared_passages(docs).collect()]
-    assert found == [(7, 3, 40, 40, 75)]
+    found = shared_passages(docs).where("start = 40 and source_start = 40 and n_words = 60").collect()
+    assert {(r.doc_id, r.source_id) for r in found} == want
 
 
 @pytest.mark.parametrize("line", ["la", "la le lo", "one two three four five six seven eight nine"])
